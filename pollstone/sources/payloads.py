@@ -41,6 +41,25 @@ def rejected_payloads(payloads: DataFrame, text: str = "value") -> DataFrame:
     return refused.withColumn("reject_reason", F.coalesce(message, F.lit("unexpected answer format")))
 
 
+def shaped(payloads: DataFrame, source: str, text: str = "value") -> DataFrame:
+    """Each answer with its ``records`` array, or the reason why it has none."""
+    if source == "world_bank":
+        body, record = _records_text(F.col(text)), WORLD_BANK_RECORD
+    else:
+        body, record = F.when(F.startswith(F.ltrim(F.col(text)), F.lit("[")), F.col(text)), COUNTRY_RECORD
+    records = F.from_json(body, f"array<{record}>")
+    message = F.get_json_object(text, "$[0].message[0].value")
+    reason = (
+        F.when(body.isNull(), F.coalesce(message, F.lit("unexpected answer format")))
+        .when(F.size(records) == 0, F.lit("empty answer"))
+    )
+    return payloads.withColumns({"records": records, "reject_reason": reason})
+
+
+def normalized(records: DataFrame, source: str) -> DataFrame:
+    return {"world_bank": normalize_world_bank, "restcountries": normalize_countries}[source](records)
+
+
 def country_records(payloads: DataFrame, text: str = "value") -> DataFrame:
     return payloads.select(F.inline(F.from_json(F.col(text), f"array<{COUNTRY_RECORD}>")))
 

@@ -8,14 +8,12 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from pollstone.contracts.model import Contract
 from pollstone.sources.payloads import COUNTRY_RECORD, WORLD_BANK_RECORD
-from pollstone.sources.registry import BUSINESS_BUNDLE, PLATFORM_BUNDLE, REPORT_BUNDLE
+from pollstone.sources.registry import BUSINESS_BUNDLE, PLATFORM_BUNDLE, REPORT_BUNDLE, REPORTED_COUNTRY, REPORTED_SOURCE
 
-FILE_SCHEMA = "path string, modificationTime timestamp, length bigint"
-_EXTRA = "_surplus"
+FILE_SCHEMA = "path string, uri string, modificationTime timestamp, length bigint"
 
 JSON_RECORDS = {"world_bank_population": WORLD_BANK_RECORD, "country_reference": COUNTRY_RECORD}
 
@@ -30,52 +28,49 @@ def read_bronze(
     file_format: str,
     contract: Contract | None = None,
     json_record: str | None = None,
-    base_path: str | None = None,
+    multi_line: bool = True,
+    folder_parts: bool = False,
 ) -> DataFrame:
     """Read raw files as csv, json or parquet.
 
     With a contract (or a JSON record type) the schema is declared, so no scan
     is spent on inferring it and unused columns are pruned. Text columns are
     converted later, where an unreadable value becomes NULL or a reject. With
-    ``base_path`` the folder parts year, month, day come along; the folder's
-    country is kept apart from the data column as ``path_country``.
+    ``folder_parts`` the Hive-style folder values come along under names of
+    their own, so the folder's country cannot replace the data column.
     """
     paths = [path] if isinstance(path, str) else list(path)
     if file_format == "csv":
         reader = spark.read.option("header", True)
         reader = reader.schema(contract.text_schema()) if contract else reader.option("inferSchema", True)
     elif file_format == "json":
-        reader = spark.read.option("multiLine", True)
+        reader = spark.read.option("multiLine", multi_line)
         if json_record:
             reader = reader.schema(json_record.removeprefix("struct<").removesuffix(">"))
     elif file_format == "parquet":
         reader = spark.read
     else:
         raise ValueError(f"Unsupported file format: {file_format}")
-    if base_path is None:
-        return reader.format(file_format).load(paths)
-    return _with_folder_parts(reader.format(file_format).load(paths))
+    rows = reader.format(file_format).load(paths).withColumnsRenamed(
+        {REPORTED_COUNTRY: "country", REPORTED_SOURCE: "source_system"}
+    )
+    return _with_folder_parts(rows) if folder_parts else rows
 
 
-FOLDER_PARTS = ("country", "year", "month", "day")
+FOLDER_PARTS = ("country", "year", "month", "day", "source_system")
 
 
 def _with_folder_parts(df: DataFrame) -> DataFrame:
-    """Add the Hive-style folder values as text under names of their own."""
     where = F.col("_metadata.file_path")
-    return df.select(
-        "*",
-        *[
-            F.url_decode(F.regexp_extract(where, f"/{part}=([^/]*)/", 1)).alias(f"path_{part}")
-            for part in FOLDER_PARTS
-        ],
-    )
+    parts = [F.regexp_extract(where, f"/{part}=([^/]*)/", 1).alias(f"path_{part}") for part in FOLDER_PARTS]
+    return df.select("*", *parts)
 
 
 def list_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
-    """Files below a folder: path, modification time, length; a missing folder has none.
+    """Files below a folder: path, uri, modification time, length; a missing folder has none.
 
-    Only the listing is read, never the content.
+    Only the listing is read, never the content. ``uri`` is the form in which
+    rows read from the file name it.
     """
     try:
         files = (
@@ -88,75 +83,42 @@ def list_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> Data
         if not _missing_path(error):
             raise
         return spark.createDataFrame([], FILE_SCHEMA)
-    return files.select("path", "modificationTime", "length")
+    return files.select("path", F.col("_metadata.file_path").alias("uri"), "modificationTime", "length")
 
 
-def file_hashes(spark: SparkSession, folder: str, pattern: str = "*.csv", whole_up_to: int = 256 << 20) -> DataFrame:
-    """Content hash per file.
+def file_hashes(
+    spark: SparkSession, paths: Sequence[str], whole_up_to: int = 256 << 20, algorithm: str = "sha256"
+) -> DataFrame:
+    """Content hash per file: uri, file_hash.
 
-    Files up to ``whole_up_to`` bytes get the SHA-256 of their bytes, one file
-    per row. A larger file is never loaded into one task: it is split like any
-    text input and gets an order-independent hash of its lines and their number.
+    Files up to ``whole_up_to`` bytes get the SHA-256 (or MD5) of their bytes,
+    one file per row. A larger file is never loaded into one task: it is split
+    like any text input and gets an order-independent hash of its lines.
     """
-    options = {"recursiveFileLookup": True, "pathGlobFilter": pattern}
-    try:
-        files = spark.read.format("binaryFile").options(**options).load(folder)
-    except AnalysisException as error:
-        if not _missing_path(error):
-            raise
-        return spark.createDataFrame([], "path string, length bigint, file_hash string, last_modified timestamp")
-    small = files.filter(F.col("length") <= whole_up_to).select(
-        "path", "length", F.sha2("content", 256).alias("file_hash"), F.col("modificationTime").alias("last_modified")
-    )
+    digest = {"sha256": lambda column: F.sha2(column, 256), "md5": F.md5}[algorithm]
     meta = F.col("_metadata")
-    lines = (
-        spark.read.options(**options)
-        .text(folder)
-        .select("value", meta["file_path"].alias("path"), meta["file_size"].alias("length"),
-                meta["file_modification_time"].alias("last_modified"))
-        .filter(F.col("length") > whole_up_to)
-    )
+    small = (
+        spark.read.format("binaryFile")
+        .load(list(paths))
+        .filter(F.col("length") <= whole_up_to)
+        .select(meta["file_path"].alias("uri"), digest(F.col("content")).alias("file_hash"))
+    )
+    lines = spark.read.text(list(paths)).select(
+        "value", meta["file_path"].alias("uri"), meta["file_size"].alias("size")
+    )
     large = (
-        lines.groupBy("path", "length", "last_modified")
+        lines.filter(F.col("size") > whole_up_to)
+        .groupBy("uri")
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.sum(F.xxhash64("value").cast("decimal(20,0)")).alias("s"),
             F.bit_xor(F.xxhash64(F.lit(1), "value")).alias("x"),
         )
-        .select("path", "length", F.sha2(F.concat_ws(":", "n", "s", "x"), 256).alias("file_hash"), "last_modified")
+        .select("uri", digest(F.concat_ws(":", "n", "s", "x").cast("binary")).alias("file_hash"))
     )
     return small.unionByName(large)
 
 
-def non_utf8_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Paths of text files that hold a line which is not valid UTF-8."""
-    lines = spark.read.text(list(paths)).select("value", F.col("_metadata.file_path").alias("path"))
-    return lines.filter(~F.is_valid_utf8("value")).select("path").distinct()
-
-
-def read_tolerant_csv(
-    spark: SparkSession, paths: str | Sequence[str], contract: Contract, latin1_paths: Sequence[str] = ()
-) -> DataFrame:
-    """Raw CSV as text columns; lines with too many fields are skipped, short ones padded with NULL.
-
-    Files named in ``latin1_paths`` are read as ISO-8859-1, the others as UTF-8.
-    """
-    wanted = [paths] if isinstance(paths, str) else list(paths)
-    latin = set(latin1_paths)
-    utf8 = [path for path in wanted if path not in latin]
-    schema = T.StructType([*contract.text_schema().fields, T.StructField(_EXTRA, T.StringType())])
-
-    def read(files: Sequence[str], encoding: str) -> DataFrame:
-        reader = spark.read.schema(schema).option("header", True).option("encoding", encoding)
-        rows = reader.option("mode", "PERMISSIVE").csv(list(files))
-        return rows.filter(F.col(_EXTRA).isNull()).drop(_EXTRA)
-
-    parts = [read(files, encoding) for files, encoding in ((utf8, "UTF-8"), (sorted(latin), "ISO-8859-1")) if files]
-    if not parts:
-        raise ValueError("No CSV files could be loaded")
-    return union_all(parts)
-
-
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     """Bag union by column name; columns a frame lacks are NULL."""
     if not frames:

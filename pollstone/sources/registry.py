@@ -5,6 +5,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 
+# The data's own columns in landed files, where ``country`` and ``source_system`` name folders.
+REPORTED_COUNTRY = "reported_country"
+REPORTED_SOURCE = "reported_source"
+
+
 @dataclass(frozen=True)
 class Dataset:
     name: str
@@ -12,6 +17,7 @@ class Dataset:
     output_path: str
     format: str
     source_system: str
+    multi_line: bool = False
 
 
 @dataclass(frozen=True)
@@ -35,21 +41,21 @@ def bronze_datasets(lake: Lake) -> dict[str, Dataset]:
     return {
         "survey_responses": Dataset(
             "survey_responses",
-            f"{lake.bronze}/country=*/{day}/csv",
+            f"{lake.bronze}/country=*/{day}/source_system=csv",
             f"{lake.silver}/survey_responses",
             "csv",
             "csv",
         ),
         "world_bank_population": Dataset(
             "world_bank_population",
-            f"{lake.bronze}/country=global/{day}/world_bank",
+            f"{lake.bronze}/country=global/{day}/source_system=world_bank",
             f"{lake.silver}/world_bank_population",
             "json",
             "world_bank",
         ),
         "country_reference": Dataset(
             "country_reference",
-            f"{lake.bronze}/country=global/{day}/restcountries",
+            f"{lake.bronze}/country=global/{day}/source_system=restcountries",
             f"{lake.silver}/country_reference",
             "json",
             "restcountries",
@@ -61,7 +67,7 @@ def database_snapshots(lake: Lake) -> Dataset:
     """Database snapshots as one more raw source of survey responses."""
     return Dataset(
         "survey_responses",
-        f"{lake.bronze}/country=global/year=*/month=*/day=*/postgres_operational",
+        f"{lake.bronze}/country=global/year=*/month=*/day=*/source_system=postgres_operational",
         f"{lake.silver}/survey_responses",
         "parquet",
         "postgres_operational",

@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 
 from pollstone.contracts.model import Contract
 from pollstone.functions.expr import bronze_date_parts
+from pollstone.sources.registry import REPORTED_COUNTRY, REPORTED_SOURCE
 
+_IN_FILE = {"country": REPORTED_COUNTRY, "source_system": REPORTED_SOURCE}
+_FOLDERS = {"path_country": "country", "path_source": "source_system"}
 BRONZE_PARTS = ("path_country", "year", "month", "day", "path_source")
 
 
@@ -73,15 +76,24 @@ def bronze_path(country: str, source_system: str, filename: str, day: str) -> st
     return f"country={country.lower()}/year={day[:4]}/month={day[5:7]}/day={day[8:10]}/{source_system}/{name}"
 
 
-def land_bronze(df: DataFrame, root: str, file_format: str = "parquet") -> None:
-    """Append rows below ``country=/year=/month=/day=/source_system=`` folders."""
-    folders = {"path_country": "country", "path_source": "source_system"}
-    data = df.drop(*folders.values()).withColumnsRenamed(folders)
-    parts = [folders.get(name, name) for name in BRONZE_PARTS]
-    writer = spread_by(data, parts).write.mode("append").partitionBy(*parts)
+def land_bronze(df: DataFrame, root: str, file_format: str = "csv") -> None:
+    """Append rows below ``country=/year=/month=/day=/source_system=`` folders.
+
+    Records go out as JSON lines with their own field names. In the other
+    formats the data's country and source columns are kept under other names,
+    because the folders carry these.
+    """
+    data = [name for name in df.columns if name not in BRONZE_PARTS]
+    folders = [F.col(name).alias(_FOLDERS.get(name, name)) for name in BRONZE_PARTS]
+    parts = [_FOLDERS.get(name, name) for name in BRONZE_PARTS]
+    if file_format == "json":
+        kept = [F.to_json(F.struct(*data)).alias("value")]
+    else:
+        kept = [F.col(name).alias(_IN_FILE.get(name, name)) for name in data]
+    writer = spread_by(df.select(*kept, *folders), parts).write.mode("append").partitionBy(*parts)
     if file_format == "csv":
         writer = writer.option("header", True)
-    writer.format(file_format).save(root)
+    writer.format("text" if file_format == "json" else file_format).save(root)
 
 
 def write_snapshot(df: DataFrame, root: str, table: str, stamp: str) -> str:
