@@ -519,9 +519,10 @@ SELECT c_custkey, coalesce(m, 'unknown') AS country FROM (
     FROM (SELECT c_custkey, 'raw/' || lower(n1.n_name) || '_' || lower(c_mktsegment) || '/batch_' || c_custkey || '.csv' AS path FROM customer JOIN nation n1 ON c_nationkey = n1.n_nationkey) f
     LEFT JOIN nation n2 ON contains(f.path, lower(n2.n_name))) GROUP BY c_custkey)""",
     "match_country_file_name": """
-SELECT c_custkey, first(r_name ORDER BY r_regionkey) FILTER (WHERE r_name IS NOT NULL) AS region_name FROM (
-  SELECT c_custkey, r_name, r_regionkey FROM customer LEFT JOIN region
-    ON contains(lower(c_mktsegment) || '.csv', lower(r_name)) OR contains(lower(c_mktsegment) || '.csv', lower(substr(r_name, 1, 2)))) GROUP BY c_custkey""",
+SELECT c_custkey, first(r_name ORDER BY r_regionkey) AS region_name FROM (
+  SELECT f.c_custkey, r.r_name, r.r_regionkey FROM (
+    SELECT c_custkey, lower(r_name) || '_' || lower(c_mktsegment) AS name FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey) f
+  LEFT JOIN region r ON contains(f.name, lower(r.r_name)) OR contains(f.name, lower(substr(r.r_name, 1, 2)))) GROUP BY c_custkey""",
     "file_fingerprint": "SELECT doc_id, sha256(text) AS file_hash, md5(text) AS file_md5 FROM documents",
     "file_names": """
 SELECT page_id, regexp_extract(url, '[^/]*$') AS file_name, lower(replace(regexp_extract(url, '[^/]*$'), ' ', '_')) AS clean_name,
@@ -548,7 +549,6 @@ FROM events WHERE event_type <> 'error' GROUP BY event_type, user_id""",
     "incremental_new_rows": """
 SELECT e.event_id FROM events e LEFT JOIN (SELECT user_id, max(ts) AS mark FROM events WHERE event_type = 'purchase' GROUP BY user_id) m ON e.user_id = m.user_id
 WHERE m.mark IS NULL OR e.ts > m.mark""",
-    "country_folder_counts": "SELECT country, count(*) AS responses FROM silver GROUP BY country",
     "stream_ingest": "SELECT * EXCLUDE (silver_processed_at) FROM silver",
     "stream_dedup": "SELECT DISTINCT response_id, submission_timestamp, country FROM feed_clean",
     "stream_daily_volume": """

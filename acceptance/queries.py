@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -12,7 +13,7 @@ from pollstone import fixtures
 from pollstone.contracts import catalog
 from pollstone.contracts.model import ERRORS
 from pollstone.functions import expr
-from pollstone.functions.durable import durable
+from pollstone.functions.durable import durable, shared_folder
 from pollstone.operators import (
     cleaning,
     dedup,
@@ -25,6 +26,7 @@ from pollstone.operators import (
     validation,
 )
 from pollstone.sources import payloads, writers
+from pollstone.streaming import responses
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -556,8 +558,12 @@ def match_country_list_order(spark, folder):
 
 @query
 def match_country_file_name(spark, folder):
-    name = F.concat(F.lower("c_mktsegment"), F.lit(".csv"))
-    files = fixtures.table(spark, folder, "customer").select("c_custkey", name.alias("name"))
+    """Regions looked up in file names, whole or by their first two letters."""
+    customer, nation, region = (fixtures.table(spark, folder, name) for name in ("customer", "nation", "region"))
+    placed = customer.join(nation, customer.c_nationkey == nation.n_nationkey).join(
+        region, nation.n_regionkey == region.r_regionkey
+    )
+    files = placed.select("c_custkey", F.concat(F.lower("r_name"), F.lit("_"), F.lower("c_mktsegment")).alias("name"))
     files = _with_names(files, spark, folder, "region", "r_regionkey", "r_name")
     return files.select(
         "c_custkey", reference.country_in_file_name(F.col("name"), F.col("names")).alias("region_name")
@@ -672,5 +678,50 @@ def incremental_new_rows(spark, folder):
     return ledger.newer_rows(events, state, time="ts", source="user_id").select("event_id")
 
 
+# Streaming
+
+
+def _stream(spark, folder, name):
+    """A given table as a stream of files."""
+    schema = fixtures.table(spark, folder, name).schema
+    return responses.read_stream(spark, folder, schema, "parquet", pattern=f"{name}.parquet")
+
+
+def _finished(spark, stream):
+    """Run a stream over everything there is and read what it appended."""
+    place = f"{shared_folder(spark)}/streams/{uuid.uuid4()}"
+    responses.append_available(stream, f"{place}/out", f"{place}/state")
+    return spark.read.parquet(f"{place}/out")
+
+
+def _raw_stream(spark, folder):
+    static = {name: fixtures.table(spark, folder, name) for name in ("customer", "nation")}
+    return spark.sql(fixtures.SURVEY_RAW, orders=_stream(spark, folder, "orders"), **static)
+
+
+@query
+def stream_ingest(spark, folder):
+    cleaned = responses.clean_stream(_raw_stream(spark, folder))
+    unique = responses.unique_responses(cleaned).drop("silver_processed_at")
+    return plain(_finished(spark, unique))
+
+
+@query
+def stream_dedup(spark, folder):
+    """Deliveries arrive as a stream; every response comes out once."""
+    feed = spark.sql(
+        fixtures.SURVEY_FEED, raw=fixtures.survey_raw(spark, folder), lineitem=_stream(spark, folder, "lineitem")
+    )
+    unique = responses.unique_responses(responses.clean_stream(feed))
+    return plain(_finished(spark, unique.select("response_id", "submission_timestamp", "country")))
+
+
+@query
+def stream_daily_volume(spark, folder):
+    """Days that the watermark has closed."""
+    cleaned = responses.clean_stream(_raw_stream(spark, folder))
+    return _finished(spark, responses.daily_volume(cleaned))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)

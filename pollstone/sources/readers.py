@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pollstone.contracts.model import Contract
 from pollstone.sources.payloads import COUNTRY_RECORD, WORLD_BANK_RECORD
@@ -46,7 +47,7 @@ def read_bronze(
     elif file_format == "json":
         reader = spark.read.option("multiLine", multi_line)
         if json_record:
-            reader = reader.schema(json_record.removeprefix("struct<").removesuffix(">"))
+            reader = reader.schema(T.DataType.fromDDL(json_record))
     elif file_format == "parquet":
         reader = spark.read
     else:
