@@ -132,7 +132,7 @@ def check_files(
             "CAST(NULL AS STRING) first_line",
             "CAST(NULL AS ARRAY<STRING>) header",
             "true utf8",
-            "0L lines",
+            "0L usable_rows",
         )
     files = (
         files.withColumn("file_name", F.col("path"))
@@ -144,7 +144,7 @@ def check_files(
         F.when(F.col("reject_reason").isNotNull(), F.col("reject_reason"))
         .when(~is_csv, F.lit("no reader for this file type"))
         .when(F.col("_known_hash").isNotNull(), F.lit(None))
-        .when(F.coalesce("lines", F.lit(0)) < 2, F.lit("empty file"))
+        .when(F.coalesce("usable_rows", F.lit(0)) < 1, F.lit("empty file"))
         .when(F.size(lacking) > 0, F.concat(F.lit("missing columns: "), F.concat_ws(",", lacking)))
     )
     return files.select(
@@ -158,6 +158,7 @@ def check_files(
         F.col("modificationTime").alias("last_modified"),
         country_in_path(F.col("path"), countries).alias("country"),
         F.lit("csv").alias("source_system"),
+        F.col("usable_rows").alias("rows_loaded"),
         reason.alias("reason"),
         F.when(reason.isNotNull(), "failed").when(F.col("_seen"), "skipped").otherwise("ready").alias("status"),
     )
@@ -181,14 +182,17 @@ def ingest_files(
         files = spark.read.parquet(stage)
         ready = files.filter("status = 'ready'")
         paths = [row.path for row in ready.select("path").toLocalIterator()]
-        outcomes = files.withColumn("rows_loaded", F.lit(0).cast("bigint"))
         if paths:
-            rows = parsed_rows(spark, paths, ready, contract, keep=["path", "country"])
+            rows = parsed_rows(spark, paths, ready, contract, keep=["country"])
             landed = with_bronze_parts(rows, day=day, country=F.col("_country"), source=F.lit("csv"))
-            land_bronze(landed.drop("_path", "_country"), lake.bronze, "csv")
-            counts = rows.groupBy(F.col("_path").alias("path")).agg(F.count(F.lit(1)).alias("rows_loaded"))
-            outcomes = files.join(counts, "path", "left")
-        outcomes = outcomes.withColumn("status", F.when(F.col("status") == "ready", "success").otherwise(F.col("status")))
+            land_bronze(landed.drop("_country"), lake.bronze, "csv")
+        landed_now = F.col("status") == "ready"
+        outcomes = files.withColumns(
+            {
+                "status": F.when(landed_now, "success").otherwise(F.col("status")),
+                "rows_loaded": F.when(landed_now, F.col("rows_loaded")).otherwise(0),
+            }
+        )
         result = _finish(spark, lake, outcomes, run)
         record_run(spark, lake, run, "csv_ingestion", "success", result.filter("status = 'success'").count())
         return result

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pollstone.contracts.model import Contract
@@ -22,22 +22,45 @@ def _lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return spark.read.text(list(paths)).select("value", "_metadata").filter(F.trim("value") != "")
 
 
+def _field_count(line: Column) -> Column:
+    """Number of fields in a line; commas inside quotes do not count."""
+    plain = F.when(F.contains(line, F.lit('"')), F.regexp_replace(line, '"[^"]*"', "")).otherwise(line)
+    return F.length(plain) - F.length(F.replace(plain, F.lit(","))) + 1
+
+
 def file_headers(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Per file: first line, column names, whether every line is UTF-8, number of lines.
+    """Per file: first line, column names, whether every line is UTF-8, number of usable rows.
 
-    Everything is combined before the shuffle: one small row per file and task.
+    One scan. Lines are combined per file and width before the shuffle, so one
+    huge file costs no more than many small ones; ``collect_set`` over two
+    flags keeps Spark on hash aggregation instead of sorting all lines.
     """
     meta = F.col("_metadata")
     position = F.struct(meta["file_block_start"].alias("block"), F.monotonically_increasing_id().alias("line"))
-    lines = _lines(spark, paths).select(meta["file_path"].alias("uri"), "value", position.alias("position"))
-    per_file = lines.groupBy("uri").agg(
-        F.min_by("value", "position").alias("first_line"),
-        F.bool_and(F.is_valid_utf8("value")).alias("utf8"),
+    lines = _lines(spark, paths).select(
+        meta["file_path"].alias("uri"), "value", position.alias("position"), _field_count(F.col("value")).alias("width")
+    )
+    per_width = lines.groupBy("uri", "width").agg(
+        F.min_by("value", "position").alias("value"),
+        F.min("position").alias("position"),
+        F.collect_set(F.is_valid_utf8("value")).alias("valid"),
         F.count(F.lit(1)).alias("lines"),
     )
+    per_file = per_width.groupBy("uri").agg(
+        F.min_by("value", "position").alias("first_line"),
+        F.bool_and(~F.array_contains("valid", False)).alias("utf8"),
+        F.collect_list(F.struct("width", "lines")).alias("widths"),
+    )
     names = F.split(F.make_valid_utf8("first_line"), ",")
     header = F.transform(names, lambda name: F.trim(F.btrim(F.trim(name), F.lit(_NAME_EDGES))))
-    return per_file.select("uri", "first_line", header.alias("header"), "utf8", "lines")
+    usable = F.aggregate(
+        F.col("widths"),
+        F.lit(-1).cast("bigint"),
+        lambda total, group: total + F.when(group["width"] <= F.size("header"), group["lines"]).otherwise(0),
+    )
+    return per_file.select("uri", "first_line", header.alias("header"), "utf8", "widths").select(
+        "uri", "first_line", "header", "utf8", usable.alias("usable_rows")
+    )
 
 
 def parsed_rows(
@@ -48,20 +71,22 @@ def parsed_rows(
     ``files`` has ``uri, first_line, header, utf8``; its columns named in
     ``keep`` come along with an underscore in front.
     Lines with more fields than their header are skipped, short lines are
-    padded with NULL, and files that are not UTF-8 are read as Latin-1.
+    padded with NULL, files that are not UTF-8 are read as Latin-1, and a line
+    that repeats the header is no row.
     """
-    width = files.agg(F.max(F.size("header"))).first()[0] or 0
-    fields = [f"f{i}" for i in range(width + 1)]
+    width = files.agg(F.max(F.size("header"))).first()[0] or 1
+    fields = [f"f{i}" for i in range(width)]
     lines = _lines(spark, paths).select("value", F.col("_metadata.file_path").alias("_uri"))
     carried = [F.col(name).alias(f"_{name}") for name in keep]
     known = files.select(F.col("uri").alias("_uri"), "first_line", "header", "utf8", *carried)
-    joined = lines.join(known, "_uri").filter(F.col("value") != F.col("first_line"))
+    joined = lines.join(known, "_uri").filter(
+        (F.col("value") != F.col("first_line")) & (_field_count(F.col("value")) <= F.size("header"))
+    )
     text = F.when(F.col("utf8"), F.col("value")).otherwise(F.decode(F.col("value").cast("binary"), LATIN1))
     parsed = joined.withColumn(
         "_row", F.from_csv(text, ", ".join(f"{name} string" for name in fields), {"escape": '"'})
     )
-    values = F.array(*[F.col(f"_row.{name}") for name in fields])
-    rows = parsed.withColumn("_values", values).filter(F.get("_values", F.size("header")).isNull())
+    rows = parsed.withColumn("_values", F.array(*[F.col(f"_row.{name}") for name in fields]))
 
     def column(name: str):
         place = F.array_position("header", F.lit(name)).cast("int")
