@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -32,13 +33,21 @@ def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(counter, F.count(F.lit(1)).alias("rows")), counter
 
 
+def _rows_written(counter: Observation, df: DataFrame, path: str) -> int:
+    """The counter's value; a plan found empty runs no counter, then the written files are asked."""
+    try:
+        return counter.get["rows"]
+    except (Py4JJavaError, KeyError):
+        return df.sparkSession.read.schema(df.schema).parquet(path).count()
+
+
 def write_silver(df: DataFrame, path: str, partition_columns: Sequence[str] | None = None) -> int:
     """Replace a clean table and return the number of rows, counted during the write."""
     counted, counter = observed(df, "silver rows")
     columns = list(partition_columns or [])
     writer = spread_by(counted, columns).write.mode("overwrite").option("partitionOverwriteMode", "static")
     (writer.partitionBy(*columns) if columns else writer).parquet(path)
-    return counter.get["rows"]
+    return _rows_written(counter, df, path)
 
 
 def default_partitions(df: DataFrame) -> list[str]:
@@ -47,9 +56,10 @@ def default_partitions(df: DataFrame) -> list[str]:
 
 def write_gold(df: DataFrame, path: str, contract: Contract | None = None) -> int:
     """Replace a business table in its contract's column order and types."""
-    counted, counter = observed(contract.conform(df) if contract else df, "gold rows")
+    table = contract.conform(df) if contract else df
+    counted, counter = observed(table, "gold rows")
     counted.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
-    return counter.get["rows"]
+    return _rows_written(counter, table, path)
 
 
 def with_bronze_parts(

@@ -104,6 +104,13 @@ def test_silver_and_gold_folders(spark, tmp_path):
         readers.read_gold(spark, str(tmp_path / "gold"), "none")
 
 
+def test_empty_tables_can_be_written(spark, tmp_path):
+    empty = spark.createDataFrame([], "country string, x int")
+    assert writers.write_silver(empty, str(tmp_path / "a"), ["country"]) == 0
+    assert writers.write_gold(empty.groupBy("country").count(), str(tmp_path / "b")) == 0
+    assert writers.write_gold(spark.range(9).filter("id > 10").groupBy("id").count(), str(tmp_path / "c")) == 0
+
+
 def test_hot_folder_is_written_by_several_tasks(spark, tmp_path):
     df = spark.range(400000).selectExpr("IF(id % 3 < 2, 'hot', CAST(id % 50 AS STRING)) AS country", "sha2(CAST(id AS STRING), 256) AS v")
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4MB")
