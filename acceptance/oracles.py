@@ -371,6 +371,10 @@ def _unpivot(source: str, names: dict[str, str], value: str = "score", kind: str
     )
 
 
+AGE_GROUP = (
+    "CASE WHEN age IS NULL THEN 'Unknown' WHEN age < 25 THEN '18-24' WHEN age < 35 THEN '25-34' WHEN age < 45 THEN '35-44' "
+    "WHEN age < 55 THEN '45-54' ELSE '55+' END"
+)
 BODIES: dict[str, str] = {
     "clean_survey": "SELECT * EXCLUDE (silver_processed_at) FROM silver",
     "clean_population": "SELECT * FROM wb_silver",
@@ -394,9 +398,17 @@ SELECT count(*) AS rules, CAST(sum(CAST(passed AS INT)) AS BIGINT) AS rules_pass
     "contract_conform": """
 SELECT response_id, respondent_id, survey_id, country, region, gender, CAST(age AS INT) AS age, education_level, employment_status, completion_status,
   submission_timestamp, source_system, q1_democracy, q2_economy, q3_trust_govt, q4_corruption, q5_election_fairness FROM survey_raw""",
-    "silver_enriched": """
-SELECT s.response_id, s.country, w.country_code, CAST(s.submission_timestamp AS DATE) AS submission_date,
-  CASE WHEN age IS NULL THEN 'Unknown' WHEN age < 25 THEN '18-24' WHEN age < 35 THEN '25-34' WHEN age < 45 THEN '35-44' WHEN age < 55 THEN '45-54' ELSE '55+' END AS age_group,
+    "contract_rejects": """
+SELECT response_id, concat_ws(',', CASE WHEN gender IS NULL THEN 'gender: required' END,
+  CASE WHEN completion_status IS NULL THEN 'completion_status: required' END) AS errors FROM survey_raw WHERE gender IS NULL OR completion_status IS NULL""",
+    "declared_silver": f"""
+SELECT s.response_id, respondent_id, survey_id, s.country, w.country_code, region, gender, age, {AGE_GROUP} AS age_group, education_level, employment_status,
+  q1_democracy, q2_economy, q3_trust_govt, q4_corruption, q5_election_fairness, completion_status, CAST(s.submission_timestamp AS DATE) AS submission_date,
+  submission_timestamp, loaded_at AS ingestion_timestamp, s.duplicate_flag,
+  CASE WHEN s.response_id IS NOT NULL AND s.country IS NOT NULL AND s.gender IS NOT NULL AND s.age IS NOT NULL THEN 'valid' ELSE 'invalid' END AS validation_status, source_system
+FROM feed_silver s LEFT JOIN (SELECT lower(country) AS ck, max(country_code) AS country_code FROM wb_silver GROUP BY 1) w ON lower(s.country) = w.ck""",
+    "silver_enriched": f"""
+SELECT s.response_id, s.country, w.country_code, CAST(s.submission_timestamp AS DATE) AS submission_date, {AGE_GROUP} AS age_group,
   s.duplicate_flag, CASE WHEN s.response_id IS NOT NULL AND s.country IS NOT NULL AND s.gender IS NOT NULL AND s.age IS NOT NULL THEN 'valid' ELSE 'invalid' END AS validation_status
 FROM feed_silver s LEFT JOIN (SELECT lower(country) AS ck, max(country_code) AS country_code FROM wb_silver GROUP BY 1) w ON lower(s.country) = w.ck""",
     "country_aliases": """
@@ -527,6 +539,13 @@ SELECT c_custkey, first(r_name ORDER BY r_regionkey) AS region_name FROM (
     "file_names": """
 SELECT page_id, regexp_extract(url, '[^/]*$') AS file_name, lower(replace(regexp_extract(url, '[^/]*$'), ' ', '_')) AS clean_name,
   lower(regexp_extract(regexp_extract(url, '[^/]*$'), '.(\\.[^.]+)$', 1)) AS extension FROM pages""",
+    "extension_check": """
+SELECT page_id, path, CASE WHEN e NOT IN ('.com', '.org') THEN 'extension not allowed: ' || e END AS reject_reason FROM (
+  SELECT *, lower(regexp_extract(regexp_extract(path, '[^/]*$'), '.(\\.[^.]+)$', 1)) AS e FROM (SELECT page_id, regexp_extract(url, '^[a-z]+://[^/?#]*') AS path FROM pages))""",
+    "load_count_check": """
+SELECT count(*) AS rows_sent, count(DISTINCT (response_id, delivery)) AS rows_loaded, count(*) = count(DISTINCT (response_id, delivery)) AS complete FROM feed""",
+    "ingest_round_trip": """
+SELECT s.* EXCLUDE (silver_processed_at), lower(s.country) AS path_country, '2024' AS path_year, '05' AS path_month, '01' AS path_day FROM silver s""",
     "bronze_layout": f"""
 SELECT lower(nullif(trim(country), '')) AS country, strftime(submission_timestamp, '%Y') AS year, strftime(submission_timestamp, '%m') AS month,
   strftime(submission_timestamp, '%d') AS day, source_system, count(*) AS rows_landed FROM survey_raw GROUP BY ALL""",

@@ -25,7 +25,10 @@ from pollstone.operators import (
     serving,
     validation,
 )
-from pollstone.sources import payloads, writers
+from pollstone.plans import ingest
+from pollstone.sources import payloads, tables, writers
+from pollstone.sources.readers import read_bronze
+from pollstone.sources.registry import Lake, bronze_datasets
 from pollstone.streaming import responses
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -178,9 +181,24 @@ def contract_conform(spark, folder):
     return plain(catalog.BRONZE_SURVEY.conform(fixtures.survey_raw(spark, folder)))
 
 
+@query
+def contract_rejects(spark, folder):
+    """Raw responses that lack a required field, with what they lack."""
+    _, rejected = catalog.BRONZE_SURVEY.split(fixtures.survey_raw(spark, folder))
+    return rejected.select("response_id", F.concat_ws(",", ERRORS).alias("errors"))
+
+
+@query
+def declared_silver(spark, folder):
+    """Deduplicated responses with every declared column of the clean layer."""
+    rows = feed_silver(spark, folder).drop("duplicate_flag")
+    loaded = rows.withColumn("ingestion_timestamp", F.col("loaded_at"))
+    return plain(reference.declared_survey(loaded, population_silver(spark, folder)))
+
+
 @query
 def silver_enriched(spark, folder):
-    checked = quality.with_row_checks(feed_silver(spark, folder).drop("duplicate_flag"))
+    checked = reference.with_row_checks(feed_silver(spark, folder).drop("duplicate_flag"))
     return reference.with_country_codes(checked, population_silver(spark, folder)).select(
         "response_id", "country", "country_code", "submission_date", "age_group", "duplicate_flag", "validation_status"
     )
@@ -588,6 +606,38 @@ def file_names(spark, folder):
     )
 
 
+@query
+def extension_check(spark, folder):
+    """Host names of pages as file paths: which extensions are refused."""
+    host = F.regexp_extract("url", "^[a-z]+://[^/?#]*", 0)
+    pages = fixtures.table(spark, folder, "pages").select("page_id", host.alias("path"))
+    return validation.with_extension_check(pages, (".com", ".org"))
+
+
+@query
+def load_count_check(spark, folder):
+    """Rows sent against rows found after exact copies went."""
+    feed = fixtures.survey_feed(spark, folder).select("response_id", "delivery")
+    return tables.count_check(feed, cleaning.clean_loaded_table(feed))
+
+
+@query
+def ingest_round_trip(spark, folder):
+    """Raw files in one folder per nation, ingested, landed, read back, cleaned and deduplicated."""
+    place = f"{shared_folder(spark)}/round_trips/{uuid.uuid4()}"
+    raw = fixtures.survey_raw(spark, folder).withColumn("nation", F.lower(F.trim("country")))
+    raw.write.partitionBy("nation").option("header", True).csv(f"{place}/raw")
+    lake = Lake.under(f"{place}/lake")
+    names = [row.n_name for row in fixtures.table(spark, folder, "nation").select("n_name").toLocalIterator()]
+    ingest.ingest_files(spark, f"{place}/raw", lake, countries=names, day=F.lit("2024-05-01"))
+    landed = read_bronze(
+        spark, bronze_datasets(lake)["survey_responses"].input_glob, "csv", catalog.BRONZE_SURVEY, folder_parts=True
+    )
+    typed = catalog.BRONZE_SURVEY.conform(landed, keep_extra=True)
+    cleaned = cleaning.clean_survey_responses(typed)
+    return plain(dedup.dedup_survey_responses(cleaned)).drop("path_source_system")
+
+
 @query
 def bronze_layout(spark, folder):
     """Rows per raw folder: country, year, month, day and source."""

@@ -42,7 +42,7 @@ SELECT r.response_id, r.respondent_id, r.survey_id, r.country, r.region, r.gende
   r.q1_democracy, r.q2_economy, CAST(1 + (l.l_suppkey + l.l_linenumber) % 5 AS INT) AS q3_trust_govt,
   r.q4_corruption, r.q5_election_fairness,
   l.l_shipdate AS loaded_at, l.l_linenumber AS delivery, l.l_partkey AS batch
-FROM {raw} r JOIN {lineitem} l ON r.response_id = CAST(l.l_orderkey AS STRING)
+FROM {raw} r JOIN {lineitem} l ON CAST(r.response_id AS BIGINT) = l.l_orderkey
 """
 
 # Population per nation and year in which the nation has orders.

@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pollstone.functions.expr import (
-    age_group,
     completed,
     count_where,
     freshness_band,
@@ -20,7 +19,6 @@ from pollstone.functions.expr import (
     quality_band,
     scaled_ratio,
 )
-from pollstone.operators.dedup import COPIES
 from pollstone.operators.rollups import duplicate_count, gold_marks
 
 # Columns that count towards completeness.
@@ -265,19 +263,3 @@ def cleaning_reduction(raw: DataFrame, keys: Sequence[str]) -> DataFrame:
         removed.alias("duplicates_removed"),
         percent(removed, F.col("rows_before")).alias("cleaning_reduction_percentage"),
     )
-
-
-def with_row_checks(survey: DataFrame) -> DataFrame:
-    """Add the declared row columns: duplicate flag, validation status, age group, submission date."""
-    known = F.lit(True)
-    for name in ("response_id", "country", "gender", "age"):
-        known = known & F.col(name).isNotNull()
-    flag = F.col(COPIES) > 1 if COPIES in survey.columns else F.lit(False)
-    return survey.withColumns(
-        {
-            "duplicate_flag": flag,
-            "validation_status": F.when(known, "valid").otherwise("invalid"),
-            "age_group": age_group(F.col("age")),
-            "submission_date": F.to_date("submission_timestamp"),
-        }
-    )

@@ -7,7 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pollstone.functions.expr import join_key
+from pollstone.contracts.catalog import SILVER_SURVEY
+from pollstone.functions.expr import age_group, join_key
+from pollstone.operators.dedup import COPIES
 
 KEY = "_country_key"
 
@@ -101,8 +103,37 @@ def country_in_file_name(name: Column, countries: Sequence[str] | Column = COUNT
     return F.get(hits, F.lit(0))
 
 
+def with_row_checks(survey: DataFrame) -> DataFrame:
+    """Add the declared row columns: duplicate flag, validation status, age group, submission date."""
+    known = F.lit(True)
+    for name in ("response_id", "country", "gender", "age"):
+        known = known & F.col(name).isNotNull()
+    flag = F.col(COPIES) > 1 if COPIES in survey.columns else F.lit(False)
+    return survey.withColumns(
+        {
+            "duplicate_flag": flag,
+            "validation_status": F.when(known, "valid").otherwise("invalid"),
+            "age_group": age_group(F.col("age")),
+            "submission_date": F.to_date("submission_timestamp"),
+        }
+    )
+
+
 def with_country_codes(df: DataFrame, population: DataFrame) -> DataFrame:
     """Add ``country_code`` from the population table, matched by name without case."""
     codes = population.groupBy(join_key(F.col("country")).alias(KEY)).agg(F.max("country_code").alias("country_code"))
     keyed = df.withColumn("_key", join_key(F.col("country")))
     return keyed.join(codes, F.col("_key") == F.col(KEY), "left").drop("_key", KEY)
+
+
+def declared_survey(survey: DataFrame, population: DataFrame) -> DataFrame:
+    """Clean responses in the full declared form of the clean layer.
+
+    Adds country code, age group, submission date, duplicate flag and
+    validation status; ``ingestion_timestamp`` comes from the raw file when the
+    rows carry it, else from the processing time.
+    """
+    checked = with_row_checks(survey)
+    if "ingestion_timestamp" not in survey.columns:
+        checked = checked.withColumn("ingestion_timestamp", F.col("silver_processed_at"))
+    return SILVER_SURVEY.conform(with_country_codes(checked, population))

@@ -16,6 +16,7 @@ from pollstone.sources.registry import BUSINESS_BUNDLE, PLATFORM_BUNDLE, REPORT_
 
 FILE_SCHEMA = "path string, uri string, modificationTime timestamp, length bigint"
 
+FOLDER_PARTS = ("country", "year", "month", "day", "source_system")
 JSON_RECORDS = {"world_bank_population": WORLD_BANK_RECORD, "country_reference": COUNTRY_RECORD}
 
 
@@ -31,6 +32,7 @@ def read_bronze(
     json_record: str | None = None,
     multi_line: bool = True,
     folder_parts: bool = False,
+    file_time: bool = False,
 ) -> DataFrame:
     """Read raw files as csv, json or parquet.
 
@@ -38,7 +40,8 @@ def read_bronze(
     is spent on inferring it and unused columns are pruned. Text columns are
     converted later, where an unreadable value becomes NULL or a reject. With
     ``folder_parts`` the Hive-style folder values come along under names of
-    their own, so the folder's country cannot replace the data column.
+    their own, so the folder's country cannot replace the data column;
+    ``file_time`` adds the file's modification time as ``ingestion_timestamp``.
     """
     paths = [path] if isinstance(path, str) else list(path)
     if file_format == "csv":
@@ -52,19 +55,15 @@ def read_bronze(
         reader = spark.read
     else:
         raise ValueError(f"Unsupported file format: {file_format}")
-    rows = reader.format(file_format).load(paths).withColumnsRenamed(
-        {REPORTED_COUNTRY: "country", REPORTED_SOURCE: "source_system"}
-    )
-    return _with_folder_parts(rows) if folder_parts else rows
-
-
-FOLDER_PARTS = ("country", "year", "month", "day", "source_system")
-
-
-def _with_folder_parts(df: DataFrame) -> DataFrame:
+    rows = reader.format(file_format).load(paths)
     where = F.col("_metadata.file_path")
-    parts = [F.regexp_extract(where, f"/{part}=([^/]*)/", 1).alias(f"path_{part}") for part in FOLDER_PARTS]
-    return df.select("*", *parts)
+    added = {}
+    if file_time:
+        added["ingestion_timestamp"] = F.col("_metadata.file_modification_time")
+    if folder_parts:
+        added |= {f"path_{part}": F.regexp_extract(where, f"/{part}=([^/]*)/", 1) for part in FOLDER_PARTS}
+    renamed = {REPORTED_COUNTRY: "country", REPORTED_SOURCE: "source_system"}
+    return (rows.withColumns(added) if added else rows).withColumnsRenamed(renamed)
 
 
 def list_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:

@@ -3,6 +3,7 @@ from datetime import datetime
 from conftest import rows
 from pyspark.sql import functions as F
 
+from pollstone.contracts.catalog import SILVER_SURVEY
 from pollstone.operators import ledger, reference
 
 
@@ -39,6 +40,15 @@ def test_aliases(spark):
     assert reference.standardize_country_names(df, {}) is df
 
 
+def test_row_checks(spark):
+    df = spark.createDataFrame(
+        [("1", "A", "x", 20, 1, datetime(2024, 1, 1)), ("2", None, "x", 20, 3, datetime(2024, 1, 1))],
+        "response_id string, country string, gender string, age int, copies bigint, submission_timestamp timestamp",
+    )
+    out = rows(reference.with_row_checks(df).select("response_id", "duplicate_flag", "validation_status", "age_group"))
+    assert out == [("1", False, "valid", "18-24"), ("2", True, "invalid", "18-24")]
+
+
 def test_unseen_files_need_name_and_hash(spark):
     files = spark.createDataFrame([("a", "1"), ("b", "2"), ("c", "3")], "file_name string, file_hash string")
     done = spark.createDataFrame(
@@ -87,3 +97,13 @@ def test_fingerprint_ignores_layout_but_not_content(spark):
     assert ledger.row_fingerprint(df.repartition(9, "v").orderBy(F.desc("id"))).first() == one
     assert ledger.row_fingerprint(df.withColumn("v", F.col("v") + 1)).first() != one
     assert ledger.row_fingerprint(df.union(df)).first() != one
+
+
+def test_declared_survey_matches_its_contract(spark, folder):
+    from acceptance.queries import population_silver, silver
+
+    out = reference.declared_survey(silver(spark, folder), population_silver(spark, folder))
+    assert out.columns == SILVER_SURVEY.columns
+    assert out.filter("country_code IS NOT NULL AND age_group IS NOT NULL").count() > 0
+    row = out.first()
+    assert row.ingestion_timestamp == row.submission_timestamp and row.duplicate_flag is False
