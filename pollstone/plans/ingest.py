@@ -181,9 +181,8 @@ def ingest_files(
         check_files(spark, folder, lake, contract, countries).write.mode("overwrite").parquet(stage)
         files = spark.read.parquet(stage)
         ready = files.filter("status = 'ready'")
-        paths = [row.path for row in ready.select("path").toLocalIterator()]
-        if paths:
-            rows = parsed_rows(spark, paths, ready, contract, keep=["country"])
+        if not ready.isEmpty():
+            rows = parsed_rows(spark, ready, contract, keep=["country"])
             landed = with_bronze_parts(rows, day=day, country=F.col("_country"), source=F.lit("csv"))
             land_bronze(landed.drop("_country"), lake.bronze, "csv")
         landed_now = F.col("status") == "ready"

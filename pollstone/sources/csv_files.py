@@ -7,6 +7,8 @@ each line is decoded and parsed with what is known about its file.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,8 +65,39 @@ def file_headers(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     )
 
 
+def _with_file_facts(spark: SparkSession, files: DataFrame, facts: Sequence[str], most_groups: int) -> DataFrame:
+    """Lines of all files next to what is known about their file.
+
+    Files usually share a few headers, so the facts are written into one read
+    per group of equal files and no line is shuffled. With more groups than
+    ``most_groups`` the facts are joined by file instead.
+    """
+    groups: dict[tuple, list[str]] = {}
+    for row in files.select("uri", *facts).toLocalIterator():
+        key = tuple(tuple(value) if isinstance(value, list) else value for value in row[1:])
+        groups.setdefault(key, []).append(unquote(row.uri))
+    names = [f"_{name}" for name in facts]
+    if len(groups) <= most_groups:
+        parts = []
+        for key, paths in groups.items():
+            known = {
+                name: F.array(*[F.lit(item) for item in value]) if isinstance(value, tuple) else F.lit(value)
+                for name, value in zip(names, key)
+            }
+            parts.append(_lines(spark, paths).select("value", *[known[name].alias(name) for name in names]))
+        return reduce(DataFrame.union, parts)
+    paths = [path for members in groups.values() for path in members]
+    lines = _lines(spark, paths).select("value", F.col("_metadata.file_path").alias("uri"))
+    known = files.select("uri", *[F.col(fact).alias(name) for fact, name in zip(facts, names)])
+    return lines.join(known, "uri").drop("uri")
+
+
 def parsed_rows(
-    spark: SparkSession, paths: Sequence[str], files: DataFrame, contract: Contract, keep: Sequence[str] = ()
+    spark: SparkSession,
+    files: DataFrame,
+    contract: Contract,
+    keep: Sequence[str] = (),
+    most_groups: int = 200,
 ) -> DataFrame:
     """Contract columns as text from all files, each file by its own header.
 
@@ -76,27 +109,21 @@ def parsed_rows(
     """
     width = files.agg(F.max(F.size("header"))).first()[0] or 1
     fields = [f"f{i}" for i in range(width)]
-    lines = _lines(spark, paths).select("value", F.col("_metadata.file_path").alias("_uri"))
-    carried = [F.col(name).alias(f"_{name}") for name in keep]
-    known = files.select(F.col("uri").alias("_uri"), "first_line", "header", "utf8", *carried)
-    joined = lines.join(known, "_uri").filter(
-        (F.col("value") != F.col("first_line")) & (_field_count(F.col("value")) <= F.size("header"))
-    )
-    text = F.when(F.col("utf8"), F.col("value")).otherwise(F.decode(F.col("value").cast("binary"), LATIN1))
-    parsed = joined.withColumn(
-        "_row", F.from_csv(text, ", ".join(f"{name} string" for name in fields), {"escape": '"'})
-    )
-    rows = parsed.withColumn("_values", F.array(*[F.col(f"_row.{name}") for name in fields]))
-
-    def column(name: str):
-        place = F.array_position("header", F.lit(name)).cast("int")
+    lines = _with_file_facts(spark, files, ["first_line", "header", "utf8", *keep], most_groups)
+    usable = lines.filter((F.col("value") != F.col("_first_line")) & (_field_count(F.col("value")) <= F.size("_header")))
+    text = F.when(F.col("_utf8"), F.col("value")).otherwise(F.decode(F.col("value").cast("binary"), LATIN1))
+    row = F.from_csv(text, ", ".join(f"{name} string" for name in fields), {"escape": '"'})
+    parsed = usable.withColumn("_row", row).withColumn("_values", F.array(*[F.col(f"_row.{name}") for name in fields]))
+
+    def column(name: str) -> Column:
+        place = F.array_position("_header", F.lit(name)).cast("int")
         return F.when(place > 0, F.get("_values", place - 1)).alias(name)
 
-    return rows.select(*[column(name) for name in contract.columns], *[f"_{name}" for name in keep])
+    return parsed.select(*[column(name) for name in contract.columns], *[f"_{name}" for name in keep])
 
 
 def read_csv_files(spark: SparkSession, paths: Sequence[str], contract: Contract) -> DataFrame:
     """All rows of several raw CSV files, typed by the contract."""
     if not paths:
         raise ValueError("No CSV files could be loaded")
-    return contract.conform(parsed_rows(spark, paths, file_headers(spark, paths), contract))
+    return contract.conform(parsed_rows(spark, file_headers(spark, paths), contract))

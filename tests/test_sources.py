@@ -1,7 +1,7 @@
 import hashlib
 
 import pytest
-from conftest import rows
+from conftest import plan, rows
 from pyspark.sql import functions as F
 
 from pollstone.contracts.catalog import COUNTRY_SURVEY_KPIS
@@ -57,6 +57,9 @@ def test_tolerant_csv(spark, tmp_path):
     paths = [str(tmp_path / name) for name in ("a.csv", "b.csv", "c.csv")]
     out = csv_files.read_csv_files(spark, paths, PAIR)
     assert rows(out) == sorted([('x, "y"', 1), ("z", 2), ("v", None), ("Côte", 5), ("Côte", 6)], key=str)
+    joined = csv_files.parsed_rows(spark, csv_files.file_headers(spark, paths), PAIR, most_groups=0)
+    assert rows(PAIR.conform(joined)) == rows(out)
+    assert "Join" not in plan(out)
     headers = {r.uri.rsplit("/", 1)[1]: r for r in csv_files.file_headers(spark, paths).collect()}
     assert not headers["b.csv"].utf8 and headers["c.csv"].utf8 and headers["c.csv"].header == ["a", "n"]
     with pytest.raises(ValueError, match="No CSV"):
