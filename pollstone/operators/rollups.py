@@ -201,23 +201,33 @@ def question_score(df: DataFrame, question: str, levels: Mapping[str, int] | Non
     number = answer.try_cast("double")
     if levels is None:
         return number
+    # Words first: a failed number conversion is the expensive branch.
     word = F.lower(F.trim(answer))
-    return F.coalesce(number, *[F.when(word == name, F.lit(float(score))) for name, score in levels.items()])
+    return F.coalesce(*[F.when(word == name, F.lit(float(score))) for name, score in levels.items()], number)
 
 
-def score_measures(df: DataFrame, asked: Perception, levels: Mapping[str, int] | None) -> dict[str, Column]:
-    """Aggregates for one question over completed responses that answered it."""
-    score = question_score(df, asked.question, levels)
-    answered = completed() & F.col(asked.question).isNotNull()
-    counted = F.when(answered, score)
-    whole = counted.try_cast("int")
+def with_scores(df: DataFrame, asked: Sequence[Perception], levels: Mapping[str, int] | None) -> DataFrame:
+    """Completion and, per question, whether it counts and its score, worked out once per row."""
+    done = df.withColumn("_done", completed())
+    scored = {}
+    for item in asked:
+        answered = F.col("_done") & F.col(item.question).isNotNull()
+        scored[f"_answered_{item.question}"] = F.coalesce(answered, F.lit(False))
+        scored[f"_score_{item.question}"] = F.when(answered, question_score(df, item.question, levels))
+    return done.withColumns(scored)
+
+
+def score_measures(asked: Perception) -> dict[str, Column]:
+    """Aggregates for one question over rows from :func:`with_scores`."""
+    score = F.col(f"_score_{asked.question}")
+    whole = score.try_cast("int")
     low, middle, high = asked.counts
     return {
-        "total_responses": count_where(answered),
-        asked.mean: rounded_mean(counted),
-        low: count_where(whole <= 2),
-        middle: count_where(whole == 3),
-        high: count_where(whole >= 4),
+        "total_responses": F.count_if(F.col(f"_answered_{asked.question}")),
+        asked.mean: rounded_mean(score),
+        low: F.count_if(whole <= 2),
+        middle: F.count_if(whole == 3),
+        high: F.count_if(whole >= 4),
     }
 
 
@@ -248,8 +258,8 @@ def perception_table(
 ) -> DataFrame:
     """Answers, mean, low/middle/high counts and index of one question."""
     valid = survey.filter(completed() & F.col(asked.question).isNotNull())
-    measures = score_measures(valid, asked, levels)
-    table = valid.groupBy(*grain).agg(*[measure.alias(name) for name, measure in measures.items()])
+    measures = [measure.alias(name) for name, measure in score_measures(asked).items()]
+    table = with_scores(valid, [asked], levels).groupBy(*grain).agg(*measures)
     return gold_marks(with_index(table, asked, grain), processed_at)
 
 
@@ -280,19 +290,19 @@ PERCEPTIONS = {
 def place_rollup(survey: DataFrame, levels: Mapping[str, int] | None = LEVEL_SCORES) -> DataFrame:
     """Everything the (country, region) tables need, from one scan and one shuffle.
 
-    One struct column per question. Write this table once and derive the KPI,
+    Columns of a question carry its table's name in front. Write this table once and derive the KPI,
     perception and coverage tables from it instead of reading all responses
     again for each of them.
     """
-    measures: list[Column] = []
-    for name, asked in PERCEPTIONS.items():
-        measures += [
-            measure.alias(f"{name}.{column}") for column, measure in score_measures(survey, asked, levels).items()
-        ]
-    return survey.groupBy(*PLACE).agg(
+    measures = [
+        measure.alias(f"{name}.{column}")
+        for name, asked in PERCEPTIONS.items()
+        for column, measure in score_measures(asked).items()
+    ]
+    return with_scores(survey, list(PERCEPTIONS.values()), levels).groupBy(*PLACE).agg(
         F.count(F.lit(1)).alias("total_responses"),
-        count_where(completed()).alias("completed_responses"),
-        count_where(~completed()).alias("incomplete_responses"),
+        F.count_if("_done").alias("completed_responses"),
+        F.count_if(~F.col("_done")).alias("incomplete_responses"),
         duplicate_count(survey).alias("duplicate_responses"),
         *measures,
     )
