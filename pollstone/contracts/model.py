@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
@@ -135,22 +136,22 @@ class Contract:
 
     def with_errors(self, df: DataFrame) -> DataFrame:
         """Conformed rows plus the list of fields each row violates (empty when it fits)."""
-        found: list[Column] = []
+        values = [self._value(df, field).alias(field.name) for field in self.fields]
+        given = [F.col(name).isNotNull().alias(f"_given_{name}") for name in self.columns if name in df.columns]
+        broken: list[tuple[Column, str]] = []
         for field in self.fields:
-            value = self._value(df, field)
+            absent = F.col(field.name).isNull()
             if field.name in df.columns:
-                unreadable = F.col(field.name).isNotNull() & value.isNull()
-                found.append(F.when(unreadable, F.lit(f"{field.name}: not a {field.type}")))
-                if field.required:
-                    absent = F.col(field.name).isNull() & value.isNull()
-                    found.append(F.when(absent, F.lit(f"{field.name}: required")))
-            elif field.required and field.default is None:
-                found.append(F.lit(f"{field.name}: required"))
-        checked = df.select(
-            *[self._value(df, field).alias(field.name) for field in self.fields],
-            F.array_compact(F.array(*found)).alias(ERRORS),
-        )
-        return checked
+                present = F.col(f"_given_{field.name}")
+                broken.append((present & absent, f"{field.name}: not a {field.type}"))
+                absent = absent & ~present
+            if field.required:
+                broken.append((absent, f"{field.name}: required"))
+        listed = F.array_compact(F.array(*[F.when(test, F.lit(text)) for test, text in broken]))
+        # Only rows with an error pay for building the list.
+        any_broken = reduce(lambda left, right: left | right, [test for test, _ in broken], F.lit(False))
+        errors = F.when(any_broken, listed).otherwise(F.array().cast("array<string>")).alias(ERRORS)
+        return df.select(*values, *given).select(*self.columns, errors)
 
     def split(self, df: DataFrame) -> tuple[DataFrame, DataFrame]:
         """(rows that keep the contract, rejected rows with their errors)."""
