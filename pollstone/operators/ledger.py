@@ -18,15 +18,16 @@ PROCESSED_FILES_SCHEMA = (
     "ingestion_timestamp timestamp, processing_status string, rows_loaded bigint, batch_id string, "
     "last_modified timestamp, created_at timestamp"
 )
-PIPELINE_RUNS_SCHEMA = (
+RUN_ATTRIBUTES = ("dag_id", "task_id", "pipeline_name", "run_type", "country", "source_system", "trigger_type", "environment")
+RUN_EVENTS_SCHEMA = (
     "run_id string, dag_id string, task_id string, pipeline_name string, run_type string, country string, "
-    "source_system string, start_time timestamp, end_time timestamp, duration_seconds double, status string, "
-    "rows_processed bigint, trigger_type string, rows_failed bigint, validation_pass_rate double, "
-    "environment string, error_message string, created_at timestamp"
+    "source_system string, trigger_type string, environment string, event_time timestamp, event_no int, "
+    "status string, rows_processed bigint, rows_failed bigint, validation_pass_rate double, error_message string"
 )
-INCREMENTAL_STATE_SCHEMA = (
-    "source_key string, last_successful_date date, last_ingestion_ts timestamp, last_run_id string, "
-    "rows_processed_total bigint, updated_at timestamp"
+QUALITY_METRICS_SCHEMA = (
+    "metric_id string, run_id string, country string, dataset_name string, completeness_score double, "
+    "duplicate_rate double, null_percentage double, validation_status string, failed_checks array<string>, "
+    "created_at timestamp"
 )
 
 
@@ -87,7 +88,8 @@ def current_runs(events: DataFrame, now: Column | None = None) -> DataFrame:
 
     ``events`` holds ``run_id, event_time, event_no, status, rows_processed``
     and optionally ``rows_failed, validation_pass_rate, end_time,
-    duration_seconds, error_message``. A finished run without an end time ends
+    duration_seconds, error_message`` and the run's attributes (name, type,
+    country, source), which count from the first event. A finished run without an end time ends
     at ``now`` (by default at its last event); a missing duration is the time from start to end. Both ends
     come from one aggregate, combined before the shuffle.
     """
@@ -104,8 +106,10 @@ def current_runs(events: DataFrame, now: Column | None = None) -> DataFrame:
         (F.col(name) if name in events.columns else F.lit(None)).cast(kind).alias(name)
         for name, kind in kinds.items()
     ]
+    known = [name for name in RUN_ATTRIBUTES if name in events.columns]
     moment = F.struct("event_time", "event_no")
     runs = events.groupBy("run_id").agg(
+        F.min_by(F.struct("event_time", *known), moment).alias("_first"),
         F.min("event_time").alias("start_time"),
         F.count(F.lit(1)).alias("events"),
         F.max_by(F.struct("event_time", *details), moment).alias("_last"),
@@ -115,6 +119,7 @@ def current_runs(events: DataFrame, now: Column | None = None) -> DataFrame:
     span = (F.unix_micros(F.to_timestamp(end)) - F.unix_micros(F.to_timestamp("start_time"))) / 1_000_000
     return runs.select(
         "run_id",
+        *[F.col(f"_first.{name}").alias(name) for name in known],
         "start_time",
         end.alias("end_time"),
         F.when(~running, F.coalesce(F.col("_last.duration_seconds"), span)).alias("duration_seconds"),

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
+from pollstone.plans.bookkeeping import record_quality, record_run
 from pollstone.plans.gold import run_silver_to_gold
 from pollstone.plans.ingest import ingest_files, ingest_payloads, ingest_table
 from pollstone.plans.silver import run_bronze_to_silver
+from pollstone.sources.readers import read_silver
 from pollstone.sources.registry import API_SOURCES, Lake
 
 
@@ -29,10 +32,14 @@ def run_all(
     files = ingest_files(spark, raw_files, lake)
     sources = API_SOURCES if raw_answers else ()
     answers = {name: ingest_payloads(spark, f"{raw_answers}/{name}", lake, name) for name in sources}
-    return {
-        "tables": loaded,
-        "files": files,
-        "answers": answers,
-        "silver": run_bronze_to_silver(spark, lake, now, with_database=bool(loaded)),
-        "gold": run_silver_to_gold(spark, lake, now),
-    }
+    run = str(uuid.uuid4())
+    record_run(spark, lake, run, "silver_and_gold", "running", run_type="full")
+    try:
+        silver = run_bronze_to_silver(spark, lake, now, with_database=bool(loaded))
+        record_quality(spark, lake, run, read_silver(spark, lake.silver)["survey_responses"])
+        gold = run_silver_to_gold(spark, lake, now)
+    except Exception as error:
+        record_run(spark, lake, run, "silver_and_gold", "failed", error_message=str(error)[:1000])
+        raise
+    record_run(spark, lake, run, "silver_and_gold", "success", silver["survey_responses"])
+    return {"tables": loaded, "files": files, "answers": answers, "silver": silver, "gold": gold}

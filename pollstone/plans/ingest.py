@@ -10,9 +10,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
-from datetime import UTC, datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +19,7 @@ from pollstone.contracts.model import Contract
 from pollstone.operators import ledger as books
 from pollstone.operators.reference import COUNTRIES, country_in_path
 from pollstone.operators.validation import with_extension_check
+from pollstone.plans.bookkeeping import append, processed_files, record_run
 from pollstone.sources import payloads as answers
 from pollstone.sources.csv_files import file_headers, parsed_rows
 from pollstone.sources.readers import file_hashes, list_files
@@ -33,50 +32,6 @@ OUTCOME_COLUMNS = (
 )
 
 
-def read_book(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A bookkeeping table, empty before its first entry."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-
-
-def processed_files(spark: SparkSession, lake: Lake) -> DataFrame:
-    return read_book(spark, f"{lake.meta}/processed_files", books.PROCESSED_FILES_SCHEMA)
-
-
-def _append(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
-
-
-def record_run(
-    spark: SparkSession,
-    lake: Lake,
-    run_id: str,
-    pipeline: str,
-    status: str,
-    rows: int = 0,
-    error: str | None = None,
-    at: datetime | None = None,
-) -> None:
-    """Append one event of a run; its state is read with :func:`runs`."""
-    if status not in books.RUN_STATES:
-        raise ValueError(f"Unknown run status: {status}")
-    moment = at or datetime.now(UTC).replace(tzinfo=None)
-    event = spark.createDataFrame(
-        [(run_id, pipeline, moment, books.RUN_STATES.index(status), status, rows, error)],
-        "run_id string, pipeline_name string, event_time timestamp, event_no int, status string, "
-        "rows_processed bigint, error_message string",
-    )
-    _append(event.coalesce(1), f"{lake.meta}/run_events")
-
-
-def runs(spark: SparkSession, lake: Lake) -> DataFrame:
-    return books.current_runs(spark.read.parquet(f"{lake.meta}/run_events"))
-
-
 def _finish(
     spark: SparkSession, lake: Lake, outcomes: DataFrame, run_id: str, landed: str = "success"
 ) -> DataFrame:
@@ -85,7 +40,7 @@ def _finish(
     outcomes.select(*OUTCOME_COLUMNS).write.mode("overwrite").parquet(path)
     written = spark.read.parquet(path)
     entries = books.ledger_entries(written.filter(F.col("status") == landed), batch_id=run_id)
-    _append(entries, f"{lake.meta}/processed_files")
+    append(entries, f"{lake.meta}/processed_files")
     return written
 
 
@@ -175,7 +130,7 @@ def ingest_files(
 ) -> DataFrame:
     """Land all new, acceptable CSV files of a folder tree; returns one outcome row per file."""
     run = run_id or str(uuid.uuid4())
-    record_run(spark, lake, run, "csv_ingestion", "running")
+    record_run(spark, lake, run, "csv_ingestion", "running", run_type="full")
     try:
         stage = f"{lake.meta}/staging/files_{run}"
         check_files(spark, folder, lake, contract, countries).write.mode("overwrite").parquet(stage)
@@ -193,10 +148,13 @@ def ingest_files(
             }
         )
         result = _finish(spark, lake, outcomes, run)
-        record_run(spark, lake, run, "csv_ingestion", "success", result.filter("status = 'success'").count())
+        counts = {row.status: row["count"] for row in result.groupBy("status").count().collect()}
+        record_run(
+            spark, lake, run, "csv_ingestion", "success", counts.get("success", 0), rows_failed=counts.get("failed", 0)
+        )
         return result
     except Exception as error:
-        record_run(spark, lake, run, "csv_ingestion", "failed", error=str(error)[:1000])
+        record_run(spark, lake, run, "csv_ingestion", "failed", error_message=str(error)[:1000])
         raise
 
 
@@ -212,7 +170,7 @@ def ingest_payloads(
         raise ValueError(f"Unknown API source: {source}")
     run = run_id or str(uuid.uuid4())
     pipeline = f"api_{source}"
-    record_run(spark, lake, run, pipeline, "running")
+    record_run(spark, lake, run, pipeline, "running", run_type="api", source_system=source)
     try:
         texts = (
             spark.read.option("wholetext", True)
@@ -262,7 +220,7 @@ def ingest_payloads(
         record_run(spark, lake, run, pipeline, "success", landed)
         return result
     except Exception as error:
-        record_run(spark, lake, run, pipeline, "failed", error=str(error)[:1000])
+        record_run(spark, lake, run, pipeline, "failed", error_message=str(error)[:1000])
         raise
 
 
@@ -283,13 +241,13 @@ def ingest_table(
     """
     run = run_id or str(uuid.uuid4())
     pipeline = f"db_{table}"
-    record_run(spark, lake, run, pipeline, "running")
+    record_run(spark, lake, run, pipeline, "running", run_type="db", source_system=source_system)
     try:
         mark = books.row_fingerprint(rows).first()
         missing = contract.missing_required(rows)
         if mark.rows == 0 or missing:
             reason = f"missing columns: {','.join(missing)}" if missing else "empty table"
-            record_run(spark, lake, run, pipeline, "failed", error=reason)
+            record_run(spark, lake, run, pipeline, "failed", error_message=reason)
             return "failed"
         entry = spark.createDataFrame(
             [(table, mark.file_hash, "global", source_system, mark.rows)],
@@ -300,11 +258,11 @@ def ingest_table(
             return "skipped"
         parts = with_bronze_parts(rows, day=day, country=F.lit("global"), source=F.lit(source_system))
         land_bronze(parts, lake.bronze, "parquet")
-        _append(books.ledger_entries(entry, batch_id=run), f"{lake.meta}/processed_files")
+        append(books.ledger_entries(entry, batch_id=run), f"{lake.meta}/processed_files")
         record_run(spark, lake, run, pipeline, "success", mark.rows)
         return "success"
     except Exception as error:
-        record_run(spark, lake, run, pipeline, "failed", error=str(error)[:1000])
+        record_run(spark, lake, run, pipeline, "failed", error_message=str(error)[:1000])
         raise
 
 

@@ -2,18 +2,19 @@ import json
 from datetime import datetime
 
 import pytest
-from conftest import rows
+from conftest import plan, rows
 from pyspark.sql import functions as F
 
 from acceptance.queries import countries_silver, population_silver, silver
-from pollstone import fixtures
+from pollstone import __main__, fixtures
 from pollstone.contracts.catalog import BRONZE_SURVEY, GOLD
 from pollstone.operators import rollups
 from pollstone.operators.validation import ValidationError
-from pollstone.plans import end_to_end, gold, ingest
+from pollstone.plans import bookkeeping, end_to_end, gold, ingest
 from pollstone.plans import silver as silver_plan
 from pollstone.sources import readers
 from pollstone.sources.registry import Lake
+from pollstone.sources.writers import write_silver
 from pollstone.streaming import responses
 
 HEADER = ",".join(BRONZE_SURVEY.columns)
@@ -50,17 +51,17 @@ def test_files_are_ingested_once(spark, raw, tmp_path):
     assert first["notes.txt"][:2] == ("failed", "extension not allowed: .txt")
     assert (tmp_path / "lake/bronze/country=nigeria/year=2024/month=05/day=02/source_system=csv").is_dir()
 
-    book = ingest.processed_files(spark, lake)
+    book = bookkeeping.processed_files(spark, lake)
     assert sorted(r.rows_loaded for r in book.collect()) == [1, 3]
 
     again = outcome(ingest.ingest_files(spark, str(raw), lake, run_id="r2"))
     assert again["a.csv"][0] == again["b.csv"][0] == "skipped"
-    assert ingest.processed_files(spark, lake).count() == 2
+    assert bookkeeping.processed_files(spark, lake).count() == 2
 
     (raw / "nigeria" / "b.csv").write_text("\n".join([HEADER, line(5, "nigeria")]) + "\n")
     third = outcome(ingest.ingest_files(spark, str(raw), lake, day=F.lit("2024-05-03"), run_id="r3"))
     assert (third["a.csv"][0], third["b.csv"][0]) == ("skipped", "success")
-    states = {r.run_id: (r.status, r.rows_processed) for r in ingest.runs(spark, lake).collect()}
+    states = {r.run_id: (r.status, r.rows_processed) for r in bookkeeping.pipeline_runs(spark, lake).collect()}
     assert states == {"r1": ("success", 2), "r2": ("success", 0), "r3": ("success", 1)}
 
     landed = silver_plan.read_dataset(spark, silver_plan.bronze_datasets(lake)["survey_responses"])
@@ -74,10 +75,10 @@ def test_failed_run_is_recorded(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(ingest, "check_files", lambda *a, **k: 1 / 0)
     with pytest.raises(ZeroDivisionError):
         ingest.ingest_files(spark, str(tmp_path), lake, run_id="r")
-    run = ingest.runs(spark, lake).first()
+    run = bookkeeping.pipeline_runs(spark, lake).first()
     assert (run.status, run.log_level) == ("failed", "error") and "division" in run.error_message
     with pytest.raises(ValueError):
-        ingest.record_run(spark, lake, "r", "p", "paused")
+        bookkeeping.record_run(spark, lake, "r", "p", "paused")
 
 
 def test_answers_are_known_by_content(spark, tmp_path):
@@ -146,6 +147,14 @@ def test_end_to_end(spark, folder, tmp_path):
     views = readers.read_silver(spark, lake.silver, views=True)
     assert spark.table("survey_responses").count() == views["survey_responses"].count()
 
+    metrics = bookkeeping.data_quality_metrics(spark, lake)
+    assert metrics.count() == 25 and {r.duplicate_rate for r in metrics.collect()} == {0.0}
+    state = {r.source_key: r.rows_processed_total for r in bookkeeping.incremental_state(spark, lake).collect()}
+    assert state["csv"] == raw_rows.count() + 50 and state["restcountries"] == 24
+    runs = {r.pipeline_name: r for r in bookkeeping.pipeline_runs(spark, lake).collect()}
+    assert set(runs) == {"csv_ingestion", "api_world_bank", "api_restcountries", "silver_and_gold"}
+    assert {r.status for r in runs.values()} == {"success"} and runs["api_world_bank"].run_type == "api"
+
     again = gold.run_silver_to_gold(spark, lake, now)
     assert again == written["gold"]
 
@@ -191,3 +200,21 @@ def test_stream_drops_rows_past_the_watermark(spark, tmp_path):
 
     assert run("a", 1, 1, 2, 6) == {1: 2, 2: 1}
     assert run("b", 1, 5, 9) == {1: 2, 2: 1, 5: 1, 6: 1}
+
+
+def test_command_line(spark, raw, tmp_path):
+    root = str(tmp_path / "lake")
+    files = __main__.run(spark, ["files", "--lake", root, "--raw", str(raw)])
+    assert outcome(files)["a.csv"][0] == "success"
+    with pytest.raises(SystemExit):
+        __main__.run(spark, ["answers", "--lake", root, "--raw", "x", "--source", "other"])
+
+
+def test_clean_table_scan_is_pruned(spark, folder, tmp_path):
+    """Filters and columns reach the Parquet scan of the clean table."""
+    path = str(tmp_path / "survey_responses")
+    write_silver(silver(spark, folder), path, ["country"])
+    table = rollups.governance_trust(spark.read.parquet(path).filter("country = 'Nation_3'"))
+    text = plan(table)
+    assert "PartitionFilters: [isnotnull(country" in text and "IsNotNull(q3_trust_govt)" in text
+    assert "ReadSchema: struct<region:string,completion_status:string,q3_trust_govt:int>" in text
