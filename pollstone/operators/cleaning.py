@@ -114,6 +114,14 @@ def clean_survey_responses(df: DataFrame) -> DataFrame:
     )
 
 
+LOAD_TIME = "ingestion_timestamp"
+
+
+def _load_time(df: DataFrame) -> list[str]:
+    """The load time, carried along when the raw rows have it, for deduplication."""
+    return [LOAD_TIME] if LOAD_TIME in df.columns else []
+
+
 def clean_world_bank_population(df: DataFrame) -> DataFrame:
     """Nested population records to flat rows; negative populations become NULL."""
     flat = df.select(
@@ -125,6 +133,7 @@ def clean_world_bank_population(df: DataFrame) -> DataFrame:
         "obs_status",
         "unit",
         "decimal",
+        *_load_time(df),
     )
     cleaned = (
         flat.transform(standardize_column_names)
@@ -151,6 +160,7 @@ def clean_country_reference(df: DataFrame) -> DataFrame:
             "subregion",
             "population",
             "area",
+            *_load_time(df),
         )
         .transform(standardize_column_names)
         .transform(trim_text)

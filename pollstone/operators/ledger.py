@@ -16,7 +16,7 @@ PROCESSED = "processed"
 PROCESSED_FILES_SCHEMA = (
     "file_id string, file_name string, file_hash string, country string, source_system string, "
     "ingestion_timestamp timestamp, processing_status string, rows_loaded bigint, batch_id string, "
-    "last_modified timestamp, created_at timestamp"
+    "last_modified timestamp, file_size bigint, created_at timestamp"
 )
 RUN_ATTRIBUTES = ("dag_id", "task_id", "pipeline_name", "run_type", "country", "source_system", "trigger_type", "environment")
 RUN_EVENTS_SCHEMA = (
@@ -54,6 +54,7 @@ def ledger_entries(
     optional = {
         "rows_loaded": "bigint",
         "last_modified": "timestamp",
+        "file_size": "bigint",
     }
     extra = [
         (F.col(name) if name in files.columns else F.lit(None)).cast(kind).alias(name)

@@ -29,6 +29,7 @@ from pollstone.sources.writers import land_bronze, with_bronze_parts
 
 OUTCOME_COLUMNS = (
     "path", "file_name", "file_hash", "country", "source_system", "status", "reason", "rows_loaded", "last_modified",
+    "file_size",
 )
 
 
@@ -54,8 +55,9 @@ def _unchanged(spark: SparkSession, lake: Lake) -> DataFrame:
     return done.select(
         F.col("file_name").alias("path"),
         F.col("last_modified").alias("modificationTime"),
+        F.col("file_size").alias("length"),
         F.col("file_hash").alias("_known_hash"),
-    ).dropDuplicates(["path", "modificationTime"])
+    ).dropDuplicates(["path", "modificationTime", "length"])
 
 
 def check_files(
@@ -65,15 +67,17 @@ def check_files(
     contract: Contract = BRONZE_SURVEY,
     countries: Sequence[str] | Column = COUNTRIES,
     pattern: str = "*",
+    trust_listing: bool = True,
 ) -> DataFrame:
     """Every file below a folder as failed, skipped or ready, with the reason.
 
-    Files the ledger knows with the same modification time are not opened
-    again. Of the others only names pass through the driver, as in any read of
+    Files the ledger knows with the same modification time and size are not
+    opened again, unless ``trust_listing`` is off. Of the others only names pass through the driver, as in any read of
     listed files; their content is hashed and looked at where it is.
     """
+    known = _unchanged(spark, lake)
     listed = with_extension_check(list_files(spark, folder, pattern)).join(
-        _unchanged(spark, lake), ["path", "modificationTime"], "left"
+        known if trust_listing else known.limit(0), ["path", "modificationTime", "length"], "left"
     )
     is_csv = F.endswith(F.lower("path"), F.lit(".csv"))
     to_open = listed.filter(is_csv & F.col("_known_hash").isNull())
@@ -111,6 +115,7 @@ def check_files(
         "header",
         "utf8",
         F.col("modificationTime").alias("last_modified"),
+        F.col("length").alias("file_size"),
         country_in_path(F.col("path"), countries).alias("country"),
         F.lit("csv").alias("source_system"),
         F.col("usable_rows").alias("rows_loaded"),
@@ -127,13 +132,15 @@ def ingest_files(
     countries: Sequence[str] | Column = COUNTRIES,
     day: Column | None = None,
     run_id: str | None = None,
+    trust_listing: bool = True,
 ) -> DataFrame:
     """Land all new, acceptable CSV files of a folder tree; returns one outcome row per file."""
     run = run_id or str(uuid.uuid4())
     record_run(spark, lake, run, "csv_ingestion", "running", run_type="full")
     try:
         stage = f"{lake.meta}/staging/files_{run}"
-        check_files(spark, folder, lake, contract, countries).write.mode("overwrite").parquet(stage)
+        checked = check_files(spark, folder, lake, contract, countries, trust_listing=trust_listing)
+        checked.write.mode("overwrite").parquet(stage)
         files = spark.read.parquet(stage)
         ready = files.filter("status = 'ready'")
         if not ready.isEmpty():
@@ -181,6 +188,7 @@ def ingest_payloads(
                 "value",
                 F.col("_metadata.file_path").alias("path"),
                 F.col("_metadata.file_modification_time").alias("last_modified"),
+                F.col("_metadata.file_size").alias("file_size"),
             )
         )
         shaped = answers.shaped(texts, source)
@@ -200,6 +208,7 @@ def ingest_payloads(
                 F.col("reject_reason").alias("reason"),
                 F.size("records").cast("bigint").alias("rows_loaded"),
                 "last_modified",
+                "file_size",
                 F.when(F.col("reject_reason").isNotNull(), "failed")
                 .when(F.col("_seen") | F.col("_first").isNull(), "skipped")
                 .otherwise("success")

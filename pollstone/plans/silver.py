@@ -6,7 +6,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from pollstone.contracts.catalog import BRONZE_SURVEY
-from pollstone.operators.cleaning import clean_dataset
+from pollstone.operators.cleaning import LOAD_TIME, clean_dataset
 from pollstone.operators.dedup import dedup_dataset
 from pollstone.operators.validation import ValidationError, require_valid
 from pollstone.sources.readers import JSON_RECORDS, read_bronze, union_all
@@ -15,17 +15,24 @@ from pollstone.sources.writers import default_partitions, write_silver
 
 
 def read_dataset(spark: SparkSession, dataset: Dataset) -> DataFrame:
-    """Raw rows with declared types; no inference scan."""
+    """Raw rows with declared types and the time of their file; no inference scan."""
     if dataset.name == "survey_responses":
-        raw = read_bronze(spark, dataset.input_glob, dataset.format, BRONZE_SURVEY)
-        return BRONZE_SURVEY.conform(raw)
+        raw = read_bronze(spark, dataset.input_glob, dataset.format, BRONZE_SURVEY, file_time=True)
+        return BRONZE_SURVEY.conform(raw, keep_extra=True)
     return read_bronze(
-        spark, dataset.input_glob, dataset.format, json_record=JSON_RECORDS.get(dataset.name), multi_line=dataset.multi_line
+        spark,
+        dataset.input_glob,
+        dataset.format,
+        json_record=JSON_RECORDS.get(dataset.name),
+        multi_line=dataset.multi_line,
+        file_time=True,
     )
 
 
 def transform_dataset(bronze: DataFrame, name: str, processed_at: Column | None = None) -> DataFrame:
-    return dedup_dataset(clean_dataset(bronze, name, processed_at), name)
+    """Clean rows, the latest load per key; reference tables do not keep the load time."""
+    unique = dedup_dataset(clean_dataset(bronze, name, processed_at), name)
+    return unique if name == "survey_responses" else unique.drop(LOAD_TIME)
 
 
 def staged(df: DataFrame, path: str) -> DataFrame:

@@ -57,6 +57,8 @@ def test_files_are_ingested_once(spark, raw, tmp_path):
     again = outcome(ingest.ingest_files(spark, str(raw), lake, run_id="r2"))
     assert again["a.csv"][0] == again["b.csv"][0] == "skipped"
     assert bookkeeping.processed_files(spark, lake).count() == 2
+    hashed = outcome(ingest.check_files(spark, str(raw), lake, trust_listing=False))
+    assert hashed["a.csv"][0] == hashed["b.csv"][0] == "skipped"
 
     (raw / "nigeria" / "b.csv").write_text("\n".join([HEADER, line(5, "nigeria")]) + "\n")
     third = outcome(ingest.ingest_files(spark, str(raw), lake, day=F.lit("2024-05-03"), run_id="r3"))
