@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from functools import reduce
+from functools import reduce, wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,8 +40,15 @@ MARKS = ("gold_processed_at", "execution_date", "source_layer", "target_layer")
 
 
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
-    return function
+    """Register a query; times are compared in UTC whatever the session was started with."""
+
+    @wraps(function)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return function(spark, folder)
+
+    QUERIES[function.__name__] = run
+    return run
 
 
 def plain(df: DataFrame) -> DataFrame:

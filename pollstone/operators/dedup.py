@@ -59,12 +59,21 @@ def merge_copies(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) ->
     ``copies`` is combined before the shuffle, so the true number of
     duplicates costs no second pass.
     """
-    rest = _orderable(df, [*keys, *order_by])
-    newest = F.struct(*[F.col(name) for name in (*order_by, *rest)])
+    ordered = [*order_by, *_orderable(df, [*keys, *order_by])]
+    carried = [name for name in df.columns if name not in ordered and name not in keys]
+    newest = F.struct(*ordered)
+    picked = [F.max(newest).alias("_newest"), F.count(F.lit(1)).alias(COPIES)]
+    if carried:
+        picked.append(F.max_by(F.struct(*carried), newest).alias("_carried"))
+    places = {**{name: f"_newest.{name}" for name in ordered}, **{name: f"_carried.{name}" for name in carried}}
     return (
         df.groupBy(*keys)
-        .agg(F.max_by(F.struct(*df.columns), newest).alias("_row"), F.count(F.lit(1)).alias(COPIES))
-        .select("_row.*", COPIES, (F.col(COPIES) > 1).alias("duplicate_flag"))
+        .agg(*picked)
+        .select(
+            *[F.col(places.get(name, name)).alias(name) for name in df.columns],
+            COPIES,
+            (F.col(COPIES) > 1).alias("duplicate_flag"),
+        )
     )
 
 

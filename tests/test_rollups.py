@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from acceptance.queries import countries_silver, population_silver, silver
 from pollstone.contracts import catalog
-from pollstone.operators import rollups
+from pollstone.operators import reference, rollups
 
 SURVEY = (
     "country string, region string, gender string, age int, education_level string, employment_status string, "
@@ -136,6 +136,13 @@ def test_dimension_joins_are_broadcast_after_measuring(spark, folder):
     assert "SortMergeJoin" not in plan(out)
 
 
+def test_responses_are_not_shuffled_for_a_small_reference_table(spark, folder, tmp_path):
+    population_silver(spark, folder).write.parquet(str(tmp_path / "population"))
+    population = spark.read.parquet(str(tmp_path / "population"))
+    coded = reference.with_country_codes(silver(spark, folder), population)
+    assert "BroadcastHashJoin" in plan(coded) and "SortMergeJoin" not in plan(coded)
+
+
 def test_columns_match_the_contracts(spark, folder):
     survey_rows = silver(spark, folder)
     tables = {
