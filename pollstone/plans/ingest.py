@@ -134,7 +134,10 @@ def ingest_files(
     run_id: str | None = None,
     trust_listing: bool = True,
 ) -> DataFrame:
-    """Land all new, acceptable CSV files of a folder tree; returns one outcome row per file."""
+    """Land all new, acceptable CSV files of a folder tree, or of one country's folder in it.
+
+    Returns one outcome row per file.
+    """
     run = run_id or str(uuid.uuid4())
     record_run(spark, lake, run, "csv_ingestion", "running", run_type="full")
     try:

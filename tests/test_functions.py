@@ -8,8 +8,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pollstone.functions import expr
-from pollstone.functions.durable import shared_folder
+from pollstone.functions import expr, running
+from pollstone.functions.durable import durable, shared_folder
 from pollstone.functions.names import plain_name, rename_columns, snake_case
 from pollstone.functions.running import running_total
 
@@ -122,10 +122,23 @@ def test_running_total_equals_brute_force_with_a_hot_group(spark):
     assert got == sorted(expected, key=str)
 
 
-def test_running_total_spreads_a_hot_group(spark):
+def test_running_total_spreads_a_hot_group(spark, monkeypatch):
+    seen = {}
+
+    def watched(df):
+        seen["slices"] = durable(df)
+        return seen["slices"]
+
+    monkeypatch.setattr(running, "durable", watched)
     df = spark.range(20000).selectExpr("'one' AS g", "id AS o", "1L AS n")
-    out = running_total(df, ["g"], ["o"], "n", "total")
-    assert out.agg(F.max("total"), F.count_distinct("total")).first()[:] == (20000, 20000)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = running_total(df, ["g"], ["o"], "n", "total")
+        assert out.agg(F.max("total"), F.count_distinct("total")).first()[:] == (20000, 20000)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    sizes = [r["count"] for r in seen["slices"].groupBy("_slice").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * 20000 / 8
 
 
 def test_checkpoint_folder_comes_from_the_session(spark):
