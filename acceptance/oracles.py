@@ -435,10 +435,10 @@ FROM silver WHERE lower(completion_status) = 'completed' AND q4_corruption IS NO
     "place_rollup_coverage": "SELECT * FROM coverage",
     "data_quality_summary": "SELECT * FROM quality",
     "reliability_index": "SELECT * FROM reliability",
-    "pipeline_runtime": f"""
+    "job_runtime": f"""
 SELECT 'survey_silver_to_gold' AS pipeline_name, CAST(s AS DOUBLE) AS runtime_seconds, {ratio('s', '60', 1)} AS runtime_minutes, 'SUCCESS' AS status, total AS records_processed
 FROM (SELECT total, CAST(floor(epoch(last_processed)) - floor(epoch(first_processed)) AS BIGINT) AS s FROM profile)""",
-    "pipeline_status": "SELECT * FROM status",
+    "job_status": "SELECT * FROM status",
     "data_freshness": "SELECT * FROM freshness",
     "freshness_by_country": f"""
 SELECT country, f AS last_ingestion_timestamp, l AS last_update_timestamp, {ratio('a', '3600', 1)} AS freshness_hours,

@@ -336,12 +336,12 @@ def reliability_index(spark, folder):
 
 
 @query
-def pipeline_runtime(spark, folder):
+def job_runtime(spark, folder):
     return plain(quality.pipeline_runtime(profile(spark, folder), now=now()))
 
 
 @query
-def pipeline_status(spark, folder):
+def job_status(spark, folder):
     return plain(quality.pipeline_status(profile(spark, folder), now=now()))
 
 
@@ -427,7 +427,7 @@ def record_breakdown(spark, folder):
 
 @query
 def job_health(spark, folder):
-    return serving.job_health(pipeline_status(spark, folder))
+    return serving.job_health(job_status(spark, folder))
 
 
 @query
