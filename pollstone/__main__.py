@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import argparse
-import sys
-from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
@@ -38,8 +36,7 @@ def parser() -> argparse.ArgumentParser:
     return top
 
 
-def run(spark: SparkSession, arguments: Sequence[str]) -> object:
-    options = parser().parse_args(arguments)
+def run(spark: SparkSession, options: argparse.Namespace) -> object:
     lake = Lake.under(options.lake)
     if options.job == "files":
         return ingest_files(spark, options.raw, lake)
@@ -55,9 +52,10 @@ def run(spark: SparkSession, arguments: Sequence[str]) -> object:
 
 
 def main() -> None:
+    options = parser().parse_args()
     spark = build_session()
     try:
-        run(spark, sys.argv[1:])
+        run(spark, options)
     finally:
         spark.stop()
 

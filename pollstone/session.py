@@ -13,6 +13,8 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.files.ignoreCorruptFiles": "false",
+    # Checkpoint files go when nothing refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Streaming state may outgrow executor memory.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -24,8 +26,8 @@ def build_session(app_name: str = "pollstone", conf: Mapping[str, str] | None =
     """Create or reuse a session.
 
     The master, memory and executor sizes are left to ``spark-submit``; only
-    settings that change results (time zone), skew handling or where streaming
-    state lives are fixed here.
+    settings that change results (time zone), skew handling, checkpoint
+    cleaning or where streaming state lives are fixed here.
     """
     builder = SparkSession.builder.appName(app_name)
     for key, value in {**SESSION_DEFAULTS, **(conf or {})}.items():

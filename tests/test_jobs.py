@@ -206,10 +206,11 @@ def test_stream_drops_rows_past_the_watermark(spark, tmp_path):
 
 def test_command_line(spark, raw, tmp_path):
     root = str(tmp_path / "lake")
-    files = __main__.run(spark, ["files", "--lake", root, "--raw", str(raw)])
+    parse = __main__.parser().parse_args
+    files = __main__.run(spark, parse(["files", "--lake", root, "--raw", str(raw)]))
     assert outcome(files)["a.csv"][0] == "success"
     with pytest.raises(SystemExit):
-        __main__.run(spark, ["answers", "--lake", root, "--raw", "x", "--source", "other"])
+        parse(["answers", "--lake", root, "--raw", "x", "--source", "other"])
 
 
 def test_clean_table_scan_is_pruned(spark, folder, tmp_path):
