@@ -50,7 +50,7 @@ def frames(batches: Iterator[pa.RecordBatch], most_bytes: int = 8 << 20) -> Iter
             yield batch.slice(start, step).to_pandas()
 
 
-def dealt(keys: np.ndarray, count: int) -> Iterator[tuple[int, np.ndarray]]:
+def dealt(keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """For each bucket that has rows: its number and their positions, in order."""
     order = np.argsort(keys, kind="stable")
     ranked = keys[order]

@@ -30,6 +30,8 @@ LENGTH = 50
 GRAM = 26
 #: Long texts are cut into pieces of so many string starts, which is also how much is worked on at once.
 PIECE = 1 << 20
+#: Characters of text whose segments are gathered and compared before they are sent.
+FILED_AT_ONCE = 6 << 20
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _M64 = (1 << 64) - 1
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -190,7 +192,7 @@ _RUN = ("<i8", "<i4", "<u1")  # document key, first start, count of starts
 
 def _runs(key: np.ndarray, start: np.ndarray, count: np.ndarray, buckets: int, kind: int) -> Iterator[tuple[int, int, int, bytes]]:
     """Rows of runs, dealt to the buckets of their documents."""
-    for bucket, rows in dealt(key.view(np.uint64) % np.uint64(buckets), buckets):
+    for bucket, rows in dealt(key.view(np.uint64) % np.uint64(buckets)):
         rows = rows[np.lexsort((start[rows], key[rows]))]
         yield kind, bucket, len(rows), _planes(key[rows].astype("<i8"), start[rows].astype("<i4"), count[rows].astype("<u1"))
 
@@ -206,7 +208,7 @@ def _filed(rows: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch:
     )
 
 
-def _file(texts: list[bytes], ids: np.ndarray, keys: np.ndarray, buckets: int) -> Iterator[tuple[int, int, int, bytes]]:
+def _file(texts: list[bytes], ids: np.ndarray, keys: np.ndarray, buckets: int, grams_to: int) -> Iterator[tuple[int, int, int, bytes]]:
     """File the segments of some documents under their grams (kind 0).
 
     Of the segments that are alike here, only those of the smallest document
@@ -239,7 +241,7 @@ def _file(texts: list[bytes], ids: np.ndarray, keys: np.ndarray, buckets: int) -
     first = ids[doc] == least
     yield from _runs(keys[doc[~first]], place[~first], count[~first], buckets, 1)
     gram, digest, doc, place, count = (x[first] for x in (gram, digest, doc, place, count))
-    for bucket, rows in dealt((gram >> np.uint64(40)) % np.uint64(buckets), buckets):
+    for bucket, rows in dealt((gram >> np.uint64(40)) % np.uint64(grams_to)):
         here, local = np.unique(doc[rows], return_inverse=True)
         head = np.array([len(here)], "<i8").tobytes() + _planes(ids[here].astype("<i8"), keys[here].astype("<i8"))
         where = (local.astype(np.uint32), place[rows].astype("<i4"), count[rows].astype("<u1"))
@@ -308,8 +310,11 @@ def _keyed(docs: DataFrame, buckets: int) -> DataFrame:
 
 
 def earlier_runs(docs: DataFrame, buckets: int | None = None) -> tuple[DataFrame, DataFrame, int]:
-    """``docs`` with ``key`` and ``bucket``, and the runs of string starts that came earlier, by bucket."""
-    buckets = buckets or 4 * parts(docs.sparkSession)
+    """``docs`` with ``key`` and ``bucket``, and the runs of string starts that came earlier, by bucket.
+
+    Documents are dealt to more buckets than grams are: a filed row names each document it has segments of.
+    """
+    buckets, grams_to = buckets or 4 * parts(docs.sparkSession), parts(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     keyed = _keyed(rows, buckets).select("bucket", "key", "doc_id", "text")
 
@@ -320,10 +325,10 @@ def earlier_runs(docs: DataFrame, buckets: int | None = None) -> tuple[DataFrame
             ids += map(int, frame["doc_id"])
             keys += frame["key"].tolist()
             size += int(frame["text"].str.len().sum())
-            if size > 24 * PIECE:
-                yield _filed(list(_file(texts, np.array(ids, np.int64), np.array(keys, np.int64), buckets)))
+            if size > FILED_AT_ONCE:
+                yield _filed(list(_file(texts, np.array(ids, np.int64), np.array(keys, np.int64), buckets, grams_to)))
                 texts, ids, keys, size = [], [], [], 0
-        yield _filed(list(_file(texts, np.array(ids, np.int64), np.array(keys, np.int64), buckets)))
+        yield _filed(list(_file(texts, np.array(ids, np.int64), np.array(keys, np.int64), buckets, grams_to)))
 
     def meet(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[tuple[int, bytes]]] = {}
@@ -357,7 +362,7 @@ def earlier_runs(docs: DataFrame, buckets: int | None = None) -> tuple[DataFrame
         hashes = _string_hashes(strings)
         # Of equal strings met here the smallest document's come first; it stands for the rest.
         out = []
-        for bucket, rows in dealt(hashes % np.uint64(buckets), buckets):
+        for bucket, rows in dealt(hashes % np.uint64(grams_to)):
             order = rows[np.lexsort((starts[rows], keys[rows]))]
             body = _planes(ids[order].astype("<i8"), keys[order].astype("<i8"), starts[order].astype("<i4"), hashes[order].astype("<u8"))
             out.append((bucket, len(order), body + strings[order].tobytes()))
