@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pollstone.llm import bpe, decision_list, packing, pivot_neardup, suffix_dedup
+from pollstone.llm import (
+    bpe,
+    brown_lm,
+    decision_list,
+    list_join,
+    maxscore,
+    packing,
+    page_diff,
+    pivot_neardup,
+    sharding,
+    suffix_dedup,
+)
 from pollstone.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +30,22 @@ def op1_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op2_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.shard(table(spark, folder, "documents"))
+
+
+def op3_brown_lm(spark: SparkSession, folder: str) -> DataFrame:
+    return brown_lm.score_documents(table(spark, folder, "documents"))
+
+
+def op4_maxscore(spark: SparkSession, folder: str) -> DataFrame:
+    return maxscore.search_every(table(spark, folder, "embeddings"))
+
+
+def op5_page_diff(spark: SparkSession, folder: str) -> DataFrame:
+    return page_diff.extract(table(spark, folder, "pages"))
+
+
 def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack_documents(table(spark, folder, "documents"), path).drop("bucket", "body")
@@ -33,6 +60,11 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return decision_list.quality_rows(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op9_url_lists(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    return list_join.verdicts(list_join.captures_of(pages), list_join.entries_of(pages), fetched="fetched_on")
+
+
 def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode_documents(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -41,11 +73,20 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_suffix_dedup,
+        op2_sharding,
+        op3_brown_lm,
+        op4_maxscore,
+        op5_page_diff,
         op6_packing,
         op7_simhash_neardup,
         op8_quality_rules,
+        op9_url_lists,
         op10_bpe,
     )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_sharding": sharding.ORACLE,
+    "op4_maxscore": maxscore.ORACLE,
+    "op9_url_lists": list_join.ORACLE,
+}
