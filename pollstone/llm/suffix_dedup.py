@@ -312,9 +312,10 @@ def _keyed(docs: DataFrame, buckets: int) -> DataFrame:
 def earlier_runs(docs: DataFrame, buckets: int | None = None) -> tuple[DataFrame, DataFrame, int]:
     """``docs`` with ``key`` and ``bucket``, and the runs of string starts that came earlier, by bucket.
 
-    Documents are dealt to more buckets than grams are: a filed row names each document it has segments of.
+    A task sends one row to each bucket it has something for, as a shuffle does with its blocks.
     """
-    buckets, grams_to = buckets or 4 * parts(docs.sparkSession), parts(docs.sparkSession)
+    grams_to = parts(docs.sparkSession)
+    buckets = buckets or grams_to
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     keyed = _keyed(rows, buckets).select("bucket", "key", "doc_id", "text")
 
