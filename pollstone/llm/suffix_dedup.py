@@ -287,43 +287,45 @@ def _read_runs(rows: pd.DataFrame) -> list[np.ndarray]:
     return [np.concatenate(x) for x in zip(*found, strict=True)]
 
 
-def _of_documents(docs: pd.DataFrame, runs: pd.DataFrame) -> Iterator[tuple[int, bytes, np.ndarray, np.ndarray]]:
+def _of_documents(docs: pa.Table, runs: pa.Table) -> Iterator[tuple[int, bytes, np.ndarray, np.ndarray]]:
     """Each row's position and bytes, with the starts and counts that lie in it."""
-    key, start, count = _read_runs(runs)
+    key, start, count = _read_runs(runs.to_pandas())
     order = np.argsort(key, kind="stable")
     key, start, count = key[order], start[order].astype(np.int64), count[order].astype(np.int64)
     wanted = docs["key"].to_numpy()
     low, high = np.searchsorted(key, wanted, "left"), np.searchsorted(key, wanted, "right")
     for k, text in enumerate(docs["text"]):
-        yield k, text.encode("utf-8", "surrogatepass"), start[low[k] : high[k]], count[low[k] : high[k]]
+        yield k, text.as_py().encode("utf-8", "surrogatepass"), start[low[k] : high[k]], count[low[k] : high[k]]
 
 
 # The operator
 
 
-def _keyed(docs: DataFrame, buckets: int) -> DataFrame:
-    """Texts, row keys and buckets; ids go to pandas as strings, which nulls can't turn into floats."""
-    text = text_or_empty()
-    key = F.xxhash64("doc_id", text)
-    named = docs.withColumns({"text": text, "key": key, "doc_id": F.col("doc_id").cast("string")})
-    return named.withColumn("bucket", F.expr(f"int(pmod(key, {buckets}))"))
-
+def earlier_runs(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows with ``key`` and ``bucket``, and by bucket the runs of string starts that came earlier.
 
-def earlier_runs(docs: DataFrame, buckets: int | None = None) -> tuple[DataFrame, DataFrame, int]:
-    """``docs`` with ``key`` and ``bucket``, and the runs of string starts that came earlier, by bucket.
-
-    A task sends one row to each bucket it has something for, as a shuffle does with its blocks.
+    Columns of ``docs`` but the text follow as ``c0, c1, ...``, so that their
+    names can't clash. Ids for comparing are strings, which nulls can't turn
+    into floats. A task sends one row to each bucket it has something for, as
+    a shuffle does with its blocks.
     """
-    grams_to = parts(docs.sparkSession)
-    buckets = buckets or grams_to
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    keyed = _keyed(rows, buckets).select("bucket", "key", "doc_id", "text")
+    buckets = grams_to = parts(docs.sparkSession)
+    text = text_or_empty()
+    key = F.xxhash64(F.col("doc_id").cast("long").cast("string"), text)
+    keyed = docs.select(
+        F.pmod(key, F.lit(buckets)).cast("int").alias("bucket"),
+        key.alias("key"),
+        F.col("doc_id").cast("long").cast("string").alias("id"),
+        text.alias("text"),
+        F.col("text").isNull().alias("absent"),
+        *[F.col(f"`{name}`").alias(f"c{k}") for k, name in enumerate(docs.columns) if name != "text"],
+    )
 
     def file(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts, ids, keys, size = [], [], [], 0
         for frame in frames(stream):
             texts += [t.encode("utf-8", "surrogatepass") for t in frame["text"]]
-            ids += map(int, frame["doc_id"])
+            ids += map(int, frame["id"])
             keys += frame["key"].tolist()
             size += int(frame["text"].str.len().sum())
             if size > FILED_AT_ONCE:
@@ -342,12 +344,12 @@ def earlier_runs(docs: DataFrame, buckets: int | None = None) -> tuple[DataFrame
         for bucket in list(held):
             yield _filed(list(_meet(held.pop(bucket), buckets)))
 
-    filed = keyed.where("doc_id IS NOT NULL AND length(text) > 0").select("doc_id", "key", "text").mapInArrow(file, _FILED)
+    filed = keyed.where("id IS NOT NULL AND length(text) > 0").select("id", "key", "text").mapInArrow(file, _FILED)
     met = stored(filed.repartition(parts(docs.sparkSession), "kind", "bucket").mapInArrow(meet, _FILED), "segments")
 
-    def fetch(texts: pd.DataFrame, runs: pd.DataFrame) -> pd.DataFrame:
+    def fetch(texts: pa.Table, runs: pa.Table) -> pa.Table:
         ids, keys, starts, wanted, seen = [], [], [], [], set()
-        doc_ids, doc_keys = texts["doc_id"].to_numpy(), texts["key"].to_numpy()
+        doc_ids, doc_keys = texts["id"].to_pylist(), texts["key"].to_numpy()
         for k, data, start, count in _of_documents(texts, runs):
             if not len(start) or int(doc_keys[k]) in seen:
                 continue
@@ -358,7 +360,7 @@ def earlier_runs(docs: DataFrame, buckets: int | None = None) -> tuple[DataFrame
             keys.append(np.full(len(at), doc_keys[k]))
             starts.append(at)
         if not ids:
-            return pd.DataFrame({"bucket": [], "n": [], "body": []})
+            return _strings([])
         strings, ids, keys, starts = map(np.concatenate, (wanted, ids, keys, starts))
         hashes = _string_hashes(strings)
         # Of equal strings met here the smallest document's come first; it stands for the rest.
@@ -367,7 +369,7 @@ def earlier_runs(docs: DataFrame, buckets: int | None = None) -> tuple[DataFrame
             order = rows[np.lexsort((starts[rows], keys[rows]))]
             body = _planes(ids[order].astype("<i8"), keys[order].astype("<i8"), starts[order].astype("<i4"), hashes[order].astype("<u8"))
             out.append((bucket, len(order), body + strings[order].tobytes()))
-        return pd.DataFrame(out, columns=["bucket", "n", "body"])
+        return _strings(out)
 
     def factor(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[tuple[int, bytes]]] = {}
@@ -387,10 +389,15 @@ def earlier_runs(docs: DataFrame, buckets: int | None = None) -> tuple[DataFrame
             yield _filed(list(_runs(keys[hit], starts[hit].astype(np.int64), np.ones(len(hit), np.int64), buckets, 1)))
 
     wanted = met.where("kind = 2").select("bucket", "n", "body")
-    strings = keyed.groupBy("bucket").cogroup(wanted.groupBy("bucket")).applyInPandas(fetch, "bucket int, n int, body binary")
+    strings = keyed.groupBy("bucket").cogroup(wanted.groupBy("bucket")).applyInArrow(fetch, "bucket int, n int, body binary")
     matched = strings.repartition(parts(docs.sparkSession), "bucket").mapInArrow(factor, _FILED)
     covered = met.where("kind = 1").unionByName(matched).select("bucket", "n", "body")
-    return keyed, covered, buckets
+    return keyed, covered
+
+
+def _strings(rows: list[tuple[int, int, bytes]]) -> pa.Table:
+    bucket, n, body = zip(*rows, strict=True) if rows else ((), (), ())
+    return pa.table({"bucket": pa.array(bucket, pa.int32()), "n": pa.array(n, pa.int32()), "body": pa.array(body, pa.binary())})
 
 
 def _string_hashes(strings: np.ndarray) -> np.ndarray:
@@ -407,8 +414,15 @@ def _removed(size: int, start: np.ndarray, count: np.ndarray) -> np.ndarray:
     return np.cumsum(steps[:-1]) > 0
 
 
+def _kept(data: bytes, start: np.ndarray, count: np.ndarray) -> tuple[bytes, list[list[int]]]:
+    """What remains of a text, and the removed ranges."""
+    gone = _removed(len(data), start, count)
+    spans = np.flatnonzero(np.diff(np.concatenate(([False], gone, [False])).astype(np.int8))).reshape(-1, 2).tolist()
+    return (np.frombuffer(data, np.uint8)[~gone].tobytes() if spans else data), spans
+
+
 def dedup_substrings(docs: DataFrame) -> DataFrame:
-    """``(doc_id, key, n_bytes, n_removed, n_spans, kept_sha256, spans, kept)`` for each row of ``docs``.
+    """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans, kept)`` for each row of ``docs``.
 
     ``spans`` are the removed byte ranges (start, stop), ``kept`` is what
     remains as text; a character that loses some of its bytes loses all of
@@ -417,39 +431,58 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
     cost others theirs. Texts shorter than LENGTH stay as they are. Nothing
     comes from an empty table, and other columns play no part.
     """
-    keyed, covered, _ = earlier_runs(docs)
-
-    def cut(texts: pd.DataFrame, runs: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for k, data, start, count in _of_documents(texts, runs):
-            gone = _removed(len(data), start, count)
-            edges = np.flatnonzero(np.diff(np.concatenate(([False], gone, [False])).astype(np.int8)))
-            spans = edges.reshape(-1, 2).tolist()
-            kept = np.frombuffer(data, np.uint8)[~gone].tobytes() if spans else data
-            digest = hashlib.sha256(kept).hexdigest()
-            text = kept.decode("utf-8", "ignore")
-            out.append((texts["doc_id"].iloc[k], texts["key"].iloc[k], len(data), int(gone.sum()), len(spans), digest, spans, text))
-        names = ["doc_id", "key", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "kept"]
-        return pd.DataFrame(out, columns=names)
-
-    shape = "doc_id string, key long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<array<long>>, kept string"
-    found = keyed.groupBy("bucket").cogroup(covered.groupBy("bucket")).applyInPandas(cut, shape)
-    return found.withColumn("doc_id", F.col("doc_id").cast("long"))
+    keyed, covered = earlier_runs(docs.select("doc_id", "text"))
+
+    def cut(texts: pa.Table, runs: pa.Table) -> pa.Table:
+        sizes, removed, digests, ranges, kept = [], [], [], [], []
+        for _, data, start, count in _of_documents(texts, runs):
+            rest, spans = _kept(data, start, count)
+            sizes.append(len(data))
+            removed.append(len(data) - len(rest))
+            digests.append(hashlib.sha256(rest).hexdigest())
+            ranges.append(spans)
+            kept.append(rest.decode("utf-8", "ignore"))
+        return pa.table(
+            {
+                "id": texts["id"],
+                "n_bytes": pa.array(sizes, pa.int64()),
+                "n_removed": pa.array(removed, pa.int64()),
+                "n_spans": pa.array(map(len, ranges), pa.int64()),
+                "kept_sha256": pa.array(digests, pa.string()),
+                "spans": pa.array(ranges, pa.list_(pa.list_(pa.int64()))),
+                "kept": pa.array(kept, pa.string()),
+            }
+        )
+
+    shape = "id string, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<array<long>>, kept string"
+    found = keyed.groupBy("bucket").cogroup(covered.groupBy("bucket")).applyInArrow(cut, shape)
+    return found.select(F.col("id").cast("long").alias("doc_id"), *found.columns[1:])
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with ``text`` (and ``n_chars``, if there) cut down to what no earlier document has.
 
-    Rows come out as often as they come in. Null texts stay null; other columns are handed on.
+    Rows come out as often as they come in. Null texts stay null; other
+    columns are handed on as they are. Both looks at the texts read one shuffle.
     """
-    taken = set(docs.columns)
-    key, cut, kept = (next(f"{n}{'_' * k}" for k in range(99) if f"{n}{'_' * k}" not in taken) for n in ("row_key", "cut_key", "kept_text"))
-    found = dedup_substrings(docs.select("doc_id", "text")).where("n_removed > 0")
-    cuts = found.groupBy(F.col("key").alias(cut)).agg(F.first("kept").alias(kept))
-    named = docs.withColumn(key, F.xxhash64(F.col("doc_id").cast("long").cast("string"), text_or_empty()))
-    joined = named.join(cuts, F.col(key) == F.col(cut), "left")
-    text = F.coalesce(kept, F.col("text").cast("string"))
-    changes = {"text": text}
-    if "n_chars" in taken:
-        changes["n_chars"] = F.when(F.col(kept).isNull(), F.col("n_chars")).otherwise(F.length(kept)).cast(docs.schema["n_chars"].dataType)
-    return joined.withColumns(changes).select(*docs.columns)
+    keyed, covered = earlier_runs(docs)
+    handed = [f"c{k}" for k, name in enumerate(docs.columns) if name != "text"]
+
+    def cut(texts: pa.Table, runs: pa.Table) -> pa.Table:
+        kept, changed = [], []
+        for _, data, start, count in _of_documents(texts, runs):
+            kept.append(_kept(data, start, count)[0].decode("utf-8", "ignore"))
+            changed.append(len(start) > 0)
+        columns = {name: texts[name] for name in ("absent", *handed)}
+        return pa.table(columns | {"kept": pa.array(kept, pa.string()), "changed": pa.array(changed, pa.bool_())})
+
+    kinds = {f.name: f.dataType.simpleString() for f in keyed.schema.fields}
+    shape = ", ".join([f"{name} {kinds[name]}" for name in ("absent", *handed)] + ["kept string", "changed boolean"])
+    found = keyed.groupBy("bucket").cogroup(covered.groupBy("bucket")).applyInArrow(cut, shape)
+    out = []
+    for k, name in enumerate(docs.columns):
+        value = F.expr("CASE WHEN NOT absent THEN kept END") if name == "text" else F.col(f"c{k}")
+        if name == "n_chars":
+            value = F.when(F.col("changed"), F.length("kept").cast(kinds[f"c{k}"])).otherwise(value)
+        out.append(value.alias(name))
+    return found.select(*out)
