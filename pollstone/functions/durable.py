@@ -24,7 +24,8 @@ def shared_folder(spark: SparkSession) -> str:
         return existing
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"Set {CHECKPOINT_SETTING} to a folder every executor can reach")
-    return tempfile.mkdtemp(prefix="pollstone-")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="pollstone-"))
+    return spark.sparkContext.getCheckpointDir()  # the session's from now on
 
 
 def durable(df: DataFrame) -> DataFrame:
