@@ -567,7 +567,7 @@ SELECT event_type || '/' || user_id AS source_key, CAST(max(ts) AS DATE) AS last
 FROM events WHERE event_type <> 'error' GROUP BY event_type, user_id""",
     "incremental_new_rows": """
 SELECT e.event_id FROM events e LEFT JOIN (SELECT user_id, max(ts) AS mark FROM events WHERE event_type = 'purchase' GROUP BY user_id) m ON e.user_id = m.user_id
-WHERE m.mark IS NULL OR e.ts > m.mark""",
+WHERE e.event_type <> 'purchase' AND (m.mark IS NULL OR e.ts >= m.mark)""",
     "stream_ingest": "SELECT * EXCLUDE (silver_processed_at) FROM silver",
     "stream_dedup": "SELECT DISTINCT response_id, submission_timestamp, country FROM feed_clean",
     "stream_daily_volume": """

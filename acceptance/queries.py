@@ -730,9 +730,9 @@ def incremental_state(spark, folder):
 @query
 def incremental_new_rows(spark, folder):
     events = fixtures.table(spark, folder, "events")
-    done = events.filter("event_type = 'purchase'").groupBy(F.col("user_id").alias("source_key"))
-    state = done.agg(F.max("ts").alias("last_ingestion_ts"))
-    return ledger.newer_rows(events, state, time="ts", source="user_id").select("event_id")
+    landed = events.filter("event_type = 'purchase'")
+    state = landed.groupBy(F.col("user_id").alias("source_key")).agg(F.max("ts").alias("last_ingestion_ts"))
+    return ledger.newer_rows(events, state, "ts", landed, ["event_id"], source="user_id").select("event_id")
 
 
 # Streaming
@@ -758,9 +758,14 @@ def _raw_stream(spark, folder):
 
 @query
 def stream_ingest(spark, folder):
-    cleaned = responses.clean_stream(_raw_stream(spark, folder))
-    unique = responses.unique_responses(cleaned).drop("silver_processed_at")
-    return plain(_finished(spark, unique))
+    """Three deliveries, the newest responses first; the later ones repeat some and are years older."""
+    place = f"{shared_folder(spark)}/streams/{uuid.uuid4()}"
+    raw = fixtures.survey_raw(spark, folder)
+    year = F.year(F.col("submission_timestamp").cast("timestamp"))
+    for some in (year >= 1997, year.between(1995, 1997), year.isNull() | (year < 1996)):
+        raw.filter(some).write.mode("append").parquet(f"{place}/raw")
+        responses.ingest_responses(spark, f"{place}/raw", raw.schema, f"{place}/out", f"{place}/state", "parquet")
+    return plain(spark.read.parquet(f"{place}/out").drop("silver_processed_at", responses.LOAD))
 
 
 @query

@@ -145,11 +145,23 @@ def incremental_state(ledger: DataFrame, source: Sequence[str] = ("source_system
     )
 
 
-def newer_rows(rows: DataFrame, state: DataFrame, time: str, source: str = "source_key") -> DataFrame:
-    """Rows later than the last successful load of their source; unknown sources pass whole."""
+def newer_rows(
+    rows: DataFrame,
+    state: DataFrame,
+    time: str,
+    landed: DataFrame,
+    keys: Sequence[str],
+    source: str = "source_key",
+) -> DataFrame:
+    """Rows from the time of their source's last load on that have not landed; unknown sources pass whole.
+
+    A row may come late with the very time of the mark, so such rows are told
+    apart by their keys.
+    """
     marks = state.select(F.col("source_key").alias("_key"), F.col("last_ingestion_ts").alias("_mark"))
     joined = rows.join(marks, rows[source] == F.col("_key"), "left")
-    return joined.filter(F.col("_mark").isNull() | (F.col(time) > F.col("_mark"))).drop("_key", "_mark")
+    newer = joined.filter(F.col("_mark").isNull() | (F.col(time) >= F.col("_mark"))).drop("_key", "_mark")
+    return newer.join(landed.select(*keys), list(keys), "left_anti")
 
 
 def row_fingerprint(df: DataFrame) -> DataFrame:

@@ -1,8 +1,9 @@
 """Incremental jobs on a stream of raw responses: clean, deduplicate, count per day.
 
-State is bounded by the watermark. Files are taken up exactly once: the
-checkpoint remembers what was read and the file sink what was committed, so a
-restarted job neither loses nor repeats rows.
+Files are taken up exactly once: the checkpoint remembers what was read. The
+ingest asks the target itself what it holds, so a response is kept however late
+it comes. The windowed forms bound their state by a watermark instead, and rows
+that come after it are left out of them.
 """
 
 from __future__ import annotations
@@ -10,11 +11,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.utils import AnalysisException
 
 from pollstone.functions.expr import completed, count_where
 from pollstone.operators.cleaning import add_silver_metadata, clean_survey_responses
+from pollstone.operators.dedup import drop_key_copies
+from pollstone.sources.readers import missing_path
 
 EVENT_TIME = "submission_timestamp"
+#: Folder part that names the batch its rows came with.
+LOAD = "load"
 
 
 def read_stream(
@@ -72,6 +78,37 @@ def append_available(stream: DataFrame, target: str, checkpoint: str, partition_
     writer.trigger(availableNow=True).start(target).awaitTermination()
 
 
+def _held(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
+    """Rows the target has, with the load they came in; none if there is no target yet."""
+    full = T.StructType([*schema.fields, T.StructField(LOAD, T.StringType())])
+    try:
+        return spark.read.schema(full).parquet(target)
+    except AnalysisException as error:
+        if not missing_path(error):
+            raise
+        return spark.createDataFrame([], full)
+
+
+def append_new(stream: DataFrame, target: str, checkpoint: str, key: str = "response_id") -> None:
+    """Append what has arrived to a table folder, one row per key; keys the table holds are passed over.
+
+    Each batch has a folder of its own, named by query and batch. A batch that
+    is run again after a failure replaces its folder and does not look at it.
+    Rows without a key count as one key.
+    """
+
+    def take(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        load = f"{spark.sparkContext.getLocalProperty('sql.streaming.queryId')}-{number}"
+        keys = _held(spark, target, batch.schema).filter(F.col(LOAD) != load).select(F.col(key).alias("_held"))
+        unique = drop_key_copies(batch, [key])
+        fresh = unique.join(keys, unique[key].eqNullSafe(keys["_held"]), "left_anti")
+        fresh.write.mode("overwrite").parquet(f"{target}/{LOAD}={load}")
+
+    writer = stream.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
+    writer.trigger(availableNow=True).start().awaitTermination()
+
+
 def ingest_responses(
     spark: SparkSession,
     folder: str,
@@ -79,9 +116,11 @@ def ingest_responses(
     target: str,
     checkpoint: str,
     file_format: str = "csv",
-    delay: str = "7 days",
     files_per_batch: int | None = None,
 ) -> None:
-    """New raw files to clean, unique rows; run it again whenever files have arrived."""
+    """New raw files to clean, unique rows; run it again whenever files have arrived.
+
+    Of a response that comes in several batches the first is kept.
+    """
     raw = read_stream(spark, folder, schema, file_format, files_per_batch=files_per_batch)
-    append_available(unique_responses(clean_stream(raw), delay), target, checkpoint)
+    append_new(clean_stream(raw), target, checkpoint)

@@ -87,8 +87,12 @@ def test_incremental_state(spark):
     )
     state = ledger.incremental_state(book)
     assert rows(state) == [("csv", t(3).date(), t(3), "b2", 11)]
-    new = spark.createDataFrame([("csv", t(3)), ("csv", t(4)), ("api", t(1))], "source_key string, ts timestamp")
-    assert rows(ledger.newer_rows(new, state, "ts")) == [("api", t(1)), ("csv", t(4))]
+    new = spark.createDataFrame(
+        [(1, "csv", t(2)), (2, "csv", t(3)), (3, "csv", t(3)), (4, "csv", t(4)), (5, "api", t(1))],
+        "id int, source_key string, ts timestamp",
+    )
+    newer = ledger.newer_rows(new, state, "ts", landed=new.filter("id = 2"), keys=["id"])
+    assert sorted(r.id for r in newer.collect()) == [3, 4, 5]
 
 
 def test_fingerprint_ignores_layout_but_not_content(spark):
