@@ -39,7 +39,7 @@ def run_all(
         record_quality(spark, lake, run, read_silver(spark, lake.silver)["survey_responses"])
         gold = run_silver_to_gold(spark, lake, now)
     except Exception as error:
-        record_run(spark, lake, run, "silver_and_gold", "failed", error_message=str(error)[:1000])
+        record_run(spark, lake, run, "silver_and_gold", "failed", error_message=str(error))
         raise
     record_run(spark, lake, run, "silver_and_gold", "success", silver["survey_responses"])
     return {"tables": loaded, "files": files, "answers": answers, "silver": silver, "gold": gold}

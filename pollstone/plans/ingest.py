@@ -50,16 +50,6 @@ def _seen(spark: SparkSession, lake: Lake) -> DataFrame:
     return done.select("file_name", "file_hash").distinct().withColumn("_seen", F.lit(True))
 
 
-def _unchanged(spark: SparkSession, lake: Lake) -> DataFrame:
-    done = processed_files(spark, lake).filter(F.col("processing_status") == books.PROCESSED)
-    return done.select(
-        F.col("file_name").alias("path"),
-        F.col("last_modified").alias("modificationTime"),
-        F.col("file_size").alias("length"),
-        F.col("file_hash").alias("_known_hash"),
-    ).dropDuplicates(["path", "modificationTime", "length"])
-
-
 def check_files(
     spark: SparkSession,
     folder: str,
@@ -67,20 +57,16 @@ def check_files(
     contract: Contract = BRONZE_SURVEY,
     countries: Sequence[str] | Column = COUNTRIES,
     pattern: str = "*",
-    trust_listing: bool = True,
 ) -> DataFrame:
     """Every file below a folder as failed, skipped or ready, with the reason.
 
-    Files the ledger knows with the same modification time and size are not
-    opened again, unless ``trust_listing`` is off. Of the others only names pass through the driver, as in any read of
-    listed files; their content is hashed and looked at where it is.
+    A file is known by its content: every CSV file is hashed, also one whose
+    time and size are those of an earlier run. Only names pass through the
+    driver, as in any read of listed files.
     """
-    known = _unchanged(spark, lake)
-    listed = with_extension_check(list_files(spark, folder, pattern)).join(
-        known if trust_listing else known.limit(0), ["path", "modificationTime", "length"], "left"
-    )
+    listed = with_extension_check(list_files(spark, folder, pattern))
     is_csv = F.endswith(F.lower("path"), F.lit(".csv"))
-    to_open = listed.filter(is_csv & F.col("_known_hash").isNull())
+    to_open = listed.filter(is_csv)
     paths = [row.path for row in to_open.select("path").toLocalIterator()]
     if paths:
         files = listed.join(file_hashes(spark, paths), "uri", "left").join(file_headers(spark, paths), "uri", "left")
@@ -95,14 +81,12 @@ def check_files(
         )
     files = (
         files.withColumn("file_name", F.col("path"))
-        .withColumn("file_hash", F.coalesce("file_hash", "_known_hash"))
         .join(_seen(spark, lake), ["file_name", "file_hash"], "left")
     )
     lacking = F.array_except(F.array(*[F.lit(name) for name in contract.required]), F.col("header"))
     reason = (
         F.when(F.col("reject_reason").isNotNull(), F.col("reject_reason"))
         .when(~is_csv, F.lit("no reader for this file type"))
-        .when(F.col("_known_hash").isNotNull(), F.lit(None))
         .when(F.coalesce("usable_rows", F.lit(0)) < 1, F.lit("empty file"))
         .when(F.size(lacking) > 0, F.concat(F.lit("missing columns: "), F.concat_ws(",", lacking)))
     )
@@ -132,7 +116,6 @@ def ingest_files(
     countries: Sequence[str] | Column = COUNTRIES,
     day: Column | None = None,
     run_id: str | None = None,
-    trust_listing: bool = True,
 ) -> DataFrame:
     """Land all new, acceptable CSV files of a folder tree, or of one country's folder in it.
 
@@ -142,7 +125,7 @@ def ingest_files(
     record_run(spark, lake, run, "csv_ingestion", "running", run_type="full")
     try:
         stage = f"{lake.meta}/staging/files_{run}"
-        checked = check_files(spark, folder, lake, contract, countries, trust_listing=trust_listing)
+        checked = check_files(spark, folder, lake, contract, countries)
         checked.write.mode("overwrite").parquet(stage)
         files = spark.read.parquet(stage)
         ready = files.filter("status = 'ready'")
@@ -164,7 +147,7 @@ def ingest_files(
         )
         return result
     except Exception as error:
-        record_run(spark, lake, run, "csv_ingestion", "failed", error_message=str(error)[:1000])
+        record_run(spark, lake, run, "csv_ingestion", "failed", error_message=str(error))
         raise
 
 
@@ -232,7 +215,7 @@ def ingest_payloads(
         record_run(spark, lake, run, pipeline, "success", landed)
         return result
     except Exception as error:
-        record_run(spark, lake, run, pipeline, "failed", error_message=str(error)[:1000])
+        record_run(spark, lake, run, pipeline, "failed", error_message=str(error))
         raise
 
 
@@ -274,7 +257,7 @@ def ingest_table(
         record_run(spark, lake, run, pipeline, "success", mark.rows)
         return "success"
     except Exception as error:
-        record_run(spark, lake, run, pipeline, "failed", error_message=str(error)[:1000])
+        record_run(spark, lake, run, pipeline, "failed", error_message=str(error))
         raise
 
 

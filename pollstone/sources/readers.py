@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,7 +20,7 @@ FOLDER_PARTS = ("country", "year", "month", "day", "source_system")
 JSON_RECORDS = {"world_bank_population": WORLD_BANK_RECORD, "country_reference": COUNTRY_RECORD}
 
 
-def _missing_path(error: AnalysisException) -> bool:
+def missing_path(error: AnalysisException) -> bool:
     return error.getCondition() == "PATH_NOT_FOUND"
 
 
@@ -80,43 +80,50 @@ def list_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> Data
             .load(folder)
         )
     except AnalysisException as error:
-        if not _missing_path(error):
+        if not missing_path(error):
             raise
         return spark.createDataFrame([], FILE_SCHEMA)
     return files.select("path", F.col("_metadata.file_path").alias("uri"), "modificationTime", "length")
 
 
-def file_hashes(
-    spark: SparkSession, paths: Sequence[str], whole_up_to: int = 256 << 20, algorithm: str = "sha256"
-) -> DataFrame:
-    """Content hash per file: uri, file_hash.
+def file_hashes(spark: SparkSession, paths: Sequence[str], algorithm: str = "sha256") -> DataFrame:
+    """Content hash per file that is not empty: uri, file_hash.
 
-    Files up to ``whole_up_to`` bytes get the SHA-256 (or MD5) of their bytes,
-    one file per row. A larger file is never loaded into one task: it is split
-    like any text input and gets an order-independent hash of its lines.
+    One scan, whatever the size of a file: it is split like any text input and
+    no task holds more than a line. Lines enter two pairs of sums, plain and
+    times their place in the file, so their order counts and the way the file
+    was split does not. The places within a split are known as it is read, and
+    the lines before it are added once the splits have been summed up.
     """
     digest = {"sha256": lambda column: F.sha2(column, 256), "md5": F.md5}[algorithm]
     meta = F.col("_metadata")
-    small = (
-        spark.read.format("binaryFile")
-        .load(list(paths))
-        .filter(F.col("length") <= whole_up_to)
-        .select(meta["file_path"].alias("uri"), digest(F.col("content")).alias("file_hash"))
+    lines = spark.read.option("lineSep", "\n").text(list(paths))
+    # Row number within the task; 48 bits of hash leave room for sums over 10^12 lines.
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    lines = lines.select(
+        meta["file_path"].alias("uri"),
+        meta["file_size"].alias("size"),
+        meta["file_block_start"].alias("start"),
+        place.alias("place"),
+        *[F.shiftright(F.xxhash64(F.lit(k), "value"), 16).cast("decimal(15,0)").alias(f"h{k}") for k in (0, 1)],
     )
-    lines = spark.read.text(list(paths)).select(
-        "value", meta["file_path"].alias("uri"), meta["file_size"].alias("size")
+    at = F.col("place").cast("decimal(10,0)")
+    blocks = lines.groupBy("uri", "size", "start").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("place").cast("decimal(10,0)").alias("first"),
+        *[F.sum(f"h{k}").cast("decimal(24,0)").alias(f"sum{k}") for k in (0, 1)],
+        *[F.sum(F.col(f"h{k}") * at).cast("decimal(37,0)").alias(f"placed{k}") for k in (0, 1)],
     )
-    large = (
-        lines.filter(F.col("size") > whole_up_to)
-        .groupBy("uri")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.sum(F.xxhash64("value").cast("decimal(20,0)")).alias("s"),
-            F.bit_xor(F.xxhash64(F.lit(1), "value")).alias("x"),
-        )
-        .select("uri", digest(F.concat_ws(":", "n", "s", "x").cast("binary")).alias("file_hash"))
+    earlier = Window.partitionBy("uri").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    shift = F.coalesce(F.sum("n").over(earlier), F.lit(0)).cast("decimal(13,0)") - F.col("first")
+    whole = blocks.withColumn("shift", shift.cast("decimal(13,0)")).groupBy("uri", "size").agg(
+        F.sum("n").alias("n"),
+        *[F.sum(f"sum{k}").alias(f"sum{k}") for k in (0, 1)],
+        *[F.sum(F.col(f"placed{k}") + F.col(f"sum{k}") * F.col("shift")).alias(f"placed{k}") for k in (0, 1)],
+    )
+    return whole.select(
+        "uri", digest(F.concat_ws(":", "size", "n", "sum0", "sum1", "placed0", "placed1").cast("binary")).alias("file_hash")
     )
-    return small.unionByName(large)
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
@@ -140,7 +147,7 @@ def read_gold(spark: SparkSession, root: str, name: str) -> DataFrame:
     try:
         return spark.read.parquet(f"{root}/{name}")
     except AnalysisException as error:
-        if _missing_path(error) or error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+        if missing_path(error) or error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
             raise FileNotFoundError(f"No parquet files found for Gold table: {name}") from error
         raise
 

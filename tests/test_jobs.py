@@ -1,4 +1,5 @@
 import json
+import os
 from datetime import datetime
 
 import pytest
@@ -57,10 +58,12 @@ def test_files_are_ingested_once(spark, raw, tmp_path):
     again = outcome(ingest.ingest_files(spark, str(raw), lake, run_id="r2"))
     assert again["a.csv"][0] == again["b.csv"][0] == "skipped"
     assert bookkeeping.processed_files(spark, lake).count() == 2
-    hashed = outcome(ingest.check_files(spark, str(raw), lake, trust_listing=False))
-    assert hashed["a.csv"][0] == hashed["b.csv"][0] == "skipped"
 
-    (raw / "nigeria" / "b.csv").write_text("\n".join([HEADER, line(5, "nigeria")]) + "\n")
+    before = (raw / "nigeria" / "b.csv").stat()
+    text = (raw / "nigeria" / "b.csv").read_text()
+    (raw / "nigeria" / "b.csv").write_text(text.replace(line(3, "nigeria"), line(5, "nigeria")))
+    os.utime(raw / "nigeria" / "b.csv", ns=(before.st_atime_ns, before.st_mtime_ns))
+    assert (raw / "nigeria" / "b.csv").stat().st_size == before.st_size
     third = outcome(ingest.ingest_files(spark, str(raw), lake, day=F.lit("2024-05-03"), run_id="r3"))
     assert (third["a.csv"][0], third["b.csv"][0]) == ("skipped", "success")
     states = {r.run_id: (r.status, r.rows_processed) for r in bookkeeping.pipeline_runs(spark, lake).collect()}
@@ -188,6 +191,23 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     assert out == {"1": "Mali", "2": "Mali", "3": "Ghana"}
 
 
+def test_stream_keeps_late_responses(spark, tmp_path):
+    source, target, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
+    source.mkdir()
+    schema = "response_id string, submission_timestamp timestamp"
+    stream = lambda: responses.read_stream(spark, str(source), schema)
+
+    def run(name, text, checkpoint=state):
+        (source / f"{name}.csv").write_text("id,at\n" + text)
+        responses.append_new(stream(), target, checkpoint)
+        return sorted(str(r.response_id) for r in spark.read.parquet(target).collect())
+
+    assert run("a", "1,2024-06-30T08:00:00\n2,2024-06-30T08:00:00\n") == ["1", "2"]
+    assert run("b", "3,2024-01-01T08:00:00\n1,2024-01-01T08:00:00\n,2024-01-01T08:00:00\n") == ["1", "2", "3", "None"]
+    # A new checkpoint reads all files again and adds nothing that is there.
+    assert run("c", "4,\n,2024-02-01T08:00:00\n", str(tmp_path / "other")) == ["1", "2", "3", "4", "None"]
+
+
 def test_stream_drops_rows_past_the_watermark(spark, tmp_path):
     source, target, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
     source.mkdir()

@@ -1,5 +1,3 @@
-import hashlib
-
 import pytest
 from conftest import plan, rows
 from pyspark.sql import functions as F
@@ -36,18 +34,37 @@ def test_listing(spark, tmp_path):
     assert readers.list_files(spark, str(tmp_path / "none")).isEmpty()
 
 
-def test_hashes_of_small_and_large_files(spark, tmp_path):
-    body = "".join(f"line {i}\n" for i in range(1000))
-    (tmp_path / "one.csv").write_text(body)
-    (tmp_path / "same.csv").write_text(body)
-    (tmp_path / "other.csv").write_text(body + "more\n")
-    paths = [str(tmp_path / name) for name in ("one.csv", "same.csv", "other.csv")]
-    whole = {r.uri.rsplit("/", 1)[1]: r.file_hash for r in readers.file_hashes(spark, paths).collect()}
-    assert whole["one.csv"] == hashlib.sha256(body.encode()).hexdigest() == whole["same.csv"] != whole["other.csv"]
-    md5 = {r.uri.rsplit("/", 1)[1]: r.file_hash for r in readers.file_hashes(spark, paths, algorithm="md5").collect()}
-    assert md5["one.csv"] == hashlib.md5(body.encode()).hexdigest()
-    split = {r.uri.rsplit("/", 1)[1]: r.file_hash for r in readers.file_hashes(spark, paths, whole_up_to=10).collect()}
-    assert len(split) == 3 and split["one.csv"] == split["same.csv"] != split["other.csv"]
+def test_file_hashes(spark, tmp_path):
+    lines = [f"line {i}\n" for i in range(3000)]
+    body = "".join(lines)
+    files = {
+        "one.csv": body,
+        "same.csv": body,
+        "more.csv": body + "more\n",
+        "open.csv": body[:-1],
+        "crlf.csv": body.replace("\n", "\r\n"),
+        "turned.csv": "".join(reversed(lines)),
+        "swapped.csv": "".join([*lines[:1500], lines[1501], lines[1500], *lines[1502:]]),
+        "moved.csv": "".join([*lines[1:], lines[0]]),
+    }
+    for name, text in files.items():
+        (tmp_path / name).write_bytes(text.encode())
+    (tmp_path / "empty.csv").write_text("")
+
+    def hashes(**options):
+        paths = [str(tmp_path / name) for name in (*files, "empty.csv")]
+        return {r.uri.rsplit("/", 1)[1]: r.file_hash for r in readers.file_hashes(spark, paths, **options).collect()}
+
+    whole = hashes()
+    assert set(whole) == set(files) and len(set(whole.values())) == len(files) - 1 and whole["one.csv"] == whole["same.csv"]
+    assert {len(h) for h in whole.values()} == {64} and {len(h) for h in hashes(algorithm="md5").values()} == {32}
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("1000b", "7777b"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            assert hashes() == whole
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
 def test_tolerant_csv(spark, tmp_path):
