@@ -535,6 +535,11 @@ SELECT c_custkey, first(r_name ORDER BY r_regionkey) AS region_name FROM (
   SELECT f.c_custkey, r.r_name, r.r_regionkey FROM (
     SELECT c_custkey, lower(r_name) || '_' || lower(c_mktsegment) AS name FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey) f
   LEFT JOIN region r ON contains(f.name, lower(r.r_name)) OR contains(f.name, lower(substr(r.r_name, 1, 2)))) GROUP BY c_custkey""",
+    "csv_records": "SELECT doc_id, text FROM documents",
+    "file_hashes": """
+SELECT coalesce(source, 'none') AS source, doc_id // 1000 AS block, CAST(3 AS BIGINT) AS files, true AS copy_alike,
+  list(coalesce(text, '') ORDER BY doc_id) = list(coalesce(text, '') ORDER BY doc_id DESC) AS turned_alike
+FROM documents GROUP BY 1, 2""",
     "file_fingerprint": "SELECT doc_id, sha256(text) AS file_hash, md5(text) AS file_md5 FROM documents",
     "file_names": """
 SELECT page_id, regexp_extract(url, '[^/]*$') AS file_name, lower(replace(regexp_extract(url, '[^/]*$'), ' ', '_')) AS clean_name,

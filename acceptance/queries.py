@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from pollstone import fixtures
 from pollstone.contracts import catalog
-from pollstone.contracts.model import ERRORS
+from pollstone.contracts.model import ERRORS, Contract
 from pollstone.functions import expr
 from pollstone.functions.durable import durable, shared_folder
 from pollstone.operators import (
@@ -26,8 +26,8 @@ from pollstone.operators import (
     validation,
 )
 from pollstone.plans import ingest
-from pollstone.sources import payloads, tables, writers
-from pollstone.sources.readers import read_bronze
+from pollstone.sources import csv_files, payloads, readers, tables, writers
+from pollstone.sources.readers import list_files, read_bronze
 from pollstone.sources.registry import Lake, bronze_datasets
 from pollstone.streaming import responses
 
@@ -645,6 +645,43 @@ def ingest_round_trip(spark, folder):
     return plain(dedup.dedup_survey_responses(cleaned)).drop("path_source_system")
 
 
+@query
+def csv_records(spark, folder):
+    """Texts with line ends, quotes and commas, written as CSV files and read back."""
+    place = f"{shared_folder(spark)}/round_trips/{uuid.uuid4()}"
+    fixtures.table(spark, folder, "documents").select("doc_id", "text").write.csv(place, header=True, escape='"')
+    paths = [row.path for row in list_files(spark, place).select("path").toLocalIterator()]
+    return csv_files.read_csv_files(spark, paths, Contract.of("texts", {"doc_id": "long", "text": "string"}))
+
+
+@query
+def file_hashes(spark, folder):
+    """Texts of a source, a thousand ids a file, written twice and in another order: which files hash alike."""
+    place = f"{shared_folder(spark)}/round_trips/{uuid.uuid4()}"
+    docs = fixtures.table(spark, folder, "documents").select(
+        "doc_id",
+        F.coalesce("source", F.lit("none")).alias("source"),
+        F.expr("doc_id DIV 1000").alias("block"),
+        F.to_json(F.struct("text")).alias("line"),
+    )
+    for name, order in (("one", F.asc("doc_id")), ("same", F.asc("doc_id")), ("turned", F.desc("doc_id"))):
+        dealt = docs.repartition("source", "block").sortWithinPartitions("source", "block", order)
+        dealt.drop("doc_id").write.partitionBy("source", "block").text(f"{place}/copy={name}")
+    paths = [row.path for row in list_files(spark, place, "*.txt").select("path").toLocalIterator()]
+    found = readers.file_hashes(spark, paths).select(
+        F.regexp_extract("uri", "/copy=([^/]*)/", 1).alias("copy"),
+        F.regexp_extract("uri", "/source=([^/]*)/", 1).alias("source"),
+        F.regexp_extract("uri", "/block=([^/]*)/", 1).cast("bigint").alias("block"),
+        "file_hash",
+    )
+    hash_of = lambda name: F.max(F.when(F.col("copy") == name, F.col("file_hash")))
+    return found.groupBy("source", "block").agg(
+        F.count(F.lit(1)).alias("files"),
+        (hash_of("one") == hash_of("same")).alias("copy_alike"),
+        (hash_of("one") == hash_of("turned")).alias("turned_alike"),
+    )
+
+
 @query
 def bronze_layout(spark, folder):
     """Rows per raw folder: country, year, month, day and source."""

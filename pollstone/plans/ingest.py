@@ -16,12 +16,13 @@ from pyspark.sql import functions as F
 
 from pollstone.contracts.catalog import BRONZE, BRONZE_SURVEY
 from pollstone.contracts.model import Contract
+from pollstone.functions.durable import durable
 from pollstone.operators import ledger as books
 from pollstone.operators.reference import COUNTRIES, country_in_path
 from pollstone.operators.validation import with_extension_check
 from pollstone.plans.bookkeeping import append, processed_files, record_run
 from pollstone.sources import payloads as answers
-from pollstone.sources.csv_files import file_headers, parsed_rows
+from pollstone.sources.csv_files import file_headers, parsed_rows, row_counts
 from pollstone.sources.readers import file_hashes, list_files
 from pollstone.sources.registry import API_SOURCES, DB_SOURCES, Lake
 from pollstone.sources.tables import extract_table
@@ -69,14 +70,19 @@ def check_files(
     to_open = listed.filter(is_csv)
     paths = [row.path for row in to_open.select("path").toLocalIterator()]
     if paths:
-        files = listed.join(file_hashes(spark, paths), "uri", "left").join(file_headers(spark, paths), "uri", "left")
+        headers = durable(file_headers(spark, paths))
+        files = listed.join(file_hashes(spark, paths), "uri", "left").join(headers, "uri", "left")
+        if not headers.isEmpty():
+            files = files.join(row_counts(spark, headers), "uri", "left")
+        else:
+            files = files.withColumn("usable_rows", F.lit(0).cast("bigint"))
     else:
         files = listed.selectExpr(
             "*",
             "CAST(NULL AS STRING) file_hash",
-            "CAST(NULL AS STRING) first_line",
             "CAST(NULL AS ARRAY<STRING>) header",
             "true utf8",
+            "false spans",
             "0L usable_rows",
         )
     files = (
@@ -95,9 +101,9 @@ def check_files(
         "uri",
         "file_name",
         "file_hash",
-        "first_line",
         "header",
         "utf8",
+        "spans",
         F.col("modificationTime").alias("last_modified"),
         F.col("length").alias("file_size"),
         country_in_path(F.col("path"), countries).alias("country"),
@@ -132,7 +138,7 @@ def ingest_files(
         if not ready.isEmpty():
             rows = parsed_rows(spark, ready, contract, keep=["country"])
             landed = with_bronze_parts(rows, day=day, country=F.col("_country"), source=F.lit("csv"))
-            land_bronze(landed.drop("_country"), lake.bronze, "csv")
+            land_bronze(landed.drop("_country", "_uri"), lake.bronze, "csv")
         landed_now = F.col("status") == "ready"
         outcomes = files.withColumns(
             {

@@ -1,7 +1,8 @@
 """Raw CSV files whose columns may differ in order, number and encoding.
 
-Lines are read as plain text, so a file of any size is split over tasks, and
-each line is decoded and parsed with what is known about its file.
+A first scan finds the header of each file, whether it is UTF-8 and whether a
+quoted value goes over a line end. Files alike in that are then read together.
+Only files with records of several lines are not split over tasks.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from pyspark.sql import functions as F
 from pollstone.contracts.model import Contract
 
 LATIN1 = "ISO-8859-1"
+# Commas that are not inside quotes.
+SEPARATOR = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 # Quotes, carriage return and byte order mark around a column name.
 _NAME_EDGES = '"\r﻿'
 
@@ -24,106 +27,88 @@ def _lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return spark.read.text(list(paths)).select("value", "_metadata").filter(F.trim("value") != "")
 
 
-def _field_count(line: Column) -> Column:
-    """Number of fields in a line; commas inside quotes do not count."""
-    plain = F.when(F.contains(line, F.lit('"')), F.regexp_replace(line, '"[^"]*"', "")).otherwise(line)
+def _field_count(record: Column) -> Column:
+    """Number of fields in a record; commas inside quotes do not count."""
+    plain = F.when(F.contains(record, F.lit('"')), F.regexp_replace(record, '"[^"]*"', "")).otherwise(record)
     return F.length(plain) - F.length(F.replace(plain, F.lit(","))) + 1
 
 
+def _name(text: Column) -> Column:
+    return F.trim(F.btrim(F.trim(text), F.lit(_NAME_EDGES)))
+
+
 def file_headers(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Per file: first line, column names, whether every line is UTF-8, number of usable rows.
+    """Per file: column names, whether every line is UTF-8, whether records go over line ends.
 
-    One scan. Lines are combined per file and width before the shuffle, so one
-    huge file costs no more than many small ones; ``collect_set`` over two
-    flags keeps Spark on hash aggregation instead of sorting all lines.
+    One scan. Lines are combined per file before the shuffle, so one huge file
+    costs no more than many small ones; ``collect_set`` over two flags keeps
+    Spark on hash aggregation instead of sorting all lines.
     """
-    meta = F.col("_metadata")
+    meta, value = F.col("_metadata"), F.col("value")
     position = F.struct(meta["file_block_start"].alias("block"), F.monotonically_increasing_id().alias("line"))
-    lines = _lines(spark, paths).select(
-        meta["file_path"].alias("uri"), "value", position.alias("position"), _field_count(F.col("value")).alias("width")
-    )
-    per_width = lines.groupBy("uri", "width").agg(
-        F.min_by("value", "position").alias("value"),
-        F.min("position").alias("position"),
-        F.collect_set(F.is_valid_utf8("value")).alias("valid"),
-        F.count(F.lit(1)).alias("lines"),
+    quotes = F.length(value) - F.length(F.replace(value, F.lit('"')))
+    per_file = (
+        _lines(spark, paths)
+        .select(meta["file_path"].alias("uri"), "value", position.alias("position"))
+        .groupBy("uri")
+        .agg(
+            F.min_by("value", "position").alias("first_line"),
+            F.collect_set(F.is_valid_utf8("value")).alias("valid"),
+            F.bool_or(quotes % 2 == 1).alias("spans"),
+        )
     )
-    per_file = per_width.groupBy("uri").agg(
-        F.min_by("value", "position").alias("first_line"),
-        F.bool_and(~F.array_contains("valid", False)).alias("utf8"),
-        F.collect_list(F.struct("width", "lines")).alias("widths"),
-    )
-    names = F.split(F.make_valid_utf8("first_line"), ",")
-    header = F.transform(names, lambda name: F.trim(F.btrim(F.trim(name), F.lit(_NAME_EDGES))))
-    usable = F.aggregate(
-        F.col("widths"),
-        F.lit(-1).cast("bigint"),
-        lambda total, group: total + F.when(group["width"] <= F.size("header"), group["lines"]).otherwise(0),
+    names = F.split(F.make_valid_utf8("first_line"), SEPARATOR)
+    header = F.transform(names, lambda name: F.replace(_name(name), F.lit('""'), F.lit('"')))
+    return per_file.select("uri", header.alias("header"), (~F.array_contains("valid", False)).alias("utf8"), "spans")
+
+
+def _records(spark: SparkSession, paths: Sequence[str], header: Sequence[str], utf8: bool, spans: bool) -> DataFrame:
+    """Fields ``f0, f1, ..`` and the ``uri`` of all records that are rows of files with this header."""
+    fields = [f"f{i}" for i in range(len(header))]
+    read = spark.read.schema(", ".join(f"{name} string" for name in [*fields, "_unlike"])).options(
+        escape='"', multiLine=spans, encoding="UTF-8" if utf8 else LATIN1, columnNameOfCorruptRecord="_unlike"
     )
-    return per_file.select("uri", "first_line", header.alias("header"), "utf8", "widths").select(
-        "uri", "first_line", "header", "utf8", usable.alias("usable_rows")
+    rows = read.csv(list(paths)).withColumn("uri", F.col("_metadata.file_path"))
+    # Records with fewer or more fields than the header are unlike it.
+    like = F.col("_unlike").isNull() | ((_field_count(F.col("_unlike")) < len(header)) & (F.trim("_unlike") != ""))
+    is_header = reduce(
+        Column.__and__, [F.coalesce(_name(F.col(f)), F.lit("")) == F.lit(name) for f, name in zip(fields, header)]
     )
+    blank = (F.trim("f0") == "") & (F.col("f0") != "") if len(header) == 1 else F.lit(False)
+    return rows.filter(like & ~is_header & ~F.coalesce(blank, F.lit(False)))
 
 
-def _with_file_facts(spark: SparkSession, files: DataFrame, facts: Sequence[str], most_groups: int) -> DataFrame:
-    """Lines of all files next to what is known about their file.
-
-    Files usually share a few headers, so the facts are written into one read
-    per group of equal files and no line is shuffled. With more groups than
-    ``most_groups`` the facts are joined by file instead.
-    """
-    groups: dict[tuple, list[str]] = {}
-    for row in files.select("uri", *facts).toLocalIterator():
-        key = tuple(tuple(value) if isinstance(value, list) else value for value in row[1:])
-        groups.setdefault(key, []).append(unquote(row.uri))
-    names = [f"_{name}" for name in facts]
-    if len(groups) <= most_groups:
-        parts = []
-        for key, paths in groups.items():
-            known = {
-                name: F.array(*[F.lit(item) for item in value]) if isinstance(value, tuple) else F.lit(value)
-                for name, value in zip(names, key)
-            }
-            parts.append(_lines(spark, paths).select("value", *[known[name].alias(name) for name in names]))
-        return reduce(DataFrame.union, parts)
-    paths = [path for members in groups.values() for path in members]
-    lines = _lines(spark, paths).select("value", F.col("_metadata.file_path").alias("uri"))
-    known = files.select("uri", *[F.col(fact).alias(name) for fact, name in zip(facts, names)])
-    return lines.join(known, "uri").drop("uri")
-
-
-def parsed_rows(
-    spark: SparkSession,
-    files: DataFrame,
-    contract: Contract,
-    keep: Sequence[str] = (),
-    most_groups: int = 200,
-) -> DataFrame:
+def parsed_rows(spark: SparkSession, files: DataFrame, contract: Contract, keep: Sequence[str] = ()) -> DataFrame:
     """Contract columns as text from all files, each file by its own header.
 
-    ``files`` has ``uri, first_line, header, utf8``; its columns named in
-    ``keep`` come along with an underscore in front.
-    Lines with more fields than their header are skipped, short lines are
-    padded with NULL, files that are not UTF-8 are read as Latin-1, and a line
-    that repeats the header is no row.
+    ``files`` has ``uri, header, utf8, spans``; its columns named in ``keep``
+    come along with an underscore in front. Records with more fields than
+    their header are skipped, short ones are padded with NULL, files that are
+    not UTF-8 are read as Latin-1, and a record that repeats the header is no
+    row. Files usually share a few headers; there is one read per group of
+    equal files, and no row is shuffled.
     """
-    width = files.agg(F.max(F.size("header"))).first()[0] or 1
-    fields = [f"f{i}" for i in range(width)]
-    lines = _with_file_facts(spark, files, ["first_line", "header", "utf8", *keep], most_groups)
-    usable = lines.filter((F.col("value") != F.col("_first_line")) & (_field_count(F.col("value")) <= F.size("_header")))
-    text = F.when(F.col("_utf8"), F.col("value")).otherwise(F.decode(F.col("value").cast("binary"), LATIN1))
-    row = F.from_csv(text, ", ".join(f"{name} string" for name in fields), {"escape": '"'})
-    parsed = usable.withColumn("_row", row).withColumn("_values", F.array(*[F.col(f"_row.{name}") for name in fields]))
+    groups: dict[tuple, list[str]] = {}
+    for row in files.select("uri", "header", "utf8", "spans", *keep).toLocalIterator():
+        groups.setdefault((tuple(row.header), *row[2:]), []).append(unquote(row.uri))
+    parts = []
+    for (header, utf8, spans, *facts), paths in groups.items():
+        place = {name: f"f{i}" for i, name in reversed(list(enumerate(header)))}
+        columns = [(F.col(place[n]) if n in place else F.lit(None).cast("string")).alias(n) for n in contract.columns]
+        known = [F.lit(fact).alias(f"_{name}") for name, fact in zip(keep, facts)]
+        # The place of the file comes last, for counts per file.
+        parts.append(_records(spark, paths, header, utf8, spans).select(*columns, *known, F.col("uri").alias("_uri")))
+    return reduce(DataFrame.union, parts)
 
-    def column(name: str) -> Column:
-        place = F.array_position("_header", F.lit(name)).cast("int")
-        return F.when(place > 0, F.get("_values", place - 1)).alias(name)
 
-    return parsed.select(*[column(name) for name in contract.columns], *[f"_{name}" for name in keep])
+def row_counts(spark: SparkSession, files: DataFrame) -> DataFrame:
+    """``uri, usable_rows`` of all files that have rows."""
+    rows = parsed_rows(spark, files, Contract.of("none", {}))
+    return rows.groupBy(F.col("_uri").alias("uri")).agg(F.count(F.lit(1)).alias("usable_rows"))
 
 
 def read_csv_files(spark: SparkSession, paths: Sequence[str], contract: Contract) -> DataFrame:
     """All rows of several raw CSV files, typed by the contract."""
     if not paths:
         raise ValueError("No CSV files could be loaded")
-    return contract.conform(parsed_rows(spark, file_headers(spark, paths), contract))
+    return contract.conform(parsed_rows(spark, file_headers(spark, paths), contract).drop("_uri"))
