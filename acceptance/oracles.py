@@ -8,9 +8,8 @@ from __future__ import annotations
 
 import re
 
+from acceptance.finding_rules import CHECKS, HEADLINES
 from pollstone import fixtures
-from pollstone.operators import findings as fnd
-from pollstone.operators.findings import Check
 
 NAMES = {
     name: name
@@ -196,29 +195,18 @@ def _text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
 
-def _finding(source: str, column: str, check: Check, scope: str) -> str:
-    numeric = check.test in ("below", "from")
-    value = stable_mean(column) if numeric and scope == "business" else column
-
-    def holds(limit) -> str:
-        return {
-            "below": f"v < {limit}",
-            "from": f"v >= {limit}",
-            "is": f"lower(v) = '{limit}'",
-            "is_not": f"upper(v) <> '{limit}'",
-        }[check.test]
+def _finding(scope: str, source: str, column: str, category: str, *outcomes: tuple[str, ...]) -> str:
+    numeric = "upper" not in outcomes[0][0] and "lower" not in outcomes[0][0]
+    value = stable_mean(column) if scope == "business" else column
+    shown = "printf('%.2f', v)" if numeric else "upper(v)"
 
     def pick(read) -> str:
-        whens = " ".join(
-            f"WHEN {holds(limit)} THEN {read(outcome)}" for limit, outcome in zip(check.limits, check.outcomes)
-        )
-        return f"CASE {whens} ELSE {read(check.outcomes[-1])} END"
+        return "CASE " + " ".join(f"WHEN {outcome[0]} THEN {read(outcome)}" for outcome in outcomes) + " END"
 
-    shown = "printf('%.2f', v)" if numeric else "upper(v)"
-    message = pick(lambda o: f"replace({_text(o.message)}, '{{}}', {shown})")
+    message = pick(lambda o: f"replace({_text(o[3])}, '{{}}', {shown})" if "{}" in o[3] else _text(o[3]))
     return f"""
-SELECT {pick(lambda o: _text(o.severity))} AS severity, {_text(check.category)} AS category, {pick(lambda o: _text(o.title))} AS title,
-  {message} AS message, {pick(lambda o: _text(o.recommendation))} AS recommendation, '{scope}' AS scope
+SELECT {pick(lambda o: _text(o[1]))} AS severity, {_text(category)} AS category, {pick(lambda o: _text(o[2]))} AS title,
+  {message} AS message, {pick(lambda o: _text(o[4]))} AS recommendation, '{scope}' AS scope
 FROM (SELECT {value} AS v FROM {source})"""
 
 
@@ -226,25 +214,8 @@ CTES["civic"] = f"""
 SELECT coalesce(a.country, b.country) AS country, a.i AS democracy_index, b.i AS fairness_index
   FROM (SELECT country, {stable_mean('democracy_index')} AS i FROM democracy GROUP BY country) a
   FULL JOIN (SELECT country, {stable_mean('fairness_index')} AS i FROM fairness GROUP BY country) b ON a.country = b.country"""
-CTES["business_findings"] = " UNION ALL ".join(
-    _finding(source, column, check, "business")
-    for source, column, check in (
-        ("kpis", "completion_rate", fnd.COMPLETION),
-        ("trust", "average_trust_score", fnd.TRUST),
-        ("democracy", "democracy_index", fnd.DEMOCRACY),
-        ("corruption", "corruption_index", fnd.CORRUPTION),
-        ("fairness", "fairness_index", fnd.FAIRNESS),
-        ("coverage", "responses_per_million", fnd.COVERAGE),
-    )
-)
-CTES["platform_findings"] = " UNION ALL ".join(
-    _finding(source, column, check, "platform")
-    for source, column, check in (
-        ("status", "pipeline_status", fnd.STATUS),
-        ("reliability", "overall_reliability_index", fnd.RELIABILITY),
-        ("freshness", "freshness_status", fnd.FRESHNESS),
-    )
-)
+for _scope in ("business", "platform"):
+    CTES[f"{_scope}_findings"] = " UNION ALL ".join(_finding(*check) for check in CHECKS if check[0] == _scope)
 
 
 def with_ctes(body: str) -> str:
@@ -497,7 +468,7 @@ SELECT country, 'democracy_index' AS metric, democracy_index AS score FROM civic
     "report_findings": "SELECT * FROM business_findings UNION ALL SELECT * FROM platform_findings",
     "risk_summary": f"""
 SELECT h AS high_risk_count, m AS medium_risk_count, l AS low_risk_count, n AS total_findings,
-  CASE WHEN h > 0 THEN {_text(fnd.BANNERS['High'])} WHEN m > 0 THEN {_text(fnd.BANNERS['Medium'])} ELSE {_text(fnd.BANNERS['Low'])} END AS headline
+  CASE WHEN h > 0 THEN {_text(HEADLINES['High'])} WHEN m > 0 THEN {_text(HEADLINES['Medium'])} ELSE {_text(HEADLINES['Low'])} END AS headline
 FROM (SELECT {flag("severity = 'High'")} AS h, {flag("severity = 'Medium'")} AS m, {flag("severity = 'Low'")} AS l, count(*) AS n
   FROM (SELECT severity FROM business_findings UNION ALL SELECT severity FROM platform_findings))""",
     "top10_responses": _top("summary", "total_responses"),
