@@ -13,7 +13,7 @@ from pollstone import fixtures
 
 NAMES = {
     name: name
-    for name in ("orders", "customer", "nation", "region", "lineitem", "events", "documents", "pages")
+    for name in ("orders", "customer", "nation", "region", "lineitem", "events", "documents", "pages", "labels")
 }
 
 
@@ -80,6 +80,8 @@ CTES: dict[str, str] = {
 SELECT *, row_number() OVER (PARTITION BY response_id ORDER BY {FEED_ORDER}) AS rn,
   count(*) OVER (PARTITION BY response_id) AS copies FROM feed_clean""",
     "feed_silver": "SELECT * EXCLUDE (rn), CAST(copies > 1 AS BOOLEAN) AS duplicate_flag FROM feed_ranked WHERE rn = 1",
+    "landed": """
+SELECT s.*, 1 + coalesce(n, 0) AS copies FROM silver s LEFT JOIN (SELECT response_id, count(*) AS n FROM feed GROUP BY 1) f ON f.response_id = s.response_id""",
     "wb_silver": f"""
 SELECT {initcap(blank('country'))} AS country, upper(trim(country_code)) AS country_code, CAST(year AS INT) AS year,
   CASE WHEN country_code = 'N7' THEN NULL ELSE CAST(population AS BIGINT) END AS population, indicator,
@@ -336,6 +338,12 @@ def _means(source: str, score: str) -> str:
     return f"(SELECT country, {stable_mean(score)} AS {score} FROM {source} WHERE country IS NOT NULL AND {score} IS NOT NULL GROUP BY country)"
 
 
+def _ranking(source: str, score: str) -> str:
+    return f"""
+SELECT country, {score}, CAST(row_number() OVER (ORDER BY {score} DESC, country) AS INT) AS rank FROM (SELECT * FROM {source})
+WHERE country IS NOT NULL AND {score} IS NOT NULL"""
+
+
 def _unpivot(source: str, names: dict[str, str], value: str = "score", kind: str = "DOUBLE") -> str:
     return " UNION ALL ".join(
         f"SELECT '{label}' AS metric, CAST({column} AS {kind}) AS {value} FROM {source}" for column, label in names.items()
@@ -351,8 +359,8 @@ BODIES: dict[str, str] = {
     "clean_population": "SELECT * FROM wb_silver",
     "clean_country_ref": "SELECT * FROM cref_silver",
     "rename_snake_case": "SELECT c_custkey AS customer_id, c_name AS full_name, c_nationkey AS nation_key, c_acctbal AS acct_bal_2, c_mktsegment AS market_segment FROM customer",
-    "load_table_cleaning": "SELECT DISTINCT c_mktsegment AS market_segment, c_nationkey AS nation_key FROM customer",
-    "exact_dedup": "SELECT DISTINCT response_id, country, region, q3_trust_govt FROM feed_clean",
+    "load_table_cleaning": "SELECT * EXCLUDE (c_mktsegment, c_nationkey), c_mktsegment AS market_segment, c_nationkey AS nation_key FROM customer",
+    "exact_dedup": "SELECT DISTINCT * EXCLUDE (silver_processed_at), silver_processed_at FROM feed_clean",
     "dedup_by_key": "SELECT * EXCLUDE (rn, copies, silver_processed_at) FROM feed_ranked WHERE rn = 1",
     "keep_latest": """
 SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC,
@@ -488,7 +496,7 @@ WHERE NOT EXISTS (SELECT 1 FROM (SELECT url AS file_name, CASE WHEN length(html)
   CASE WHEN contains(url, '.com') THEN 'failed' ELSE 'processed' END AS processing_status FROM pages) p
   WHERE p.file_name = f.file_name AND p.file_hash = f.file_hash AND p.processing_status = 'processed')""",
     "insert_if_absent": """
-SELECT source, max(lang) AS lang FROM documents WHERE lang <> 'en' AND source NOT IN (SELECT source FROM documents WHERE lang = 'en' AND n_chars > 20000) GROUP BY source""",
+SELECT doc_id, max(lang) AS lang, max(source) AS source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) GROUP BY doc_id""",
     "match_country": """
 SELECT c_custkey, coalesce(m, 'unknown') AS country FROM (
   SELECT c_custkey, first(n_name ORDER BY length(n_name) DESC, n_nationkey) AS m FROM (
@@ -516,12 +524,56 @@ FROM documents GROUP BY 1, 2""",
 SELECT page_id, regexp_extract(url, '[^/]*$') AS file_name, lower(replace(regexp_extract(url, '[^/]*$'), ' ', '_')) AS clean_name,
   lower(regexp_extract(regexp_extract(url, '[^/]*$'), '.(\\.[^.]+)$', 1)) AS extension FROM pages""",
     "extension_check": """
-SELECT page_id, path, CASE WHEN e NOT IN ('.com', '.org') THEN 'extension not allowed: ' || e END AS reject_reason FROM (
-  SELECT *, lower(regexp_extract(regexp_extract(path, '[^/]*$'), '.(\\.[^.]+)$', 1)) AS e FROM (SELECT page_id, regexp_extract(url, '^[a-z]+://[^/?#]*') AS path FROM pages))""",
+SELECT page_id, path, CASE WHEN e NOT IN ('.html', '.htm', '') THEN 'extension not allowed: ' || e END AS reject_reason FROM (
+  SELECT *, lower(regexp_extract(regexp_extract(path, '[^/]*$'), '.(\\.[^.]+)$', 1)) AS e FROM (SELECT page_id, url AS path FROM pages))""",
     "load_count_check": """
-SELECT count(*) AS rows_sent, count(DISTINCT (response_id, delivery)) AS rows_loaded, count(*) = count(DISTINCT (response_id, delivery)) AS complete FROM feed""",
+SELECT 2 * count(*) AS rows_sent, (SELECT count(*) FROM (SELECT DISTINCT * FROM feed)) AS rows_loaded,
+  2 * count(*) = (SELECT count(*) FROM (SELECT DISTINCT * FROM feed)) AS complete FROM feed""",
     "ingest_round_trip": """
 SELECT s.* EXCLUDE (silver_processed_at), lower(s.country) AS path_country, '2024' AS path_year, '05' AS path_month, '01' AS path_day FROM silver s""",
+    "silver_job": f"""
+SELECT s.* EXCLUDE (copies, silver_processed_at), TIMESTAMP '2002-01-01' AS silver_processed_at, copies > 1 AS duplicate_flag, w.country_code,
+  CAST(submission_timestamp AS DATE) AS submission_date, {AGE_GROUP} AS age_group,
+  CASE WHEN response_id IS NOT NULL AND s.country IS NOT NULL AND gender IS NOT NULL AND age IS NOT NULL THEN 'valid' ELSE 'invalid' END AS validation_status
+FROM landed s LEFT JOIN (SELECT lower(country) AS ck, max(country_code) AS country_code FROM wb_silver GROUP BY 1) w ON lower(s.country) = w.ck""",
+    "silver_rejects": """
+SELECT response_id, concat_ws(',', CASE WHEN gender IS NULL THEN 'gender: required' END,
+  CASE WHEN completion_status IS NULL THEN 'completion_status: required' END) AS errors, count(*) AS n
+FROM (SELECT response_id, gender, completion_status FROM survey_raw UNION ALL SELECT response_id, gender, completion_status FROM feed)
+WHERE gender IS NULL OR completion_status IS NULL GROUP BY 1, 2""",
+    "silver_quality": f"""
+SELECT country, 'survey_responses' AS dataset_name, completeness_score, duplicate_rate, null_percentage,
+  CASE WHEN failed = '' THEN 'passed' ELSE 'failed' END AS validation_status, failed AS failed_checks
+FROM (SELECT *, concat_ws(',', CASE WHEN completeness_score < 95 THEN 'completeness' END, CASE WHEN duplicate_rate > 0 THEN 'duplicates' END,
+        CASE WHEN validity < 70 THEN 'validity' END) AS failed
+      FROM (SELECT country, {ratio('(11 * n - m)', '(11 * n)')} AS completeness_score, {ratio('(a - n)', 'a')} AS duplicate_rate,
+              {ratio('m', '(11 * n)')} AS null_percentage, {ratio('v', 'n')} AS validity
+            FROM (SELECT country, count(*) AS n, CAST(sum(copies) AS BIGINT) AS a, {flag("lower(completion_status) = 'completed'")} AS v,
+                    CAST(sum({' + '.join(f'CAST({c} IS NULL AS INT)' for c in TRACKED)}) AS BIGINT) AS m
+                  FROM landed GROUP BY country)))""",
+    "gold_job_kpis": "SELECT * FROM kpis",
+    "gold_job_trends": TRENDS,
+    "gold_job_corruption_levels": CORRUPTION_LEVELS,
+    "gold_job_quality": "SELECT * FROM quality",
+    "gold_job_keys": """
+SELECT 'response_volume_trends_gold' AS dataset_name, 'submission_date,country,region' AS key, count(*) AS rows,
+  CAST(0 AS BIGINT) AS null_keys, CAST(0 AS BIGINT) AS repeated_keys FROM daily
+UNION ALL SELECT 'country_survey_kpis_gold', 'country,region', count(*), 0, 0 FROM kpis
+UNION ALL SELECT 'corruption_levels_gold', 'country,region,corruption_level', count(*), 0, 0
+  FROM (SELECT DISTINCT country, region, q4_corruption FROM silver WHERE lower(completion_status) = 'completed')
+UNION ALL SELECT 'population_coverage_gold', 'country', count(*), 0, 0 FROM coverage""",
+    "job_sources": """
+SELECT 'csv' AS source_system, count(*) AS rows_loaded FROM survey_raw UNION ALL SELECT 'postgres_operational', count(*) FROM feed
+UNION ALL SELECT 'world_bank', count(*) FROM wb UNION ALL SELECT 'restcountries', count(*) FROM cref""",
+    "silver_population": "SELECT country, country_code, year, population, indicator FROM wb_silver",
+    "dedup_population": "SELECT * FROM wb_silver",
+    "dedup_countries": "SELECT * FROM cref_silver",
+    "drop_key_copies": """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity FROM lineitem
+QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC) = 1""",
+    "ranking_responses": _ranking("summary", "total_responses"),
+    "ranking_trust": _ranking(_means("trust", "average_trust_score"), "average_trust_score"),
+    "ranking_corruption": _ranking(_means("corruption", "average_corruption_score"), "average_corruption_score"),
     "bronze_layout": f"""
 SELECT lower(nullif(trim(country), '')) AS country, strftime(submission_timestamp, '%Y') AS year, strftime(submission_timestamp, '%m') AS month,
   strftime(submission_timestamp, '%d') AS day, source_system, count(*) AS rows_landed FROM survey_raw GROUP BY ALL""",

@@ -25,10 +25,10 @@ from pollstone.operators import (
     serving,
     validation,
 )
-from pollstone.plans import ingest
+from pollstone.plans import bookkeeping, end_to_end, ingest
 from pollstone.sources import csv_files, payloads, readers, tables, writers
 from pollstone.sources.readers import list_files, read_bronze
-from pollstone.sources.registry import Lake, bronze_datasets
+from pollstone.sources.registry import API_SOURCES, Lake, bronze_datasets
 from pollstone.streaming import responses
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -114,15 +114,14 @@ def rename_snake_case(spark, folder):
 @query
 def load_table_cleaning(spark, folder):
     customer = fixtures.table(spark, folder, "customer")
-    return cleaning.clean_loaded_table(
-        customer.select(F.col("c_mktsegment").alias("Market Segment"), F.col("c_nationkey").alias(" NATION-key"))
-    )
+    renamed = customer.withColumnsRenamed({"c_mktsegment": "Market Segment", "c_nationkey": " NATION-key"})
+    return cleaning.clean_loaded_table(renamed.unionByName(renamed))
 
 
 @query
 def exact_dedup(spark, folder):
-    rows = feed_clean(spark, folder).select("response_id", "country", "region", "q3_trust_govt")
-    return dedup.drop_exact_copies(rows)
+    feed = feed_clean(spark, folder)
+    return plain(dedup.drop_exact_copies(feed.unionByName(feed)))
 
 
 @query
@@ -374,14 +373,23 @@ def country_summary(spark, folder):
     return serving.country_summary(country_survey_kpis(spark, folder))
 
 
+def _kpis_and_trust(spark, folder):
+    """Both tables off one written rollup: the responses are read once."""
+    rollup = durable(rollups.place_rollup(silver(spark, folder)))
+    return (
+        rollups.kpis_from_rollup(rollup, countries_silver(spark, folder), population_silver(spark, folder)),
+        rollups.perception_from_rollup(rollup, "governance_trust_gold"),
+    )
+
+
 @query
 def business_kpis(spark, folder):
-    return serving.business_kpis(country_survey_kpis(spark, folder), governance_trust(spark, folder))
+    return serving.business_kpis(*_kpis_and_trust(spark, folder))
 
 
 @query
 def business_kpi_texts(spark, folder):
-    return serving.business_kpi_texts(country_survey_kpis(spark, folder), governance_trust(spark, folder))
+    return serving.business_kpi_texts(*_kpis_and_trust(spark, folder))
 
 
 @query
@@ -437,7 +445,10 @@ def reliability_breakdown(spark, folder):
 
 @query
 def civic_comparison(spark, folder):
-    return serving.civic_comparison(democracy_perception(spark, folder), election_fairness(spark, folder))
+    rollup = durable(rollups.place_rollup(silver(spark, folder)))
+    return serving.civic_comparison(
+        *[rollups.perception_from_rollup(rollup, f"{name}_gold") for name in ("democracy_perception", "election_fairness")]
+    )
 
 
 @query
@@ -503,6 +514,27 @@ def top10_fairness(spark, folder):
     return serving.top(country_mean_fairness(spark, folder), "average_fairness_score")
 
 
+def _ranking(table, score):
+    """A whole ranking with the place of each row, as results are compared without order."""
+    return serving.with_rank(table.select("country", score), score)
+
+
+@query
+def ranking_responses(spark, folder):
+    return _ranking(country_summary(spark, folder), "total_responses")
+
+
+@query
+def ranking_trust(spark, folder):
+    return _ranking(country_mean_trust(spark, folder), "average_trust_score")
+
+
+@query
+def ranking_corruption(spark, folder):
+    table = serving.country_means(corruption_perception(spark, folder), "average_corruption_score")
+    return _ranking(table, "average_corruption_score")
+
+
 @query
 def coverage_map(spark, folder):
     return serving.coverage_map(population_coverage(spark, folder))
@@ -543,10 +575,9 @@ def new_files(spark, folder):
 
 @query
 def insert_if_absent(spark, folder):
-    """One row per source of foreign-language documents, unless a long English one holds the source."""
-    documents = fixtures.table(spark, folder, "documents")
-    new = documents.filter("lang <> 'en'").select("source", "lang")
-    return ledger.absent_rows(new, documents.filter("lang = 'en' AND n_chars > 20000"), ["source"])
+    """Documents that the table of labels does not hold."""
+    new = fixtures.table(spark, folder, "documents").select("doc_id", "lang", "source")
+    return ledger.absent_rows(new, fixtures.table(spark, folder, "labels"), ["doc_id"])
 
 
 def _customer_paths(spark, folder):
@@ -557,28 +588,25 @@ def _customer_paths(spark, folder):
     return customer.join(nation, customer.c_nationkey == nation.n_nationkey).select("c_custkey", path.alias("path"))
 
 
-def _with_names(df, spark, folder, table, key, name, longest=False):
-    """Add the names of a dimension table as an array column, in key order or longest first."""
-    order = [(-F.length(name)).alias("by_length")] if longest else []
-    items = F.array_sort(F.collect_list(F.struct(*order, F.col(key), F.col(name))))
-    names = fixtures.table(spark, folder, table).agg(items.alias("i")).select(F.col(f"i.{name}"))
-    return df.withColumn("names", names.scalar())
+def _nation_names(spark, folder, rank):
+    nation = fixtures.table(spark, folder, "nation")
+    return nation.select(F.col("n_name").alias("pattern"), F.col("n_name").alias("name"), rank.alias("rank"))
+
+
+def _with_country(spark, folder, rank):
+    found = reference.with_names_found(_customer_paths(spark, folder), "path", _nation_names(spark, folder, rank), "country")
+    return found.select("c_custkey", F.coalesce("country", F.lit("unknown")).alias("country"))
 
 
 @query
 def match_country(spark, folder):
-    paths = _with_names(
-        _customer_paths(spark, folder), spark, folder, "nation", "n_nationkey", "n_name", longest=True
-    )
-    return paths.select("c_custkey", reference.country_in_path(F.col("path"), F.col("names")).alias("country"))
+    """Nations looked up in paths, the longest name first."""
+    return _with_country(spark, folder, F.struct(-F.length("n_name"), F.col("n_nationkey")))
 
 
 @query
 def match_country_list_order(spark, folder):
-    paths = _with_names(_customer_paths(spark, folder), spark, folder, "nation", "n_nationkey", "n_name")
-    return paths.select(
-        "c_custkey", reference.country_in_path(F.col("path"), F.col("names"), longest=False).alias("country")
-    )
+    return _with_country(spark, folder, F.col("n_nationkey"))
 
 
 @query
@@ -589,10 +617,13 @@ def match_country_file_name(spark, folder):
         region, nation.n_regionkey == region.r_regionkey
     )
     files = placed.select("c_custkey", F.concat(F.lower("r_name"), F.lit("_"), F.lower("c_mktsegment")).alias("name"))
-    files = _with_names(files, spark, folder, "region", "r_regionkey", "r_name")
-    return files.select(
-        "c_custkey", reference.country_in_file_name(F.col("name"), F.col("names")).alias("region_name")
+    patterns = region.select(
+        F.explode(F.array("r_name", F.substring("r_name", 1, 2))).alias("pattern"),
+        F.col("r_name").alias("name"),
+        F.col("r_regionkey").alias("rank"),
     )
+    found = reference.with_names_found(files, "name", patterns, "region_name", split=None)
+    return found.select("c_custkey", "region_name")
 
 
 @query
@@ -615,17 +646,21 @@ def file_names(spark, folder):
 
 @query
 def extension_check(spark, folder):
-    """Host names of pages as file paths: which extensions are refused."""
-    host = F.regexp_extract("url", "^[a-z]+://[^/?#]*", 0)
-    pages = fixtures.table(spark, folder, "pages").select("page_id", host.alias("path"))
-    return validation.with_extension_check(pages, (".com", ".org"))
+    """URLs of pages as file paths: which extensions are refused."""
+    pages = fixtures.table(spark, folder, "pages").select("page_id", F.col("url").alias("path"))
+    return validation.with_extension_check(pages, (".html", ".htm", ""))
 
 
 @query
 def load_count_check(spark, folder):
-    """Rows sent against rows found after exact copies went."""
-    feed = fixtures.survey_feed(spark, folder).select("response_id", "delivery")
-    return tables.count_check(feed, cleaning.clean_loaded_table(feed))
+    """Rows sent, each twice, against rows found after exact copies went."""
+    feed = fixtures.survey_feed(spark, folder)
+    sent = feed.unionByName(feed)
+    return tables.count_check(sent, cleaning.clean_loaded_table(sent))
+
+
+def _place_names(spark, folder):
+    return [row.n_name for row in fixtures.table(spark, folder, "nation").select("n_name").toLocalIterator()]
 
 
 @query
@@ -635,16 +670,137 @@ def ingest_round_trip(spark, folder):
     raw = fixtures.survey_raw(spark, folder).withColumn("nation", F.lower(F.trim("country")))
     raw.write.partitionBy("nation").option("header", True).csv(f"{place}/raw")
     lake = Lake.under(f"{place}/lake")
-    names = [row.n_name for row in fixtures.table(spark, folder, "nation").select("n_name").toLocalIterator()]
-    ingest.ingest_files(spark, f"{place}/raw", lake, countries=names, day=F.lit("2024-05-01"))
+    ingest.ingest_files(spark, f"{place}/raw", lake, countries=_place_names(spark, folder), day=F.lit("2024-05-01"))
     landed = read_bronze(
-        spark, bronze_datasets(lake)["survey_responses"].input_glob, "csv", catalog.BRONZE_SURVEY, folder_parts=True
+        spark, bronze_datasets(lake)["survey_responses"].input_glob, "parquet", folder_parts=True
     )
     typed = catalog.BRONZE_SURVEY.conform(landed, keep_extra=True)
     cleaned = cleaning.clean_survey_responses(typed)
     return plain(dedup.dedup_survey_responses(cleaned)).drop("path_source_system")
 
 
+# Lakes that the job queries built, by session and input.
+_LAKES: dict[tuple[str, str], Lake] = {}
+
+
+def _whole_run(spark, folder) -> Lake:
+    """A lake after one run of all jobs.
+
+    The responses arrive as files, every delivery of them (without the trust
+    question) as a database table before, population and countries as service
+    answers. The files are the latest load, so their rows survive.
+    """
+    known = (spark.sparkContext.applicationId, folder)
+    if known not in _LAKES:
+        place = f"{shared_folder(spark)}/lakes/{uuid.uuid4()}"
+        raw = fixtures.survey_raw(spark, folder).withColumn("nation", F.lower(F.trim("country")))
+        keep_blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+        raw.write.partitionBy("nation").csv(f"{place}/raw", header=True, **keep_blanks)
+        lake = Lake.under(f"{place}/lake")
+        records = F.to_json(F.collect_list(F.struct("indicator", "country", "countryiso3code", "date", "value", "unit", "obs_status", "decimal")))
+        per_nation = fixtures.population_payload(spark, folder).groupBy(F.trim("countryiso3code").alias("nation"))
+        answers = per_nation.agg(F.concat(F.lit('[{"page": 1}, '), records, F.lit("]")).alias("value"))
+        answers.write.partitionBy("nation").text(f"{place}/answers/world_bank")
+        listed = fixtures.countries_payload(spark, folder).agg(F.to_json(F.collect_list(F.struct("*"))).alias("value"))
+        listed.write.text(f"{place}/answers/restcountries")
+        for source in API_SOURCES:
+            ingest.ingest_payloads(spark, f"{place}/answers/{source}", lake, source, pattern="*.txt")
+        feed = fixtures.survey_feed(spark, folder).drop("loaded_at", "delivery", "batch", "q3_trust_govt")
+        end_to_end.run_all(
+            spark, lake, f"{place}/raw", tables={"survey_responses": feed}, now=now(), countries=_place_names(spark, folder)
+        )
+        _LAKES[known] = lake
+    return _LAKES[known]
+
+
+@query
+def silver_job(spark, folder):
+    """The published clean responses."""
+    return plain(spark.read.parquet(f"{_whole_run(spark, folder).silver}/survey_responses").drop("ingestion_timestamp"))
+
+
+@query
+def silver_rejects(spark, folder):
+    """Raw rows of files and table that break the contract, counted per response."""
+    rejects = bookkeeping.rejected_rows(spark, _whole_run(spark, folder), "survey_responses")
+    return rejects.groupBy("response_id", F.concat_ws(",", ERRORS).alias("errors")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def silver_quality(spark, folder):
+    """Quality per country as the run recorded it, with the true duplicate rate."""
+    metrics = bookkeeping.data_quality_metrics(spark, _whole_run(spark, folder)).drop("metric_id", "run_id", "created_at")
+    return metrics.withColumn("failed_checks", F.concat_ws(",", "failed_checks"))
+
+
+def _published(spark, folder, name):
+    return plain(readers.read_gold(spark, _whole_run(spark, folder).gold, name))
+
+
+@query
+def gold_job_kpis(spark, folder):
+    return _published(spark, folder, "country_survey_kpis_gold")
+
+
+@query
+def gold_job_trends(spark, folder):
+    return _published(spark, folder, "response_volume_trends_gold")
+
+
+@query
+def gold_job_corruption_levels(spark, folder):
+    return _published(spark, folder, "corruption_levels_gold")
+
+
+@query
+def gold_job_quality(spark, folder):
+    return _published(spark, folder, "data_quality_summary_gold")
+
+
+@query
+def gold_job_keys(spark, folder):
+    """How far the published tables keep their primary keys."""
+    return bookkeeping.key_checks(spark, _whole_run(spark, folder)).drop("run_id")
+
+
+@query
+def job_sources(spark, folder):
+    """Rows that each source loaded, from the ledger of files."""
+    book = bookkeeping.processed_files(spark, _whole_run(spark, folder))
+    return book.groupBy("source_system").agg(F.sum("rows_loaded").alias("rows_loaded"))
+
+
+@query
+def silver_population(spark, folder):
+    """The published population table, from service answers."""
+    return spark.read.parquet(f"{_whole_run(spark, folder).silver}/world_bank_population").select(
+        "country", "country_code", "year", "population", "indicator"
+    )
+
+
+@query
+def dedup_population(spark, folder):
+    """Every population row three times: the one with a known population stays."""
+    rows = population_silver(spark, folder)
+    unknown = rows.withColumn("population", F.lit(None).cast("bigint"))
+    return dedup.dedup_world_bank_population(unknown.unionByName(rows).unionByName(rows))
+
+
+@query
+def dedup_countries(spark, folder):
+    """Countries twice, once in capitals and without people: one row per name in any case."""
+    rows = countries_silver(spark, folder)
+    other = rows.withColumn("country_name", F.upper("country_name")).withColumn("population", F.lit(None).cast("bigint"))
+    return dedup.dedup_country_reference(other.unionByName(rows))
+
+
+@query
+def drop_key_copies(spark, folder):
+    """One line item per order, the largest over all columns."""
+    rows = fixtures.table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    return dedup.drop_key_copies(rows, ["l_orderkey"])
+
+
 @query
 def csv_records(spark, folder):
     """Texts with line ends, quotes and commas, written as CSV files and read back."""

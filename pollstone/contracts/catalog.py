@@ -239,6 +239,7 @@ CORRUPTION_LEVELS = Contract.of(
         "corruption_index": "double",
         **GOLD_MARKS,
     },
+    primary_key=["country", "region", "corruption_level"],
 )
 
 POPULATION_COVERAGE = Contract.of(
@@ -349,6 +350,7 @@ GOLD = {
         GOVERNANCE_TRUST,
         DEMOCRACY_PERCEPTION,
         CORRUPTION_PERCEPTION,
+        CORRUPTION_LEVELS,
         ELECTION_FAIRNESS,
         POPULATION_COVERAGE,
         DATA_QUALITY_SUMMARY,

@@ -134,8 +134,9 @@ class Contract:
         extra = [F.col(name) for name in df.columns if keep_extra and name not in self.columns]
         return df.select(*[self._value(df, field).alias(field.name) for field in self.fields], *extra)
 
-    def with_errors(self, df: DataFrame) -> DataFrame:
+    def with_errors(self, df: DataFrame, keep_extra: bool = False) -> DataFrame:
         """Conformed rows plus the list of fields each row violates (empty when it fits)."""
+        extra = [name for name in df.columns if keep_extra and name not in self.columns]
         values = [self._value(df, field).alias(field.name) for field in self.fields]
         given = [F.col(name).isNotNull().alias(f"_given_{name}") for name in self.columns if name in df.columns]
         broken: list[tuple[Column, str]] = []
@@ -151,10 +152,28 @@ class Contract:
         # Only rows with an error pay for building the list.
         any_broken = reduce(lambda left, right: left | right, [test for test, _ in broken], F.lit(False))
         errors = F.when(any_broken, listed).otherwise(F.array().cast("array<string>")).alias(ERRORS)
-        return df.select(*values, *given).select(*self.columns, errors)
+        return df.select(*values, *extra, *given).select(*self.columns, *extra, errors)
 
     def split(self, df: DataFrame) -> tuple[DataFrame, DataFrame]:
         """(rows that keep the contract, rejected rows with their errors)."""
         checked = self.with_errors(df)
         clean = F.size(ERRORS) == 0
         return checked.filter(clean).drop(ERRORS), checked.filter(~clean)
+
+    def key_check(self, df: DataFrame) -> DataFrame:
+        """One row: rows, rows with a NULL in the primary key, and keys that occur more than once.
+
+        The counts are combined per key before the shuffle. A contract without
+        a key, or rows without one of its columns, is an error.
+        """
+        lacking = [name for name in self.primary_key if name not in df.columns]
+        if lacking or not self.primary_key:
+            raise ValueError(f"No primary key to check in {self.dataset}: {lacking or 'none declared'}")
+        absent = reduce(lambda left, right: left | right, [F.col(name).isNull() for name in self.primary_key])
+        per_key = df.groupBy(*self.primary_key).agg(F.count(F.lit(1)).alias("_n"))
+        total = lambda value: F.coalesce(F.sum(value), F.lit(0)).cast("bigint")
+        return per_key.agg(
+            total("_n").alias("rows"),
+            total(F.when(absent, F.col("_n"))).alias("null_keys"),
+            F.count_if(F.col("_n") > 1).alias("repeated_keys"),
+        ).select(F.lit(self.dataset).alias("dataset_name"), F.array_join(F.array(*map(F.lit, self.primary_key)), ",").alias("key"), "*")

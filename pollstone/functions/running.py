@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pollstone.functions.durable import durable
 
-_SLICE, _TOTAL, _BEFORE = "_slice", "_slice_total", "_before_slice"
+_SLICE, _TOTAL, _BEFORE, _KEY = "_slice", "_slice_total", "_before_slice", "_slice_key"
 
 
 def running_total(df: DataFrame, group: Sequence[str], order: Sequence[str], value: str, output: str) -> DataFrame:
@@ -27,21 +26,18 @@ def running_total(df: DataFrame, group: Sequence[str], order: Sequence[str], val
     slices = durable(df.repartitionByRange(*keys).withColumn(_SLICE, F.spark_partition_id()))
 
     earlier = Window.partitionBy(*group).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    # Slice and group as one value that is never NULL: the window and the join
+    # then ask for the same partitioning, and the wide side is shuffled once.
+    key = F.struct(_SLICE, *group).alias(_KEY)
     offsets = (
         slices.groupBy(_SLICE, *group)
         .agg(F.sum(value).alias(_TOTAL))
-        .select(_SLICE, *group, F.coalesce(F.sum(_TOTAL).over(earlier), F.lit(0)).alias(_BEFORE))
+        .select(key, F.coalesce(F.sum(_TOTAL).over(earlier), F.lit(0)).alias(_BEFORE))
     )
-    offsets = offsets.toDF(*[f"_o_{name}" for name in offsets.columns])
-
-    inside = (
-        Window.partitionBy(_SLICE, *group)
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    same = [F.col(name).eqNullSafe(F.col(f"_o_{name}")) for name in (_SLICE, *group)]
+    inside = Window.partitionBy(_KEY).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
-        slices.withColumn(output, F.sum(value).over(inside))
-        .join(offsets, reduce(lambda left, right: left & right, same), "left")
-        .select(*df.columns, (F.col(output) + F.col(f"_o_{_BEFORE}")).alias(output))
+        slices.select("*", key)
+        .withColumn(output, F.sum(value).over(inside))
+        .join(offsets, _KEY, "left")
+        .select(*df.columns, (F.col(output) + F.col(_BEFORE)).alias(output))
     )

@@ -83,6 +83,11 @@ def dedup_survey_responses(df: DataFrame) -> DataFrame:
     return keep_latest(df, ["response_id"], _load_order(df, "submission_timestamp"))
 
 
+def merge_survey_responses(df: DataFrame) -> DataFrame:
+    """The survivors of :func:`dedup_survey_responses`, with the number of rows each stands for."""
+    return merge_copies(df, ["response_id"], _load_order(df, "submission_timestamp"))
+
+
 def dedup_world_bank_population(df: DataFrame) -> DataFrame:
     """One row per country, year and indicator: the latest load, a known population first."""
     return keep_latest(df, ["country", "year", "indicator"], _load_order(df, "population"))

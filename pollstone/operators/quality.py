@@ -19,6 +19,7 @@ from pollstone.functions.expr import (
     quality_band,
     scaled_ratio,
 )
+from pollstone.operators.dedup import COPIES
 from pollstone.operators.rollups import duplicate_count, gold_marks
 
 # Columns that count towards completeness.
@@ -211,15 +212,18 @@ def quality_by_country(
 
     Grouping by (country, key) first keeps a country with a third of the rows
     spread out and gives the number of distinct keys without a second pass.
+    Rows that carry ``copies`` count as that many in the duplicate rate.
     """
     tracked = [name for name in columns if name in survey.columns]
     per_key = survey.groupBy("country", key).agg(
         F.count(F.lit(1)).alias("rows"),
+        (F.sum(COPIES) if COPIES in survey.columns else F.count(F.lit(1))).alias("arrived"),
         count_where(completed()).alias("valid"),
         F.sum(missing_cells(tracked)).cast("bigint").alias("missing"),
     )
     per_country = per_key.groupBy("country").agg(
         F.sum("rows").alias("rows"),
+        F.sum("arrived").alias("arrived"),
         F.count(F.lit(1)).alias("keys"),
         F.sum("valid").alias("valid"),
         F.sum("missing").alias("missing"),
@@ -229,7 +233,7 @@ def quality_by_country(
         "country",
         F.lit(dataset).alias("dataset_name"),
         percent(cells - F.col("missing"), cells).alias("completeness_score"),
-        percent(rows - F.col("keys"), rows).alias("duplicate_rate"),
+        percent(F.col("arrived") - F.col("keys"), F.col("arrived")).alias("duplicate_rate"),
         percent(F.col("missing"), cells).alias("null_percentage"),
         percent(F.col("valid"), rows).alias("_validity"),
     )

@@ -103,6 +103,37 @@ def country_in_file_name(name: Column, countries: Sequence[str] | Column = COUNT
     return F.get(hits, F.lit(0))
 
 
+def with_names_found(
+    texts: DataFrame, column: str, patterns: DataFrame, output: str, split: str | None = "/"
+) -> DataFrame:
+    """Add the name whose pattern occurs in a text, for tables of names of any size.
+
+    ``patterns`` has ``pattern``, ``name`` and a sortable ``rank``; case does not
+    matter and blank patterns find nothing. The first part of the text (between
+    ``split``) that holds a pattern decides; in it the smallest rank wins, then
+    the smallest name. A text without a name, or NULL, gets NULL.
+
+    Each distinct part is looked up once: its substrings of the lengths that
+    patterns have meet the patterns in an equi-join, so parts and names are not
+    compared pair by pair.
+    """
+    known = patterns.select(F.lower("pattern").alias("_piece"), F.col("name").alias("_name"), F.col("rank").alias("_rank"))
+    known = known.filter(F.trim("_piece") != "")
+    lengths = known.select(F.length("_piece").alias("n")).distinct().agg(F.collect_list("n"))
+
+    whole = texts.select(F.col(column).alias("_text")).dropna().distinct()
+    parts = F.split(F.lower("_text"), split) if split else F.array(F.lower("_text"))
+    placed = whole.select("_text", F.posexplode(parts).alias("_place", "_part"))
+    sized = placed.select("_part").distinct().withColumn("_size", F.explode(lengths.scalar()))
+    sized = sized.filter(F.length("_part") >= F.col("_size"))
+    starts = sized.withColumn("_start", F.explode(F.sequence(F.lit(1), F.length("_part") - F.col("_size") + 1)))
+    pieces = starts.select("_part", F.substring(F.col("_part"), F.col("_start"), F.col("_size")).alias("_piece")).distinct()
+    best = pieces.join(known, "_piece").groupBy("_part").agg(F.min(F.struct("_rank", "_name")).alias("_best"))
+    found = placed.join(best, "_part").groupBy("_text").agg(F.min(F.struct("_place", "_best")).alias("_found"))
+    found = found.select("_text", F.col("_found._best._name").alias(output))
+    return texts.join(found, texts[column] == found["_text"], "left").drop("_text")
+
+
 def with_row_checks(survey: DataFrame) -> DataFrame:
     """Add the declared row columns: duplicate flag, validation status, age group, submission date."""
     known = F.lit(True)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pollstone.functions.expr import stable_mean
@@ -74,6 +74,12 @@ def ranked(table: DataFrame, score: str, key: str = "country", descending: bool
     return table.dropna(subset=[key, score]).orderBy(order, F.col(key).asc())
 
 
+def with_rank(table: DataFrame, score: str, key: str = "country") -> DataFrame:
+    """Rows that have key and score, with their place by falling score, then by key; for one row per key."""
+    known = table.dropna(subset=[key, score])
+    return known.withColumn("rank", F.row_number().over(Window.orderBy(F.col(score).desc(), F.col(key).asc())))
+
+
 def top(table: DataFrame, score: str, n: int = 10, key: str = "country") -> DataFrame:
     return ranked(table, score, key).limit(n)
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pollstone.contracts.model import Contract
 from pollstone.operators import ledger
 from pollstone.operators.quality import quality_by_country
 from pollstone.sources.registry import Lake
@@ -74,6 +75,23 @@ def data_quality_metrics(spark: SparkSession, lake: Lake) -> DataFrame:
     return read_book(spark, f"{lake.meta}/data_quality_metrics", ledger.QUALITY_METRICS_SCHEMA)
 
 
+KEY_CHECKS_SCHEMA = "run_id string, dataset_name string, key string, rows bigint, null_keys bigint, repeated_keys bigint"
+
+
+def record_keys(spark: SparkSession, lake: Lake, run_id: str, contract: Contract, df: DataFrame) -> None:
+    """Append how far a table keeps the primary key of its contract."""
+    append(contract.key_check(df).select(F.lit(run_id).alias("run_id"), "*"), f"{lake.meta}/key_checks")
+
+
+def key_checks(spark: SparkSession, lake: Lake) -> DataFrame:
+    return read_book(spark, f"{lake.meta}/key_checks", KEY_CHECKS_SCHEMA)
+
+
+def rejected_rows(spark: SparkSession, lake: Lake, dataset: str) -> DataFrame:
+    """Raw rows of all runs that break the dataset's contract, with what they break."""
+    return spark.read.option("mergeSchema", True).parquet(f"{lake.meta}/rejects/{dataset}")
+
+
 def incremental_state(spark: SparkSession, lake: Lake) -> DataFrame:
     """Last successful load and running total per source, from the processed files."""
     return ledger.incremental_state(processed_files(spark, lake))

@@ -1,18 +1,21 @@
 """Clean to business tables.
 
 The clean responses are read for the rollup, the demographics, the daily
-trends and the one-row profile; the other nine tables are read off the written
-rollup and profile.
+trends, the answers per corruption level and the one-row profile; the other
+nine tables are read off the written rollup and profile.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import uuid
+from collections.abc import Callable, Mapping
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from pollstone.contracts.catalog import GOLD
 from pollstone.operators import quality, rollups
+from pollstone.plans.bookkeeping import record_keys
 from pollstone.sources.readers import read_silver
 from pollstone.sources.registry import Lake
 from pollstone.sources.writers import write_gold
@@ -23,39 +26,45 @@ def gold_tables(
     rollup: DataFrame,
     profile: DataFrame,
     now: Column | None = None,
-) -> dict[str, DataFrame]:
-    """The thirteen business tables, not yet run."""
+) -> dict[str, Callable[[], DataFrame]]:
+    """How to build each of the fourteen business tables; nothing runs before a builder is called."""
     survey = tables["survey_responses"]
     population = tables["world_bank_population"]
+    countries = tables["country_reference"]
     return {
-        "country_survey_kpis_gold": rollups.kpis_from_rollup(
-            rollup, tables["country_reference"], population, now
-        ),
-        "demographic_distribution_gold": rollups.demographic_distribution(survey, now),
-        "response_volume_trends_gold": rollups.response_volume_trends(survey, now),
-        **{name: rollups.perception_from_rollup(rollup, name, now) for name in rollups.PERCEPTIONS},
-        "population_coverage_gold": rollups.coverage_from_rollup(rollup, population, now),
-        "data_quality_summary_gold": quality.data_quality_summary(profile, processed_at=now),
-        "reliability_index_gold": quality.reliability_index(profile, now=now),
-        "pipeline_runtime_gold": quality.pipeline_runtime(profile, now=now),
-        "pipeline_status_gold": quality.pipeline_status(profile, now=now),
-        "data_freshness_gold": quality.data_freshness(profile, now=now),
+        "country_survey_kpis_gold": partial(rollups.kpis_from_rollup, rollup, countries, population, now),
+        "demographic_distribution_gold": partial(rollups.demographic_distribution, survey, now),
+        "response_volume_trends_gold": partial(rollups.response_volume_trends, survey, now),
+        **{name: partial(rollups.perception_from_rollup, rollup, name, now) for name in rollups.PERCEPTIONS},
+        "corruption_levels_gold": partial(rollups.corruption_levels, survey, now),
+        "population_coverage_gold": partial(rollups.coverage_from_rollup, rollup, population, now),
+        "data_quality_summary_gold": partial(quality.data_quality_summary, profile, processed_at=now),
+        "reliability_index_gold": partial(quality.reliability_index, profile, now=now),
+        "pipeline_runtime_gold": partial(quality.pipeline_runtime, profile, now=now),
+        "pipeline_status_gold": partial(quality.pipeline_status, profile, now=now),
+        "data_freshness_gold": partial(quality.data_freshness, profile, now=now),
     }
 
 
-def run_silver_to_gold(spark: SparkSession, lake: Lake, now: Column | None = None) -> dict[str, int]:
-    """Write every business table and return its row count."""
+def run_silver_to_gold(
+    spark: SparkSession, lake: Lake, now: Column | None = None, run_id: str | None = None
+) -> dict[str, int]:
+    """Write every business table and return its row count; keys are checked on the written tables."""
     tables = read_silver(spark, lake.silver)
     survey = tables["survey_responses"]
+    run = run_id or str(uuid.uuid4())
 
     def written(df: DataFrame, name: str) -> DataFrame:
-        path = f"{lake.meta}/staging/{name}"
+        path = f"{lake.meta}/staging/{name}_{run}"
         write_gold(df, path)
         return spark.read.parquet(path)
 
     rollup = written(rollups.place_rollup(survey), "place_rollup")
     profile = written(quality.response_profile(survey), "response_profile")
-    return {
-        name: write_gold(table, f"{lake.gold}/{name}", GOLD[name])
-        for name, table in gold_tables(tables, rollup, profile, now).items()
-    }
+    counts = {}
+    for name, build in gold_tables(tables, rollup, profile, now).items():
+        path = f"{lake.gold}/{name}"
+        counts[name] = write_gold(build(), path, GOLD[name])
+        if GOLD[name].primary_key:
+            record_keys(spark, lake, run, GOLD[name], spark.read.parquet(path))
+    return counts

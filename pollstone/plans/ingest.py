@@ -9,7 +9,7 @@ clean layer.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +26,7 @@ from pollstone.sources.csv_files import file_headers, parsed_rows, row_counts
 from pollstone.sources.readers import file_hashes, list_files
 from pollstone.sources.registry import API_SOURCES, DB_SOURCES, Lake
 from pollstone.sources.tables import extract_table
-from pollstone.sources.writers import land_bronze, with_bronze_parts
+from pollstone.sources.writers import keep_payloads, land_bronze, with_bronze_parts
 
 OUTCOME_COLUMNS = (
     "path", "file_name", "file_hash", "country", "source_system", "status", "reason", "rows_loaded", "last_modified",
@@ -138,7 +138,8 @@ def ingest_files(
         if not ready.isEmpty():
             rows = parsed_rows(spark, ready, contract, keep=["country"])
             landed = with_bronze_parts(rows, day=day, country=F.col("_country"), source=F.lit("csv"))
-            land_bronze(landed.drop("_country", "_uri"), lake.bronze, "csv")
+            # Parquet, so that line ends and quotes in a value need no second parse.
+            land_bronze(landed.drop("_country", "_uri"), lake.bronze, "parquet")
         landed_now = F.col("status") == "ready"
         outcomes = files.withColumns(
             {
@@ -158,10 +159,18 @@ def ingest_files(
 
 
 def ingest_payloads(
-    spark: SparkSession, folder: str, lake: Lake, source: str, day: Column | None = None, run_id: str | None = None
+    spark: SparkSession,
+    folder: str,
+    lake: Lake,
+    source: str,
+    day: Column | None = None,
+    run_id: str | None = None,
+    pattern: str = "*.json",
 ) -> DataFrame:
     """Land service answers (one text file each) as record lines; returns one outcome row per answer.
 
+    The folder is read once, into a staged copy. The answers are kept whole, one
+    JSON line each, under ``<lake>/meta/answers``.
     An answer is known by its source and content, so the same answer fetched
     again under another file name is skipped.
     """
@@ -174,7 +183,7 @@ def ingest_payloads(
         texts = (
             spark.read.option("wholetext", True)
             .option("recursiveFileLookup", True)
-            .option("pathGlobFilter", "*.json")
+            .option("pathGlobFilter", pattern)
             .text(folder)
             .select(
                 "value",
@@ -184,7 +193,12 @@ def ingest_payloads(
             )
         )
         shaped = answers.shaped(texts, source)
+        stage = f"{lake.meta}/staging/answers_{run}"
         hashed = shaped.withColumn("file_name", F.lit(source)).withColumn("file_hash", F.sha2("value", 256))
+        hashed.write.mode("overwrite").parquet(f"{stage}/read")
+        hashed = spark.read.parquet(f"{stage}/read")
+        kept = hashed.select(F.to_json(F.struct("path", "file_hash", "value")).alias("value"))
+        keep_payloads(kept, f"{lake.meta}/answers", source, run)
         firsts = hashed.groupBy("file_hash").agg(F.min("path").alias("path")).select("path", F.lit(True).alias("_first"))
         files = (
             hashed
@@ -207,9 +221,8 @@ def ingest_payloads(
                 .alias("status"),
             )
         )
-        stage = f"{lake.meta}/staging/answers_{run}"
-        files.write.mode("overwrite").parquet(stage)
-        staged = spark.read.parquet(stage)
+        files.write.mode("overwrite").parquet(f"{stage}/judged")
+        staged = spark.read.parquet(f"{stage}/judged")
         records = staged.filter("status = 'success'").select(F.inline("records"))
         contract_gaps = BRONZE[source].missing_required(answers.normalized(records, source))
         if contract_gaps:
@@ -237,13 +250,17 @@ def ingest_table(
 ) -> str:
     """Land a whole extracted table as one snapshot; returns the outcome.
 
-    The content hash is a sum over row hashes, so an unchanged table is
+    The rows are read once, into a staged copy; what is hashed is what is
+    landed. The content hash is a sum over row hashes, so an unchanged table is
     recognised however it was partitioned when it was read.
     """
     run = run_id or str(uuid.uuid4())
     pipeline = f"db_{table}"
     record_run(spark, lake, run, pipeline, "running", run_type="db", source_system=source_system)
     try:
+        stage = f"{lake.meta}/staging/table_{run}"
+        rows.write.mode("overwrite").parquet(stage)
+        rows = spark.read.schema(rows.schema).parquet(stage)
         mark = books.row_fingerprint(rows).first()
         missing = contract.missing_required(rows)
         if mark.rows == 0 or missing:
@@ -267,12 +284,22 @@ def ingest_table(
         raise
 
 
-def ingest_databases(spark: SparkSession, url: str, lake: Lake, connection: dict[str, str] | None = None) -> dict[str, str]:
-    """Extract and land every registered database table; tables fail independently."""
+def ingest_databases(
+    spark: SparkSession,
+    url: str,
+    lake: Lake,
+    connection: dict[str, str] | None = None,
+    splits: Mapping[str, Mapping[str, object]] | None = None,
+) -> dict[str, str]:
+    """Extract and land every registered database table; tables fail independently.
+
+    ``splits`` holds per dataset the ``split_column``, ``bounds`` and number of
+    ``partitions`` of a parallel extract; a table without an entry is read by one task.
+    """
     outcomes = {}
     for name, source in DB_SOURCES.items():
         try:
-            rows = extract_table(spark, url, source["table_name"], connection)
+            rows = extract_table(spark, url, source["table_name"], connection, **(splits or {}).get(name, {}))
             outcomes[name] = ingest_table(
                 spark, rows, lake, source["table_name"], source_system=source["source_system"]
             )

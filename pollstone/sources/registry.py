@@ -43,7 +43,7 @@ def bronze_datasets(lake: Lake) -> dict[str, Dataset]:
             "survey_responses",
             f"{lake.bronze}/country=*/{day}/source_system=csv",
             f"{lake.silver}/survey_responses",
-            "csv",
+            "parquet",
             "csv",
         ),
         "world_bank_population": Dataset(

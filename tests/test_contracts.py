@@ -4,7 +4,7 @@ import pytest
 from conftest import rows
 
 from pollstone.contracts import catalog
-from pollstone.contracts.model import Contract
+from pollstone.contracts.model import ERRORS, Contract
 
 
 def contract():
@@ -51,3 +51,21 @@ def test_files(tmp_path):
     assert Contract.load(str(tmp_path / "t.yaml")) == c
     with pytest.raises(FileNotFoundError):
         Contract.load(str(tmp_path / "none.yaml"))
+
+
+def test_key_check_counts_null_and_repeated_keys(spark):
+    contract = Contract.of("t", {"a": "string", "b": "integer"}, primary_key=["a", "b"])
+    df = spark.createDataFrame([("x", 1), ("x", 1), ("x", 2), (None, 1), (None, 1)], "a string, b int")
+    assert contract.key_check(df).first()[:] == ("t", "a,b", 5, 2, 2)
+    assert contract.key_check(df.limit(0)).first()[:] == ("t", "a,b", 0, 0, 0)
+    for bad in (Contract.of("t", {"a": "string"}), contract):
+        with pytest.raises(ValueError):
+            bad.key_check(df.drop("b"))
+
+
+def test_errors_keep_extra_columns(spark):
+    contract = Contract.of("t", {"a": "string!"})
+    df = spark.createDataFrame([(None, 1), ("x", 2)], "a string, more int")
+    found = contract.with_errors(df, keep_extra=True)
+    assert found.columns == ["a", "more", ERRORS]
+    assert sorted((r.more, r[ERRORS]) for r in found.collect()) == [(1, ["a: required"]), (2, [])]

@@ -2,7 +2,7 @@ import random
 from itertools import groupby
 
 import pytest
-from conftest import rows
+from conftest import plan, rows
 from hypothesis import given
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -141,5 +141,16 @@ def test_running_total_spreads_a_hot_group(spark, monkeypatch):
     assert len(sizes) == 8 and max(sizes) < 2 * 20000 / 8
 
 
+def test_running_total_shuffles_the_wide_side_once(spark):
+    df = spark.range(5000).selectExpr("if(id % 3 = 0, NULL, 'g') AS g", "id AS o", "1L AS n")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(running_total(df, ["g"], ["o"], "n", "total"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # One for the window over the rows; three small ones for the offsets of the slices.
+    assert text.count("Exchange hashpartitioning") == 4 and "rangepartitioning" not in text
+
+
 def test_checkpoint_folder_comes_from_the_session(spark):
     assert shared_folder(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir")

@@ -153,7 +153,17 @@ def test_end_to_end(spark, folder, tmp_path):
     assert spark.table("survey_responses").count() == views["survey_responses"].count()
 
     metrics = bookkeeping.data_quality_metrics(spark, lake)
-    assert metrics.count() == 25 and {r.duplicate_rate for r in metrics.collect()} == {0.0}
+    rates = [r.duplicate_rate for r in metrics.collect()]
+    assert len(rates) == 25 and min(rates) >= 0 and max(rates) > 0
+    clean = readers.read_silver(spark, lake.silver)["survey_responses"]
+    assert clean.filter("duplicate_flag").count() == 50 and "copies" not in clean.columns
+    assert {"country_code", "age_group", "submission_date", "validation_status"} <= set(clean.columns)
+    # The files were written without surrounding blanks, so a blank gender arrives as none.
+    broken = raw_rows.union(raw_rows.limit(50)).filter("nullif(trim(gender), '') IS NULL OR completion_status IS NULL").count()
+    assert bookkeeping.rejected_rows(spark, lake, "survey_responses").count() == broken > 0
+    assert {(r.null_keys, r.repeated_keys) for r in bookkeeping.key_checks(spark, lake).collect()} == {(0, 0)}
+    kept = [json.loads(r.value) for r in spark.read.text(f"{lake.meta}/answers/world_bank/*").collect()]
+    assert [r["value"] for r in kept] == [(tmp_path / "api" / "world_bank" / "wb.json").read_text()]
     state = {r.source_key: r.rows_processed_total for r in bookkeeping.incremental_state(spark, lake).collect()}
     assert state["csv"] == raw_rows.count() + 50 and state["restcountries"] == 24
     runs = {r.pipeline_name: r for r in bookkeeping.pipeline_runs(spark, lake).collect()}
@@ -164,13 +174,39 @@ def test_end_to_end(spark, folder, tmp_path):
     assert again == written["gold"]
 
 
+def test_choices_for_clean_responses(spark, tmp_path):
+    """Aliases, true copies and held-back rows; a text with a line end survives landing."""
+    lake = Lake.under(str(tmp_path / "lake"))
+    (tmp_path / "raw" / "mali").mkdir(parents=True)
+    odd = line(4).replace(",Good,", ',"so, ""so""\nGood",')
+    kept = [HEADER, line(1, "Mahli"), line(1, "Mahli"), line(2, age="old"), line(3, status=""), odd, line(5), line(6)]
+    (tmp_path / "raw" / "mali" / "a.csv").write_text("\n".join(kept) + "\n")
+    ingest.ingest_files(spark, str(tmp_path / "raw"), lake)
+
+    choices = silver_plan.SurveyChoices(aliases={"mahli": "Mali"}, publish_copies=True, hold_back=True)
+    assert silver_plan.build_survey(spark, lake, choices=choices, run_id="r1") == 4
+    table = spark.read.parquet(f"{lake.silver}/survey_responses")
+    assert rows(table.select("response_id", "country", "copies", "duplicate_flag", "q2_economy", "country_code")) == [
+        ("1", "Mali", 2, True, "Good", None),
+        ("4", "Mali", 1, False, 'so, "so"\nGood', None),
+        ("5", "Mali", 1, False, "Good", None),
+        ("6", "Mali", 1, False, "Good", None),
+    ]
+    rejects = bookkeeping.rejected_rows(spark, lake, "survey_responses")
+    assert rows(rejects.select("response_id", F.concat_ws(";", "contract_errors"), "run_id")) == [
+        ("2", "age: not a integer", "r1"),
+        ("3", "completion_status: required", "r1"),
+    ]
+    assert [r.duplicate_rate for r in bookkeeping.data_quality_metrics(spark, lake).collect()] == [20.0]
+
+
 def test_nothing_is_published_when_rules_fail(spark, tmp_path):
     lake = Lake.under(str(tmp_path / "lake"))
     (tmp_path / "raw" / "mali").mkdir(parents=True)
     (tmp_path / "raw" / "mali" / "a.csv").write_text("\n".join([HEADER, line(1, age=""), line(2)]) + "\n")
     ingest.ingest_files(spark, str(tmp_path / "raw"), lake)
     with pytest.raises(ValidationError, match="null_share age"):
-        silver_plan.build_dataset(spark, lake, silver_plan.bronze_datasets(lake)["survey_responses"])
+        silver_plan.build_survey(spark, lake)
     assert not (tmp_path / "lake" / "silver" / "survey_responses").exists()
     with pytest.raises(ValidationError, match="survey_responses.*world_bank_population"):
         silver_plan.run_bronze_to_silver(spark, lake)
@@ -231,6 +267,12 @@ def test_command_line(spark, raw, tmp_path):
     assert outcome(files)["a.csv"][0] == "success"
     with pytest.raises(SystemExit):
         parse(["answers", "--lake", root, "--raw", "x", "--source", "other"])
+    assert __main__.split("id:1:900:8") == {"split_column": "id", "bounds": (1, 900), "partitions": 8}
+    assert __main__.split(None) == {}
+    names = tmp_path / "names.csv"
+    names.write_text("alias,country_name\nmahli,Mali\n")
+    made = __main__.choices(spark, parse(["silver", "--lake", root, "--aliases", str(names), "--copies"]))
+    assert rows(made.aliases) == [("mahli", "Mali")] and made.publish_copies and not made.hold_back
 
 
 def test_clean_table_scan_is_pruned(spark, folder, tmp_path):

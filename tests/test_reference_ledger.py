@@ -1,6 +1,6 @@
 from datetime import datetime
 
-from conftest import rows
+from conftest import plan, rows
 from pyspark.sql import functions as F
 
 from pollstone.contracts.catalog import SILVER_SURVEY
@@ -111,3 +111,18 @@ def test_declared_survey_matches_its_contract(spark, folder):
     assert out.filter("country_code IS NOT NULL AND age_group IS NOT NULL").count() > 0
     row = out.first()
     assert row.ingestion_timestamp == row.submission_timestamp and row.duplicate_flag is False
+
+
+def test_names_found_in_texts(spark):
+    names = spark.createDataFrame(
+        [("niger", "Niger", 2), ("NIGERIA", "Nigeria", 1), ("mali", "Mali", 3), (" ", "Blank", 0), ("mali", "Also", 3), (None, "None", 0)],
+        "pattern string, name string, rank int",
+    )
+    texts = ["raw/nigeria/x.csv", "raw/Niger_1/mali.csv", "a/mali.csv", "a/b", "", None, "a/b"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, path string")
+    found = reference.with_names_found(df, "path", names, "country")
+    assert found.columns == ["i", "path", "country"]
+    assert [r.country for r in found.orderBy("i").collect()] == ["Nigeria", "Niger", "Also", None, None, None, None]
+    assert [r.country for r in reference.with_names_found(df, "path", names.limit(0), "country").collect()] == [None] * 7
+    text = plan(found)
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
