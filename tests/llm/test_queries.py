@@ -1,5 +1,8 @@
 """Registered corpus queries against their SQL, and the pipeline's stages on a small table."""
 
+import itertools
+import re
+
 import pytest
 from acceptance import compare as comparing
 
@@ -24,3 +27,30 @@ def test_pipeline(spark, folder):
     assert 0.6 * total < kept < total
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, folder)
     assert packed.select("doc_id").distinct().count() == kept
+
+
+def test_near_copies_against_brute_force(spark, folder):
+    """The stage keeps one row of each group that five-word Jaccard of 0.8 links, whatever SimHash says."""
+    words = [f"w{k}" for k in range(300)]
+    rows = [(1, " ".join(words))]
+    for doc, changed in ((2, [40, 150]), (3, [40, 150, 260, 290]), (4, [0, 60, 120, 180, 240, 299]), (5, range(0, 300, 20))):
+        rows.append((doc, " ".join("new%d" % (doc * 1000 + k) if k in changed else w for k, w in enumerate(words))))
+    rows += [(6, "short one of five"), (7, "short one of five"), (8, " "), (9, None), (None, " ".join(words))]
+    rows += [(20 + k, " ".join(words[:8] + [f"end{k // 2}"])) for k in range(4)]
+    rows += [(r.doc_id + 100, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
+
+    def grams(text):
+        some = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate({k: k + 32 for k in range(65, 91)}))
+        return frozenset(tuple(some[k : k + 5]) for k in range(max(1, len(some) - 4))) if some else frozenset()
+
+    sets = [(doc, grams(text)) for doc, text in rows if doc is not None]
+    group = {doc: doc for doc, _ in sets}
+    linked = [(a, b) for (a, x), (b, y) in itertools.combinations(sets, 2) if x == y or 5 * len(x & y) >= 4 * len(x | y)]
+    assert (1, 3) in linked and (1, 5) not in linked
+    while any(group[a] != group[b] for a, b in linked):
+        for a, b in linked:
+            group[a] = group[b] = min(group[a], group[b])
+    kept = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), folder)
+    found = [r.doc_id for r in kept.collect()]
+    assert found.count(None) == 1
+    assert sorted(d for d in found if d is not None) == sorted(set(group.values()))
