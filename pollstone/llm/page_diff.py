@@ -5,7 +5,8 @@ page's text lines are aligned with its nearest neighbour's by a longest common
 subsequence, and the shared lines go: they are the template's. What the markup
 itself declares is respected: menus, forms and the like never count as text,
 and lines inside a declared article are the page's own even if a neighbour
-quotes the same passage.
+quotes the same passage. Lines outside of it stay if the neighbour lacks them;
+without a neighbour to ask, they go where an article is declared.
 """
 
 from __future__ import annotations
@@ -162,14 +163,15 @@ def digests(texts: list[str]) -> list[int]:
 
 def main_text(kinds: list[int], texts: list[str], neighbours: list[list[int]]) -> str:
     """Blocks that aren't the template's, joined by blank lines; the nearest neighbour that isn't a copy decides."""
-    own, shared = digests(texts), set()
+    own, shared = digests(texts), None
     for other in neighbours:
         found = common(own, other)
         if len(found) < COPY * len(own):
             shared = set(found)
             break
-    declared = ARTICLE in kinds
-    kept = [t for k, (kind, t) in enumerate(zip(kinds, texts, strict=True)) if kind == ARTICLE or kind == PLAIN and not declared and k not in shared]
+    if shared is None:  # no page to differ from: only the markup decides
+        shared = set(range(len(own))) if ARTICLE in kinds else set()
+    kept = [t for k, (kind, t) in enumerate(zip(kinds, texts, strict=True)) if kind == ARTICLE or kind == PLAIN and k not in shared]
     return "\n\n".join(kept)
 
 

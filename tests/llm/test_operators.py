@@ -162,6 +162,15 @@ def test_page_text(spark):
     assert html.unescape("&lt;") == "<"
 
 
+def test_neighbours_decide_lines_outside_articles(spark):
+    def page(k):
+        return f"<div>Top of site</div><div>Text {k}</div><div>More {k}</div><article>Teaser</article><div>Foot</div>"
+
+    rows = [(k, f"http://a.b/x/{k}", page(k)) for k in range(3)] + [(9, "http://alone.b/", page(9))]
+    found = {r.page_id: r.text for r in page_diff.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert found == {k: f"Text {k}\n\nMore {k}\n\nTeaser" for k in range(3)} | {9: "Teaser"}
+
+
 @pytest.mark.parametrize("which", ["odd", "docs"])
 def test_packing(request, which):
     frame = request.getfixturevalue(which)
