@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pollstone.llm import (
     bpe,
     brown_lm,
+    chat_format,
     decision_list,
     list_join,
     maxscore,
@@ -69,6 +70,10 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode_documents(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    return chat_format.formatted_digests(table(spark, folder, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -82,6 +87,7 @@ QUERIES: dict[str, Query] = {
         op8_quality_rules,
         op9_url_lists,
         op10_bpe,
+        op11_chat_format,
     )
 }
 
@@ -89,4 +95,5 @@ ORACLES: dict[str, str] = {
     "op2_sharding": sharding.ORACLE,
     "op4_maxscore": maxscore.ORACLE,
     "op9_url_lists": list_join.ORACLE,
+    "op11_chat_format": chat_format.ORACLE,
 }
