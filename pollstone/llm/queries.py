@@ -15,6 +15,7 @@ from pollstone.llm import (
     decision_list,
     list_join,
     maxscore,
+    merkle,
     packing,
     page_diff,
     pivot_neardup,
@@ -74,6 +75,10 @@ def op11_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat_format.formatted_digests(table(spark, folder, "conversations"))
 
 
+def op12_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.audit(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -88,6 +93,7 @@ QUERIES: dict[str, Query] = {
         op9_url_lists,
         op10_bpe,
         op11_chat_format,
+        op12_merkle,
     )
 }
 
@@ -96,4 +102,5 @@ ORACLES: dict[str, str] = {
     "op4_maxscore": maxscore.ORACLE,
     "op9_url_lists": list_join.ORACLE,
     "op11_chat_format": chat_format.ORACLE,
+    "op12_merkle": merkle.ORACLE,
 }
