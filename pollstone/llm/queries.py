@@ -13,6 +13,7 @@ from pollstone.llm import (
     brown_lm,
     chat_format,
     decision_list,
+    hard_negatives,
     list_join,
     maxscore,
     merkle,
@@ -79,6 +80,10 @@ def op12_merkle(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.audit(table(spark, folder, "documents"))
 
 
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return hard_negatives.mine_every(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -94,6 +99,7 @@ QUERIES: dict[str, Query] = {
         op10_bpe,
         op11_chat_format,
         op12_merkle,
+        op13_hard_negatives,
     )
 }
 
@@ -103,4 +109,5 @@ ORACLES: dict[str, str] = {
     "op9_url_lists": list_join.ORACLE,
     "op11_chat_format": chat_format.ORACLE,
     "op12_merkle": merkle.ORACLE,
+    "op13_hard_negatives": hard_negatives.ORACLE,
 }
