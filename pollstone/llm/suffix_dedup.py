@@ -192,7 +192,7 @@ _RUN = ("<i8", "<i4", "<u1")  # document key, first start, count of starts
 
 def _runs(key: np.ndarray, start: np.ndarray, count: np.ndarray, buckets: int, kind: int) -> Iterator[tuple[int, int, int, bytes]]:
     """Rows of runs, dealt to the buckets of their documents."""
-    for bucket, rows in dealt(key.view(np.uint64) % np.uint64(buckets)):
+    for bucket, rows in dealt(np.mod(key.astype(np.int64), np.int64(buckets))):  # signed, as pmod deals the documents
         rows = rows[np.lexsort((start[rows], key[rows]))]
         yield kind, bucket, len(rows), _planes(key[rows].astype("<i8"), start[rows].astype("<i4"), count[rows].astype("<u1"))
 

@@ -8,6 +8,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from pollstone.llm import (
@@ -82,6 +83,21 @@ def test_suffix_dedup(request, which):
     assert sorted(map(tuple, found), key=str) == removed_by_hand([(r.doc_id, r.text) for r in frame.collect()])
 
 
+@pytest.mark.parametrize("partitions", [7, 51, 200])
+def test_suffix_dedup_at_any_number_of_partitions(spark, docs, partitions):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        found = suffix_dedup.dedup_substrings(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
+        assert sorted(map(tuple, found), key=str) == removed_by_hand([(r.doc_id, r.text) for r in docs.collect()])
+        cut = suffix_dedup.without_repeats(docs)
+        assert sum(r.n for r in cut.select(F.octet_length(F.coalesce("text", F.lit(""))).alias("n")).collect()) <= sum(
+            r.n_bytes - r.n_removed for r in found
+        )
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_suffix_dedup_hands_columns_on(odd, none):
     found = suffix_dedup.without_repeats(odd)
     assert found.columns == odd.columns and found.count() == odd.count()
