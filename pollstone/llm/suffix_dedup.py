@@ -10,7 +10,10 @@ suffixes are dealt out first. Each string of 50 bytes is filed under its
 smallest 26-byte gram, hence equal strings are filed alike, and the strings of
 one gram occurrence form a segment of at most 74 bytes. Segments are compared
 by digest; only where a gram has different segments in different documents are
-their bytes fetched, suffix-sorted, and their LPF values computed.
+their bytes fetched, suffix-sorted, and their LPF values computed. What is
+fetched is the segment, once for all strings in it, and it goes to its gram's
+bucket; only strings of a gram with very many segments go one by one, each to
+the bucket of its own hash.
 """
 
 from __future__ import annotations
@@ -32,6 +35,8 @@ GRAM = 26
 PIECE = 1 << 20
 #: Characters of text whose segments are gathered and compared before they are sent.
 FILED_AT_ONCE = 6 << 20
+#: A gram with more segments than this has its strings dealt one by one, so that no bucket gets them all.
+SHARED = 4096
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _M64 = (1 << 64) - 1
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -188,13 +193,17 @@ def _unplaned(data: bytes, count: int, kinds: tuple[str, ...]) -> list[np.ndarra
 
 
 _RUN = ("<i8", "<i4", "<u1")  # document key, first start, count of starts
+_WANTED = (*_RUN, "<u8")  # and the gram that all strings of the run are dealt by, 0 if each has a bucket of its own
 
 
-def _runs(key: np.ndarray, start: np.ndarray, count: np.ndarray, buckets: int, kind: int) -> Iterator[tuple[int, int, int, bytes]]:
-    """Rows of runs, dealt to the buckets of their documents."""
+def _runs(
+    key: np.ndarray, start: np.ndarray, count: np.ndarray, buckets: int, kind: int, gram: np.ndarray | None = None
+) -> Iterator[tuple[int, int, int, bytes]]:
+    """Rows of runs, with their grams if given, dealt to the buckets of their documents."""
     for bucket, rows in dealt(np.mod(key.astype(np.int64), np.int64(buckets))):  # signed, as pmod deals the documents
         rows = rows[np.lexsort((start[rows], key[rows]))]
-        yield kind, bucket, len(rows), _planes(key[rows].astype("<i8"), start[rows].astype("<i4"), count[rows].astype("<u1"))
+        more = () if gram is None else (gram[rows].astype("<u8"),)
+        yield kind, bucket, len(rows), _planes(key[rows].astype("<i8"), start[rows].astype("<i4"), count[rows].astype("<u1"), *more)
 
 
 _FILED = "kind int, bucket int, n int, body binary"
@@ -262,7 +271,7 @@ def _read_filed(n: int, body: bytes) -> tuple[np.ndarray, ...]:
     return gram.view("<u8").ravel(), digest.view("<u8").ravel(), ids[local], keys[local], place, count
 
 
-def _meet(bucket: list[tuple[int, bytes]], buckets: int) -> Iterator[tuple[int, int, int, bytes]]:
+def _meet(bucket: list[tuple[int, bytes]], buckets: int, shared: int) -> Iterator[tuple[int, int, int, bytes]]:
     """Segments of some grams: those that came earlier (kind 1), and those whose bytes are wanted (kind 2)."""
     gram, digest, ids, keys, place, count = map(np.concatenate, zip(*[_read_filed(n, body) for n, body in bucket], strict=True))
     order = np.lexsort((ids, digest, gram))
@@ -277,25 +286,73 @@ def _meet(bucket: list[tuple[int, bytes]], buckets: int) -> Iterator[tuple[int,
     begin = np.flatnonzero(new_gram[new])
     differ = np.minimum.reduceat(least, begin) != np.maximum.reduceat(least, begin)
     wanted = first & differ[group][segment]
-    yield from _runs(keys[wanted], place[wanted], count[wanted], buckets, 2)
+    common = np.bincount(group[segment[wanted]], minlength=len(begin)) > shared
+    dealt_by = np.where(common[group[segment[wanted]]], np.uint64(0), gram[wanted])
+    yield from _runs(keys[wanted], place[wanted], count[wanted], buckets, 2, dealt_by)
 
 
-def _read_runs(rows: pd.DataFrame) -> list[np.ndarray]:
+def _read_runs(rows: pd.DataFrame, kinds: tuple[str, ...]) -> list[np.ndarray]:
     if not len(rows):
-        return [np.zeros(0, kind) for kind in _RUN]
-    found = [_unplaned(body, n, _RUN) for n, body in zip(rows["n"], rows["body"], strict=True)]
+        return [np.zeros(0, kind) for kind in kinds]
+    found = [_unplaned(body, n, kinds) for n, body in zip(rows["n"], rows["body"], strict=True)]
     return [np.concatenate(x) for x in zip(*found, strict=True)]
 
 
-def _of_documents(docs: pa.Table, runs: pa.Table) -> Iterator[tuple[int, bytes, np.ndarray, np.ndarray]]:
-    """Each row's position and bytes, with the starts and counts that lie in it."""
-    key, start, count = _read_runs(runs.to_pandas())
+def _of_documents(docs: pa.Table, runs: pa.Table, kinds: tuple[str, ...] = _RUN) -> Iterator[tuple]:
+    """Each row's position and bytes, with the starts and counts (and what follows them in ``kinds``) that lie in it."""
+    key, start, count, *more = _read_runs(runs.to_pandas(), kinds)
     order = np.argsort(key, kind="stable")
-    key, start, count = key[order], start[order].astype(np.int64), count[order].astype(np.int64)
+    key, columns = key[order], [start[order].astype(np.int64), count[order].astype(np.int64), *[c[order] for c in more]]
     wanted = docs["key"].to_numpy()
     low, high = np.searchsorted(key, wanted, "left"), np.searchsorted(key, wanted, "right")
     for k, text in enumerate(docs["text"]):
-        yield k, text.as_py().encode("utf-8", "surrogatepass"), start[low[k] : high[k]], count[low[k] : high[k]]
+        yield k, text.as_py().encode("utf-8", "surrogatepass"), *[c[low[k] : high[k]] for c in columns]
+
+
+def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The positions of ranges, one range after the other."""
+    return np.repeat(start - np.cumsum(size) + size, size) + np.arange(size.sum())
+
+
+_STRETCH = ("<i8", "<i8", "<i4", "<u1")  # document id and key, first start, count of starts
+_STRING = ("<i8", "<i8", "<i4", "<u8")  # document id and key, start, hash
+
+
+def _stretches(rows: list[tuple[int, int, bytes, np.ndarray, np.ndarray, np.ndarray]], buckets: int) -> Iterator[tuple[int, int, int, bytes]]:
+    """Wanted segments (kind 0) by gram, and single strings (kind 1) by hash: (document id, key, bytes, starts, counts, grams)."""
+    if not rows:
+        return
+    sizes = [len(r[3]) for r in rows]
+    ids, keys = (np.repeat(np.array([r[k] for r in rows], np.int64), sizes) for k in (0, 1))
+    start, count, gram = (np.concatenate([r[k] for r in rows]) for k in (3, 4, 5))
+    data = np.frombuffer(b"".join(r[2] for r in rows), np.uint8)
+    begin = np.repeat(np.cumsum([0, *[len(r[2]) for r in rows[:-1]]]), sizes) + start
+    whole, single = np.flatnonzero(gram != 0), np.flatnonzero(gram == 0)
+    for bucket, at in dealt(gram[whole] % np.uint64(buckets)):
+        at = whole[at]
+        body = _planes(ids[at].astype("<i8"), keys[at].astype("<i8"), start[at].astype("<i4"), count[at].astype("<u1"))
+        yield 0, bucket, len(at), body + data[_ranges(begin[at], count[at] + LENGTH - 1)].tobytes()
+    if len(single):
+        many = count[single]
+        each = np.lib.stride_tricks.sliding_window_view(data, LENGTH)[_ranges(begin[single], many)]
+        ids, keys, start = np.repeat(ids[single], many), np.repeat(keys[single], many), _ranges(start[single], many)
+        hashes = _string_hashes(each)
+        for bucket, at in dealt(hashes % np.uint64(buckets)):
+            body = _planes(ids[at].astype("<i8"), keys[at].astype("<i8"), start[at].astype("<i4"), hashes[at].astype("<u8"))
+            yield 1, bucket, len(at), body + each[at].tobytes()
+
+
+def _read_strings(kind: int, n: int, body: bytes) -> tuple[np.ndarray, ...]:
+    """Document ids, keys, starts and hashes of the strings of a row, and the strings."""
+    if kind:
+        ids, keys, start, hashes = _unplaned(body, n, _STRING)
+        return ids, keys, start.astype(np.int64), hashes, np.frombuffer(body, np.uint8, LENGTH * n, 28 * n).reshape(n, LENGTH)
+    ids, keys, start, count = _unplaned(body, n, _STRETCH)
+    count = count.astype(np.int64)
+    size = count + LENGTH - 1
+    data = np.frombuffer(body, np.uint8, int(size.sum()), 21 * n)
+    strings = np.lib.stride_tricks.sliding_window_view(data, LENGTH)[_ranges(np.cumsum(size) - size, count)]
+    return np.repeat(ids, count), np.repeat(keys, count), _ranges(start.astype(np.int64), count), _string_hashes(strings), strings
 
 
 # The operator
@@ -342,62 +399,47 @@ def earlier_runs(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
                 else:
                     held.setdefault(row["bucket"], []).append((row["n"], row["body"]))
         for bucket in list(held):
-            yield _filed(list(_meet(held.pop(bucket), buckets)))
+            yield _filed(list(_meet(held.pop(bucket), buckets, SHARED)))
 
     filed = keyed.where("id IS NOT NULL AND length(text) > 0").select("id", "key", "text").mapInArrow(file, _FILED)
     met = stored(filed.repartition(parts(docs.sparkSession), "kind", "bucket").mapInArrow(meet, _FILED), "segments")
 
     def fetch(texts: pa.Table, runs: pa.Table) -> pa.Table:
-        ids, keys, starts, wanted, seen = [], [], [], [], set()
+        found, seen = [], set()
         doc_ids, doc_keys = texts["id"].to_pylist(), texts["key"].to_numpy()
-        for k, data, start, count in _of_documents(texts, runs):
+        for k, data, start, count, gram in _of_documents(texts, runs, _WANTED):
             if not len(start) or int(doc_keys[k]) in seen:
                 continue
             seen.add(int(doc_keys[k]))
-            at = np.unique(np.repeat(start, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count))
-            wanted.append(np.lib.stride_tricks.sliding_window_view(np.frombuffer(data, np.uint8), LENGTH)[at])
-            ids.append(np.full(len(at), int(doc_ids[k])))
-            keys.append(np.full(len(at), doc_keys[k]))
-            starts.append(at)
-        if not ids:
-            return _strings([])
-        strings, ids, keys, starts = map(np.concatenate, (wanted, ids, keys, starts))
-        hashes = _string_hashes(strings)
-        # Of equal strings met here the smallest document's come first; it stands for the rest.
-        out = []
-        for bucket, rows in dealt(hashes % np.uint64(grams_to)):
-            order = rows[np.lexsort((starts[rows], keys[rows]))]
-            body = _planes(ids[order].astype("<i8"), keys[order].astype("<i8"), starts[order].astype("<i4"), hashes[order].astype("<u8"))
-            out.append((bucket, len(order), body + strings[order].tobytes()))
-        return _strings(out)
+            _, once = np.unique(start, return_index=True)  # a row that is repeated wants its strings but once
+            found.append((int(doc_ids[k]), int(doc_keys[k]), data, start[once], count[once], gram[once]))
+        return _strings(list(_stretches(found, grams_to)))
 
     def factor(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[tuple[int, bytes]]] = {}
+        held: dict[tuple[int, int], list[tuple[int, bytes]]] = {}
         for batch in stream:
             for row in batch.to_pylist():
-                held.setdefault(row["bucket"], []).append((row["n"], row["body"]))
-        for bucket in list(held):
-            read, strings = [], []
-            for n, body in held.pop(bucket):
-                read.append(_unplaned(body, n, ("<i8", "<i8", "<i4", "<u8")))
-                strings.append(np.frombuffer(body, np.uint8, LENGTH * n, 28 * n).reshape(n, LENGTH))
-            ids, keys, starts, hashes = map(np.concatenate, zip(*read, strict=True))
+                held.setdefault((row["kind"], row["bucket"]), []).append((row["n"], row["body"]))
+        for kind, bucket in list(held):
+            read = [_read_strings(kind, n, body) for n, body in held.pop((kind, bucket))]
+            hashes = np.concatenate([r[3] for r in read])
             _, back, times = np.unique(hashes, return_inverse=True, return_counts=True)
-            again = np.flatnonzero(times[back] > 1)  # a string whose hash is alone has no match
-            match = previous_matches(np.concatenate(strings)[again], ids[again])
-            hit = again[match >= LENGTH]
-            yield _filed(list(_runs(keys[hit], starts[hit].astype(np.int64), np.ones(len(hit), np.int64), buckets, 1)))
+            again = times[back] > 1  # a string whose hash is alone has no match
+            cuts = np.cumsum([len(r[3]) for r in read])[:-1]
+            some = [[column[mask] for column in r] for r, mask in zip(read, np.split(again, cuts), strict=True)]
+            ids, keys, starts, _, strings = map(np.concatenate, zip(*some, strict=True))
+            hit = previous_matches(strings, ids) >= LENGTH
+            yield _filed(list(_runs(keys[hit], starts[hit], np.ones(int(hit.sum()), np.int64), buckets, 1)))
 
     wanted = met.where("kind = 2").select("bucket", "n", "body")
-    strings = keyed.groupBy("bucket").cogroup(wanted.groupBy("bucket")).applyInArrow(fetch, "bucket int, n int, body binary")
-    matched = strings.repartition(parts(docs.sparkSession), "bucket").mapInArrow(factor, _FILED)
+    strings = keyed.groupBy("bucket").cogroup(wanted.groupBy("bucket")).applyInArrow(fetch, _FILED)
+    matched = strings.repartition(parts(docs.sparkSession), "kind", "bucket").mapInArrow(factor, _FILED)
     covered = met.where("kind = 1").unionByName(matched).select("bucket", "n", "body")
     return keyed, covered
 
 
-def _strings(rows: list[tuple[int, int, bytes]]) -> pa.Table:
-    bucket, n, body = zip(*rows, strict=True) if rows else ((), (), ())
-    return pa.table({"bucket": pa.array(bucket, pa.int32()), "n": pa.array(n, pa.int32()), "body": pa.array(body, pa.binary())})
+def _strings(rows: list[tuple[int, int, int, bytes]]) -> pa.Table:
+    return pa.Table.from_batches([_filed(rows)])
 
 
 def _string_hashes(strings: np.ndarray) -> np.ndarray:

@@ -83,6 +83,12 @@ def test_suffix_dedup(request, which):
     assert sorted(map(tuple, found), key=str) == removed_by_hand([(r.doc_id, r.text) for r in frame.collect()])
 
 
+def test_suffix_dedup_deals_common_grams_by_string(docs, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "SHARED", 1)
+    found = suffix_dedup.dedup_substrings(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
+    assert sorted(map(tuple, found), key=str) == removed_by_hand([(r.doc_id, r.text) for r in docs.collect()])
+
+
 @pytest.mark.parametrize("partitions", [7, 51, 200])
 def test_suffix_dedup_at_any_number_of_partitions(spark, docs, partitions):
     before = spark.conf.get("spark.sql.shuffle.partitions")
