@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from pollstone.llm.common import WORD, frames, stored
 from pollstone.llm.components import components
+from pollstone.llm.decision_list import fresh_name
 
 _WORD = re.compile(WORD.encode())
 _BITS = np.uint64(1) << np.arange(64, dtype=np.uint64)
@@ -191,15 +192,15 @@ def first_of_groups(docs: DataFrame, width: int = 3, most: int = 2) -> DataFrame
     Between rows of one doc_id the smaller text digest decides, and a row that
     is repeated whole is kept once. Rows without a doc_id are kept.
     """
-    body = F.xxhash64(F.col("text").cast("string"))
-    known = docs.where("doc_id IS NOT NULL").withColumn("_body", body)
+    body = fresh_name(docs, "body")
+    known = docs.where("doc_id IS NOT NULL").withColumn(body, F.xxhash64(F.col("text").cast("string")))
     found = near_duplicates(docs.select("doc_id", "text"), width, most, keep_body=True)
     kept = (
         found.where("doc_id IS NOT NULL")
         .groupBy("component_id")
         .agg(F.min(F.struct("doc_id", "body")).alias("first"))
-        .select(F.col("first.doc_id").alias("doc_id"), F.col("first.body").alias("_body"))
+        .select(F.col("first.doc_id").alias("doc_id"), F.col("first.body").alias(body))
         .distinct()
     )
-    once = known.join(kept, ["doc_id", "_body"], "left_semi").dropDuplicates(["doc_id", "_body"])
+    once = known.join(kept, ["doc_id", body], "left_semi").dropDuplicates(["doc_id", body])
     return once.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))

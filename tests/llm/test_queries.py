@@ -29,6 +29,18 @@ def test_pipeline(spark, folder):
     assert packed.select("doc_id").distinct().count() == kept
 
 
+def test_near_copies_keep_columns_and_hot_bands(spark):
+    """A group of a third of all rows, columns named as the operator's own, and no rows at all."""
+    words = [f"w{k}" for k in range(200)]
+    rows = [(k, " ".join([*words, f"tail{k}"]), 7, "d") for k in range(300)]
+    rows += [(k, " ".join(f"{k}x{j}" for j in range(50)), 8, "b") for k in range(300, 900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, body int, d string")
+    kept = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert sorted(map(tuple, kept.collect())) == [rows[0], *rows[300:]]
+    assert corpus_pipeline.near_duplicates(spark, docs.limit(0), "").count() == 0
+
+
 def test_near_copies_against_brute_force(spark, folder):
     """The stage keeps one row of each group that five-word Jaccard of 0.8 links, whatever SimHash says."""
     words = [f"w{k}" for k in range(300)]
