@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pollstone.operators.dedup import drop_key_copies
 
@@ -168,17 +169,20 @@ def row_fingerprint(df: DataFrame) -> DataFrame:
     """One row: row count and an order-independent hash of the content.
 
     Rows are hashed where they are and only the sums meet, so a table of any
-    size and layout gives the same value again.
+    size and layout gives the same value again. Every value is hashed with the
+    place of its column and a flag for NULL, as the hash itself skips NULLs: a
+    value that moves to the next column changes the row. Two independent
+    hashes are added up, so equal rows in any number count. Nested values,
+    which can hold NULLs of their own, count as JSON.
     """
-    hashed = F.xxhash64(*[F.col(name) for name in df.columns]).cast("decimal(20,0)")
-    return df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.concat_ws(
-            ":",
-            F.count(F.lit(1)).cast("string"),
-            F.coalesce(F.sum(hashed), F.lit(0)).cast("string"),
-            F.coalesce(F.bit_xor(F.xxhash64(F.lit(1), *[F.col(name) for name in df.columns])), F.lit(0)).cast(
-                "string"
-            ),
-        ).alias("file_hash"),
-    )
+    nested = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
+
+    def value(field: T.StructField) -> Column:
+        column = F.col(f"`{field.name}`")
+        return F.to_json(F.struct(column), {"ignoreNullFields": "false"}) if isinstance(field.dataType, nested) else column
+
+    cells = [cell for field in df.schema.fields for cell in (F.col(f"`{field.name}`").isNull(), value(field))]
+    hashes = [F.xxhash64(F.lit(salt), *cells).cast("decimal(20,0)") for salt in (0, 1)]
+    rows = df.select(*[h.alias(f"h{k}") for k, h in enumerate(hashes)])
+    sums = [F.coalesce(F.sum(f"h{k}"), F.lit(0)).cast("string") for k in range(len(hashes))]
+    return rows.agg(F.count(F.lit(1)).alias("rows"), F.concat_ws(":", F.count(F.lit(1)).cast("string"), *sums).alias("file_hash"))
