@@ -354,6 +354,12 @@ AGE_GROUP = (
     "CASE WHEN age IS NULL THEN 'Unknown' WHEN age < 25 THEN '18-24' WHEN age < 35 THEN '25-34' WHEN age < 45 THEN '35-44' "
     "WHEN age < 55 THEN '45-54' ELSE '55+' END"
 )
+SILVER_JOB = f"""
+SELECT s.* EXCLUDE (copies, silver_processed_at), TIMESTAMP '2002-01-01' AS silver_processed_at, copies > 1 AS duplicate_flag, w.country_code,
+  CAST(submission_timestamp AS DATE) AS submission_date, {AGE_GROUP} AS age_group,
+  CASE WHEN response_id IS NOT NULL AND s.country IS NOT NULL AND gender IS NOT NULL AND age IS NOT NULL THEN 'valid' ELSE 'invalid' END AS validation_status
+FROM landed s LEFT JOIN (SELECT lower(country) AS ck, max(country_code) AS country_code FROM wb_silver GROUP BY 1) w ON lower(s.country) = w.ck"""
+
 BODIES: dict[str, str] = {
     "clean_survey": "SELECT * EXCLUDE (silver_processed_at) FROM silver",
     "clean_population": "SELECT * FROM wb_silver",
@@ -531,11 +537,14 @@ SELECT 2 * count(*) AS rows_sent, (SELECT count(*) FROM (SELECT DISTINCT * FROM
   2 * count(*) = (SELECT count(*) FROM (SELECT DISTINCT * FROM feed)) AS complete FROM feed""",
     "ingest_round_trip": """
 SELECT s.* EXCLUDE (silver_processed_at), lower(s.country) AS path_country, '2024' AS path_year, '05' AS path_month, '01' AS path_day FROM silver s""",
-    "silver_job": f"""
-SELECT s.* EXCLUDE (copies, silver_processed_at), TIMESTAMP '2002-01-01' AS silver_processed_at, copies > 1 AS duplicate_flag, w.country_code,
-  CAST(submission_timestamp AS DATE) AS submission_date, {AGE_GROUP} AS age_group,
-  CASE WHEN response_id IS NOT NULL AND s.country IS NOT NULL AND gender IS NOT NULL AND age IS NOT NULL THEN 'valid' ELSE 'invalid' END AS validation_status
-FROM landed s LEFT JOIN (SELECT lower(country) AS ck, max(country_code) AS country_code FROM wb_silver GROUP BY 1) w ON lower(s.country) = w.ck""",
+    "silver_job": SILVER_JOB,
+    "silver_increment": SILVER_JOB,
+    "gold_increment_kpis": "SELECT * FROM kpis",
+    "gold_increment_trends": TRENDS,
+    "gold_increment_quality": "SELECT * FROM quality",
+    "table_fingerprints": """
+SELECT variant, n * times AS rows, same FROM (SELECT count(*) AS n FROM survey_raw), (VALUES ('again', 1, true), ('other layout', 1, true),
+  ('moved', 1, false), ('swapped', 1, false), ('one null more', 1, false), ('twice', 2, false)) v(variant, times, same)""",
     "silver_rejects": """
 SELECT response_id, concat_ws(',', CASE WHEN gender IS NULL THEN 'gender: required' END,
   CASE WHEN completion_status IS NULL THEN 'completion_status: required' END) AS errors, count(*) AS n

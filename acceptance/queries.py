@@ -25,7 +25,8 @@ from pollstone.operators import (
     serving,
     validation,
 )
-from pollstone.plans import bookkeeping, end_to_end, ingest
+from pollstone.plans import bookkeeping, end_to_end, increment, ingest
+from pollstone.plans import gold as gold_plan
 from pollstone.sources import csv_files, payloads, readers, tables, writers
 from pollstone.sources.readers import list_files, read_bronze
 from pollstone.sources.registry import API_SOURCES, Lake, bronze_datasets
@@ -719,6 +720,87 @@ def silver_job(spark, folder):
     return plain(spark.read.parquet(f"{_whole_run(spark, folder).silver}/survey_responses").drop("ingestion_timestamp"))
 
 
+@query
+def silver_increment(spark, folder):
+    """The published clean responses after three deliveries, each merged into the countries it touches.
+
+    First a table with every delivery of the responses, then the files of half
+    of the nations, then the others'.
+    """
+    place = f"{shared_folder(spark)}/increments/{uuid.uuid4()}"
+    lake = Lake.under(f"{place}/lake")
+    raw = fixtures.survey_raw(spark, folder).withColumn("nation", F.lower(F.trim("country")))
+    writers.write_silver(population_silver(spark, folder), f"{lake.silver}/world_bank_population")
+    feed = fixtures.survey_feed(spark, folder).drop("loaded_at", "delivery", "batch", "q3_trust_govt")
+    ingest.ingest_table(spark, feed, lake, "survey_responses")
+    increment.update_silver(spark, lake, now(), with_database=True)
+    keep_blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    for half in (0, 1):
+        some = raw.filter(F.pmod(F.length("nation"), F.lit(2)) == half)
+        some.write.partitionBy("nation").csv(f"{place}/raw{half}", header=True, **keep_blanks)
+        ingest.ingest_files(spark, f"{place}/raw{half}", lake, countries=_place_names(spark, folder))
+        increment.update_silver(spark, lake, now(), with_database=True)
+    return plain(spark.read.parquet(f"{lake.silver}/survey_responses").drop("ingestion_timestamp"))
+
+
+def _gold_after_deliveries(spark, folder, name):
+    """A business table off grouped rows that three deliveries of clean responses kept up."""
+    lake = Lake.under(f"{shared_folder(spark)}/increments/{uuid.uuid4()}")
+    rows = silver(spark, folder).drop("source_layer", "target_layer")
+    table = increment.merged_table(spark, lake, rows.withColumn(dedup.COPIES, F.lit(1).cast("bigint")).schema)
+    turn = F.pmod(F.col("response_id").cast("bigint"), F.lit(3))
+    for delivery in range(3):
+        # What came before comes again, in part.
+        some = rows.filter((turn == delivery) | ((turn < delivery) & F.col("q1_democracy").isNull()))
+        increment.merge_delivery(table, some, f"delivery{delivery}", check=False)
+        increment.write_facts(spark, lake, table)
+    facts = {
+        fact: increment.fact_table(spark, lake, fact, rows).read().drop(increment.PART) for fact in increment.FACTS
+    }
+    tables = {"world_bank_population": population_silver(spark, folder), "country_reference": countries_silver(spark, folder), "survey_responses": rows}
+    built = gold_plan.gold_tables(tables, facts["rollup"], quality.whole_profile(facts["profile"]), now(), {c: facts[c] for c in gold_plan.COUNTS})
+    return plain(built[name]())
+
+
+@query
+def gold_increment_kpis(spark, folder):
+    return _gold_after_deliveries(spark, folder, "country_survey_kpis_gold")
+
+
+@query
+def gold_increment_trends(spark, folder):
+    return _gold_after_deliveries(spark, folder, "response_volume_trends_gold")
+
+
+@query
+def gold_increment_quality(spark, folder):
+    return _gold_after_deliveries(spark, folder, "data_quality_summary_gold")
+
+
+@query
+def table_fingerprints(spark, folder):
+    """Fingerprints of the responses, of them in another layout, and of tables in which values have moved to the next column."""
+    rows = fixtures.survey_raw(spark, folder).select("response_id", "gender", "completion_status", "q1_democracy")
+    moved = rows.withColumns(
+        {
+            "gender": F.coalesce("gender", F.col("completion_status")),
+            "completion_status": F.when(F.col("gender").isNotNull(), F.col("completion_status")),
+        }
+    )
+    swapped = rows.select("response_id", F.col("completion_status").alias("gender"), F.col("gender").alias("completion_status"), "q1_democracy")
+    known = ledger.row_fingerprint(rows).select(F.col("file_hash").alias("known"))
+    variants = {
+        "again": rows,
+        "other layout": rows.repartition(5, "gender").sortWithinPartitions(F.desc("response_id")),
+        "moved": moved,
+        "swapped": swapped,
+        "one null more": rows.withColumn("q1_democracy", F.when(F.col("response_id") != "1", F.col("q1_democracy"))),
+        "twice": rows.unionByName(rows),
+    }
+    marks = [ledger.row_fingerprint(df).select(F.lit(name).alias("variant"), "rows", "file_hash") for name, df in variants.items()]
+    return readers.union_all(marks).select("variant", "rows", (F.col("file_hash") == known.scalar()).alias("same"))
+
+
 @query
 def silver_rejects(spark, folder):
     """Raw rows of files and table that break the contract, counted per response."""

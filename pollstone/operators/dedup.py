@@ -53,24 +53,32 @@ def drop_key_copies(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return keep_latest(df, present, rest) if rest else df.dropDuplicates(present)
 
 
-def merge_copies(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+def merge_copies(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], merged: bool = False) -> DataFrame:
     """Like :func:`keep_latest`, plus how many rows carried the key and a flag for more than one.
 
     ``copies`` is combined before the shuffle, so the true number of
-    duplicates costs no second pass.
+    duplicates costs no second pass. With ``merged`` the rows carry ``copies``
+    of their own, from merging before, and these are added up: merging parts
+    and then what came of them is the same as merging all at once.
     """
-    ordered = [*order_by, *_orderable(df, [*keys, *order_by])]
-    carried = [name for name in df.columns if name not in ordered and name not in keys]
+    counts = F.sum(COPIES) if merged else F.count(F.lit(1))
+    if merged:
+        plain = df.drop("duplicate_flag")
+        columns = [name for name in plain.columns if name != COPIES]
+    else:
+        plain, columns = df, df.columns
+    ordered = [*order_by, *_orderable(plain, [*keys, *order_by, *([COPIES] if merged else [])])]
+    carried = [name for name in columns if name not in ordered and name not in keys]
     newest = F.struct(*ordered)
-    picked = [F.max(newest).alias("_newest"), F.count(F.lit(1)).alias(COPIES)]
+    picked = [F.max(newest).alias("_newest"), counts.alias(COPIES)]
     if carried:
         picked.append(F.max_by(F.struct(*carried), newest).alias("_carried"))
     places = {**{name: f"_newest.{name}" for name in ordered}, **{name: f"_carried.{name}" for name in carried}}
     return (
-        df.groupBy(*keys)
+        plain.groupBy(*keys)
         .agg(*picked)
         .select(
-            *[F.col(places.get(name, name)).alias(name) for name in df.columns],
+            *[F.col(places.get(name, name)).alias(name) for name in columns],
             COPIES,
             (F.col(COPIES) > 1).alias("duplicate_flag"),
         )
@@ -88,6 +96,11 @@ def merge_survey_responses(df: DataFrame) -> DataFrame:
     return merge_copies(df, ["response_id"], _load_order(df, "submission_timestamp"))
 
 
+def merge_merged_responses(df: DataFrame) -> DataFrame:
+    """Rows of several calls of :func:`merge_survey_responses`, merged as if all had come at once."""
+    return merge_copies(df, ["response_id"], _load_order(df, "submission_timestamp"), merged=True)
+
+
 def dedup_world_bank_population(df: DataFrame) -> DataFrame:
     """One row per country, year and indicator: the latest load, a known population first."""
     return keep_latest(df, ["country", "year", "indicator"], _load_order(df, "population"))

@@ -48,9 +48,9 @@ def missing_cells(columns: Sequence[str] = TRACKED_COLUMNS) -> Column:
     return sum(flags[1:], flags[0])
 
 
-def response_profile(survey: DataFrame) -> DataFrame:
-    """One row: counts, missing cells and first and last processing time."""
-    return survey.agg(
+def response_profile(survey: DataFrame, grain: Sequence[str] = ()) -> DataFrame:
+    """One row (or one for each ``grain``): counts, missing cells and first and last processing time."""
+    return survey.groupBy(*grain).agg(
         F.count(F.lit(1)).alias("total"),
         count_where(completed()).alias("valid"),
         count_where(~completed()).alias("invalid"),
@@ -61,6 +61,20 @@ def response_profile(survey: DataFrame) -> DataFrame:
     )
 
 
+def whole_profile(profiles: DataFrame) -> DataFrame:
+    """The one row of :func:`response_profile`, from the rows of a finer grain."""
+    sums = [F.sum(name).cast("bigint").alias(name) for name in ("valid", "invalid", "missing")]
+    zeros = {name: F.coalesce(F.sum(name), F.lit(0)).cast("bigint").alias(name) for name in ("total", "duplicates")}
+    return profiles.agg(
+        zeros["total"],
+        *sums[:2],
+        zeros["duplicates"],
+        sums[2],
+        F.min("first_processed").alias("first_processed"),
+        F.max("last_processed").alias("last_processed"),
+    )
+
+
 def _scores(profile: DataFrame) -> DataFrame:
     total, cells = F.col("total"), F.col("total") * len(TRACKED_COLUMNS)
     filled = cells - F.col("missing")

@@ -99,9 +99,8 @@ def _kpi_columns(
     return gold_marks(table, processed_at)
 
 
-def demographic_distribution(survey: DataFrame, processed_at: Column | None = None) -> DataFrame:
-    """Responses per country, region, gender, age group, education and employment."""
-    counts = survey.groupBy(
+def demographic_counts(survey: DataFrame) -> DataFrame:
+    return survey.groupBy(
         "country",
         "region",
         "gender",
@@ -109,6 +108,14 @@ def demographic_distribution(survey: DataFrame, processed_at: Column | None = No
         "education_level",
         "employment_status",
     ).agg(F.count(F.lit(1)).alias("response_count"))
+
+
+def demographic_distribution(survey: DataFrame, processed_at: Column | None = None) -> DataFrame:
+    """Responses per country, region, gender, age group, education and employment."""
+    return demographics_from_counts(demographic_counts(survey), processed_at)
+
+
+def demographics_from_counts(counts: DataFrame, processed_at: Column | None = None) -> DataFrame:
     # The total is added up from the grouped rows: Spark reuses their shuffle
     # and hands the single number over as a scalar subquery.
     total = counts.agg(F.sum("response_count")).scalar()
@@ -137,8 +144,13 @@ def response_volume_trends(survey: DataFrame, processed_at: Column | None = None
     Regions of one day are counted in name order, so the running total is the
     same on every run.
     """
+    return trends_from_daily(daily_responses(survey), processed_at)
+
+
+def trends_from_daily(daily: DataFrame, processed_at: Column | None = None) -> DataFrame:
+    """Same table as :func:`response_volume_trends`, from the daily counts."""
     table = running_total(
-        daily_responses(survey),
+        daily,
         group=["country"],
         order=["submission_date", "region"],
         value="daily_response_count",
@@ -318,18 +330,26 @@ def perception_from_rollup(rollup: DataFrame, table: str, processed_at: Column |
     return gold_marks(with_index(answered, asked, PLACE), processed_at)
 
 
+def level_counts(survey: DataFrame) -> DataFrame:
+    return (
+        survey.filter(completed() & F.col("q4_corruption").isNotNull())
+        .groupBy(*PLACE, F.col("q4_corruption").alias("corruption_level"))
+        .agg(F.count(F.lit(1)).alias("corruption_response_count"))
+    )
+
+
 def corruption_levels(survey: DataFrame, processed_at: Column | None = None) -> DataFrame:
     """Answers per corruption level with their share of the region's answers.
 
     The index is the share of the level High, on every row of the region. The
     window runs over grouped rows, one per region and level.
     """
+    return levels_from_counts(level_counts(survey), processed_at)
+
+
+def levels_from_counts(counts: DataFrame, processed_at: Column | None = None) -> DataFrame:
+    """Same table as :func:`corruption_levels`, from the counts per level."""
     level, answers = "corruption_level", "corruption_response_count"
-    counts = (
-        survey.filter(completed() & F.col("q4_corruption").isNotNull())
-        .groupBy(*PLACE, F.col("q4_corruption").alias(level))
-        .agg(F.count(F.lit(1)).alias(answers))
-    )
     region = Window.partitionBy(*PLACE)
     total = F.sum(answers).over(region)
     high = F.sum(F.when(F.lower(level) == "high", F.col(answers)).otherwise(0)).over(region)

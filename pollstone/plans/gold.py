@@ -21,22 +21,35 @@ from pollstone.sources.registry import Lake
 from pollstone.sources.writers import write_gold
 
 
+# Grouped rows that three of the tables are read off.
+COUNTS = {
+    "demographics": rollups.demographic_counts,
+    "daily": rollups.daily_responses,
+    "levels": rollups.level_counts,
+}
+
+
 def gold_tables(
     tables: Mapping[str, DataFrame],
     rollup: DataFrame,
     profile: DataFrame,
     now: Column | None = None,
+    counts: Mapping[str, DataFrame] | None = None,
 ) -> dict[str, Callable[[], DataFrame]]:
-    """How to build each of the fourteen business tables; nothing runs before a builder is called."""
-    survey = tables["survey_responses"]
+    """How to build each of the fourteen business tables; nothing runs before a builder is called.
+
+    ``counts`` holds the grouped rows of the demographics, days and levels; without
+    them they are grouped from ``tables["survey_responses"]``.
+    """
+    counts = counts or {name: group(tables["survey_responses"]) for name, group in COUNTS.items()}
     population = tables["world_bank_population"]
     countries = tables["country_reference"]
     return {
         "country_survey_kpis_gold": partial(rollups.kpis_from_rollup, rollup, countries, population, now),
-        "demographic_distribution_gold": partial(rollups.demographic_distribution, survey, now),
-        "response_volume_trends_gold": partial(rollups.response_volume_trends, survey, now),
+        "demographic_distribution_gold": partial(rollups.demographics_from_counts, counts["demographics"], now),
+        "response_volume_trends_gold": partial(rollups.trends_from_daily, counts["daily"], now),
         **{name: partial(rollups.perception_from_rollup, rollup, name, now) for name in rollups.PERCEPTIONS},
-        "corruption_levels_gold": partial(rollups.corruption_levels, survey, now),
+        "corruption_levels_gold": partial(rollups.levels_from_counts, counts["levels"], now),
         "population_coverage_gold": partial(rollups.coverage_from_rollup, rollup, population, now),
         "data_quality_summary_gold": partial(quality.data_quality_summary, profile, processed_at=now),
         "reliability_index_gold": partial(quality.reliability_index, profile, now=now),
@@ -61,8 +74,12 @@ def run_silver_to_gold(
 
     rollup = written(rollups.place_rollup(survey), "place_rollup")
     profile = written(quality.response_profile(survey), "response_profile")
+    return write_tables(spark, lake, gold_tables(tables, rollup, profile, now), run)
+
+
+def write_tables(spark: SparkSession, lake: Lake, tables: Mapping[str, Callable[[], DataFrame]], run: str) -> dict[str, int]:
     counts = {}
-    for name, build in gold_tables(tables, rollup, profile, now).items():
+    for name, build in tables.items():
         path = f"{lake.gold}/{name}"
         counts[name] = write_gold(build(), path, GOLD[name])
         if GOLD[name].primary_key:
