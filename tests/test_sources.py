@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from conftest import plan, rows
 from pyspark.sql import functions as F
@@ -83,6 +85,34 @@ def test_tolerant_csv(spark, tmp_path):
         csv_files.read_csv_files(spark, [], PAIR)
 
 
+@pytest.mark.parametrize("encoding, eol", [("utf-8", "\n"), ("utf-8", "\r\n"), ("iso-8859-1", "\n")])
+def test_split_records_are_those_of_a_whole_read(spark, tmp_path, encoding, eol):
+    """Files cut at many places, in and beside quotes, give what Spark's own reader of whole files does."""
+    draw = random.Random(eol + encoding)
+
+    def field():
+        if draw.random() < 0.5:
+            return "".join(draw.choice("abé ") for _ in range(draw.randint(1, 4)))
+        return '"' + "".join(draw.choice(["a", "é", '""', ",", "\n", "\n\n", " "]) for _ in range(draw.randint(1, 9))) + '"'
+
+    paths = []
+    for k in range(12):
+        lines = ["a,n", '"x\ny",é', *(f"{field()},{field()}" for _ in range(20))]
+        (tmp_path / f"{k}.csv").write_bytes(eol.join(lines).encode(encoding))
+        paths.append(str(tmp_path / f"{k}.csv"))
+    whole = spark.read.schema("a string, n string").csv(paths, header=True, escape='"', multiLine=True, encoding=encoding)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "64b")
+        lines = csv_files.record_lines(spark, paths, encoding == "utf-8")
+        assert lines.select("uri", "block").distinct().count() >= 3 * len(paths)
+        assert lines.where("record IS NULL").count() == 0
+        texts = Contract.of("texts", {"a": "string", "n": "string"})
+        assert rows(csv_files.read_csv_files(spark, paths, texts)) == rows(whole)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_csv_records_over_line_ends(spark, tmp_path):
     (tmp_path / "a.csv").write_text('a,n\n"one\ntwo",5\n"x, ""y""\n\nz,w",6\n"p\nq",7,surplus\n\na,n\nlast\n')
     (tmp_path / "b.csv").write_text('"a, or b",n,a\nno,1,"1,2"\n  \n"r, s",2,\nno,1,2,\n')
