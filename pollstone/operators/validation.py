@@ -117,7 +117,7 @@ def validation_report(df: DataFrame, rules: Rules) -> DataFrame:
 def rules_for(dataset: str) -> Rules:
     name = dataset.lower().strip()
     if name not in DATASET_RULES:
-        raise ValueError(f"No validation rules for dataset: {name}")
+        raise ValueError(f"Dataset {name!r} has no rules")
     return DATASET_RULES[name]
 
 
@@ -144,7 +144,7 @@ def require_valid(df: DataFrame, dataset: str) -> DataFrame:
     failed = validate_dataset(df, dataset).filter(~F.col("passed")).collect()
     if failed:
         reasons = "; ".join(f"{row.rule} {row.target}: {row.observed} (allowed {row.allowed})" for row in failed)
-        raise ValidationError(f"Silver validation failed for dataset: {dataset} [{reasons}]")
+        raise ValidationError(f"{dataset} breaks its rules and is not written [{reasons}]")
     return df
 
 

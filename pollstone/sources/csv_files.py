@@ -210,5 +210,5 @@ def row_counts(spark: SparkSession, files: DataFrame) -> DataFrame:
 def read_csv_files(spark: SparkSession, paths: Sequence[str], contract: Contract) -> DataFrame:
     """All rows of several raw CSV files, typed by the contract."""
     if not paths:
-        raise ValueError("No CSV files could be loaded")
+        raise ValueError("A read needs at least one CSV path")
     return contract.conform(parsed_rows(spark, file_headers(spark, paths), contract).drop("_uri"))

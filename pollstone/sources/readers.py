@@ -54,7 +54,7 @@ def read_bronze(
     elif file_format == "parquet":
         reader = spark.read
     else:
-        raise ValueError(f"Unsupported file format: {file_format}")
+        raise ValueError(f"No reader for format {file_format!r}")
     rows = reader.format(file_format).load(paths)
     where = F.col("_metadata.file_path")
     added = {}
@@ -148,7 +148,7 @@ def read_gold(spark: SparkSession, root: str, name: str) -> DataFrame:
         return spark.read.parquet(f"{root}/{name}")
     except AnalysisException as error:
         if missing_path(error) or error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
-            raise FileNotFoundError(f"No parquet files found for Gold table: {name}") from error
+            raise FileNotFoundError(f"Business table {name} has not been written yet") from error
         raise
 
 

@@ -21,7 +21,7 @@ def extract_options(
 ) -> dict[str, str]:
     """JDBC options for a whole-table extract, read in parallel over a numeric column."""
     if table not in allowed:
-        raise ValueError(f"Table '{table}' is not in the allowed list for safety.")
+        raise ValueError(f"{table!r} is none of the declared source tables")
     options = {"dbtable": table}
     if split_column and bounds and partitions > 1:
         low, high = bounds
