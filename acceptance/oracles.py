@@ -607,6 +607,7 @@ SELECT e.event_id FROM events e LEFT JOIN (SELECT user_id, max(ts) AS mark FROM
 WHERE e.event_type <> 'purchase' AND (m.mark IS NULL OR e.ts >= m.mark)""",
     "stream_ingest": "SELECT * EXCLUDE (silver_processed_at) FROM silver",
     "stream_dedup": "SELECT DISTINCT response_id, submission_timestamp, country FROM feed_clean",
+    "stream_daily_upkeep": "SELECT submission_date, country, region, daily_response_count, completed_response_count FROM daily",
     "stream_daily_volume": """
 SELECT submission_date, country, region, daily_response_count, completed_response_count FROM daily
 WHERE submission_date + INTERVAL 1 DAY <= (SELECT max(submission_timestamp) FROM silver) - INTERVAL 2 DAY""",

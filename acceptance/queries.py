@@ -1053,6 +1053,18 @@ def stream_dedup(spark, folder):
     return plain(_finished(spark, unique.select("response_id", "submission_timestamp", "country")))
 
 
+@query
+def stream_daily_upkeep(spark, folder):
+    """Daily counts kept over three deliveries; each brings rows of all days, so the later ones correct what stands."""
+    place = f"{shared_folder(spark)}/streams/{uuid.uuid4()}"
+    raw = fixtures.survey_raw(spark, folder)
+    for delivery in range(3):
+        raw.filter(F.expr(f"pmod(xxhash64(response_id), 3) = {delivery}")).write.mode("append").parquet(f"{place}/raw")
+        stream = responses.clean_stream(responses.read_stream(spark, f"{place}/raw", raw.schema, "parquet"))
+        responses.keep_daily_volume(stream, f"{place}/daily", f"{place}/state")
+    return responses.kept_daily_volume(spark, f"{place}/daily")
+
+
 @query
 def stream_daily_volume(spark, folder):
     """Days that the watermark has closed."""

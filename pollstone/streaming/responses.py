@@ -1,9 +1,10 @@
 """Incremental jobs on a stream of raw responses: clean, deduplicate, count per day.
 
 Files are taken up exactly once: the checkpoint remembers what was read. The
-ingest asks the target itself what it holds, so a response is kept however late
-it comes. The windowed forms bound their state by a watermark instead, and rows
-that come after it are left out of them.
+ingest asks an index of the target's keys what it holds, so a response is kept
+however late it comes, and the kept daily counts are corrected by late rows. The
+windowed forms bound their state by a watermark instead, and rows that come
+after it are left out of them.
 """
 
 from __future__ import annotations
@@ -13,14 +14,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from pollstone.functions.durable import durable
 from pollstone.functions.expr import completed, count_where
 from pollstone.operators.cleaning import add_silver_metadata, clean_survey_responses
 from pollstone.operators.dedup import drop_key_copies
+from pollstone.plans.parted import PART, PartedTable, part_of
 from pollstone.sources.readers import missing_path
+from pollstone.streaming.held_keys import LOAD, HeldKeys
 
 EVENT_TIME = "submission_timestamp"
-#: Folder part that names the batch its rows came with.
-LOAD = "load"
+#: What daily counts are kept by, and the counts. The days of a quarter are rewritten together.
+DAY = ("submission_date", "country", "region")
+COUNTS = ("daily_response_count", "completed_response_count")
+DAILY_SCHEMA = (
+    "submission_quarter date, submission_date date, country string, region string, "
+    "daily_response_count bigint, completed_response_count bigint"
+)
 
 
 def read_stream(
@@ -89,26 +98,72 @@ def _held(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
         return spark.createDataFrame([], full)
 
 
+def _load(batch: DataFrame, number: int) -> str:
+    """A name for a batch that is the same when the batch is run again."""
+    return f"{batch.sparkSession.sparkContext.getLocalProperty('sql.streaming.queryId')}-{number}"
+
+
 def append_new(stream: DataFrame, target: str, checkpoint: str, key: str = "response_id") -> None:
     """Append what has arrived to a table folder, one row per key; keys the table holds are passed over.
 
     Each batch has a folder of its own, named by query and batch. A batch that
     is run again after a failure replaces its folder and does not look at it.
-    Rows without a key count as one key.
+    Rows without a key count as one key. What the table holds is looked up in
+    ``<target>_keys``, where a batch reads the buckets of its own keys only; the
+    index is brought up to the table before the first batch of a run.
     """
+    held = HeldKeys(f"{target}_keys", key, stream.schema[key].dataType)
+    held.catch_up(_held(stream.sparkSession, target, stream.schema))
 
     def take(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        load = f"{spark.sparkContext.getLocalProperty('sql.streaming.queryId')}-{number}"
-        keys = _held(spark, target, batch.schema).filter(F.col(LOAD) != load).select(F.col(key).alias("_held"))
-        unique = drop_key_copies(batch, [key])
-        fresh = unique.join(keys, unique[key].eqNullSafe(keys["_held"]), "left_anti")
-        fresh.write.mode("overwrite").parquet(f"{target}/{LOAD}={load}")
+        load = _load(batch, number)
+        folder = f"{target}/{LOAD}={load}"
+        held.missing(drop_key_copies(batch, [key]), load).write.mode("overwrite").parquet(folder)
+        held.add(batch.sparkSession.read.schema(batch.schema).parquet(folder).withColumn(LOAD, F.lit(load)))
 
     writer = stream.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
     writer.trigger(availableNow=True).start().awaitTermination()
 
 
+def daily_table(spark: SparkSession, root: str) -> PartedTable:
+    return PartedTable(spark, root, T.StructType.fromDDL(DAILY_SCHEMA), ("submission_quarter",))
+
+
+def kept_daily_volume(spark: SparkSession, root: str) -> DataFrame:
+    """Daily counts as :func:`keep_daily_volume` left them."""
+    return daily_table(spark, root).read().select(*DAY, *COUNTS)
+
+
+def keep_daily_volume(responses: DataFrame, root: str, checkpoint: str) -> None:
+    """Add what has arrived to the daily counts below ``root``, however late it comes.
+
+    A batch is counted first; then the counts of the quarters it touches are
+    read, added to and published by one commit, named by query and batch. A
+    batch that is run again after its commit is passed over, so no row counts
+    twice. Rows without a date are a day of their own. A new checkpoint reads
+    all files again and needs a new ``root``.
+    """
+
+    def take(batch: DataFrame, number: int) -> None:
+        table, run = daily_table(batch.sparkSession, root), _load(batch, number)
+        if table.has(run):
+            return
+        day = F.to_date(EVENT_TIME)
+        counts = (
+            batch.groupBy(F.trunc(day, "quarter").alias("submission_quarter"), day.alias("submission_date"), "country", "region")
+            .agg(F.count(F.lit(1)).alias(COUNTS[0]), count_where(completed()).alias(COUNTS[1]))
+            .withColumn(PART, part_of(*table.by))
+        )
+        counts = durable(counts)
+        touched = [row[PART] for row in counts.select(PART).distinct().collect()]  # quarters
+        both = table.read(touched).unionByName(counts).groupBy("submission_quarter", *DAY)
+        written = table.write(both.agg(*[F.sum(name).alias(name) for name in COUNTS]), run)
+        table.commit(run, {row[PART]: row["count"] for row in written.groupBy(PART).count().collect()})
+
+    writer = responses.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
+    writer.trigger(availableNow=True).start().awaitTermination()
+
+
 def ingest_responses(
     spark: SparkSession,
     folder: str,

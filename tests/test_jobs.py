@@ -1,10 +1,12 @@
 import json
 import os
+import re
 from datetime import datetime
 
 import pytest
 from conftest import plan, rows
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from acceptance.queries import countries_silver, population_silver, silver
 from pollstone import __main__, fixtures
@@ -17,6 +19,7 @@ from pollstone.sources import readers
 from pollstone.sources.registry import Lake
 from pollstone.sources.writers import write_silver
 from pollstone.streaming import responses
+from pollstone.streaming.held_keys import HeldKeys
 
 HEADER = ",".join(BRONZE_SURVEY.columns)
 
@@ -244,6 +247,64 @@ def test_stream_keeps_late_responses(spark, tmp_path):
     assert run("c", "4,\n,2024-02-01T08:00:00\n", str(tmp_path / "other")) == ["1", "2", "3", "4", "None"]
 
 
+def test_stream_reads_only_the_buckets_of_its_keys(spark, tmp_path):
+    index = HeldKeys(str(tmp_path / "keys"), "id", T.LongType(), buckets=16)
+    table = spark.range(400).withColumn("load", F.lit("one"))
+    index.catch_up(table)
+    few = spark.createDataFrame([(7,), (700,), (None,)], "id long")
+    missing = index.missing(few, "two")
+    hit = {row[0] for row in few.select(index.bucket("id")).collect()}
+    read = {int(re.search("bucket=([0-9]+)", name).group(1)) for name in missing.inputFiles()}
+    assert read and read <= hit and len(hit) <= 3
+    assert rows(missing) == [(700,), (None,)]
+    assert rows(index.missing(few, "one")) == [(7,), (700,), (None,)]  # a load doesn't look at itself
+
+
+def test_stream_index_is_brought_up_to_the_table(spark, tmp_path):
+    """A table from before the index, and a run that broke between its rows and their keys."""
+    source, target = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    schema = "response_id string, submission_timestamp timestamp"
+    old = spark.createDataFrame([("1", None), (None, None)], schema)
+    old.write.parquet(f"{target}/load=old")
+
+    def run(name, text):
+        (source / f"{name}.csv").write_text("id,at\n" + text)
+        responses.append_new(responses.read_stream(spark, str(source), schema), target, str(tmp_path / "state"))
+        return sorted(str(r.response_id) for r in spark.read.parquet(target).collect())
+
+    assert run("a", "1,\n2,\n,2024-01-01T08:00:00\n") == ["1", "2", "None"]
+    spark.createDataFrame([("5", None), ("6", None)], schema).write.parquet(f"{target}/load=broken")
+    assert run("b", "5,\n7,\n2,\n") == ["1", "2", "5", "6", "7", "None"]
+
+
+def test_daily_counts_take_late_rows_once(spark, tmp_path):
+    source, root, state = tmp_path / "in", str(tmp_path / "daily"), tmp_path / "state"
+    source.mkdir()
+    schema = "response_id string, country string, region string, completion_status string, submission_timestamp timestamp"
+
+    def run(name, *days):
+        text = "\n".join(f"{name}{i},Mali,,Completed,{day}T08:00:00" if day else f"{name}{i},Mali,,," for i, day in enumerate(days))
+        (source / f"{name}.csv").write_text("id\n" + text + "\n")
+        responses.keep_daily_volume(responses.read_stream(spark, str(source), schema), root, str(state))
+        table = responses.kept_daily_volume(spark, root)
+        return {str(r.submission_date): (r.daily_response_count, r.completed_response_count) for r in table.collect()}
+
+    first = {"2024-03-01": (2, 2), "2024-03-09": (1, 1), "None": (1, 0)}
+    assert run("a", "2024-03-01", "2024-03-01", "2024-03-09", None) == first
+    march = responses.daily_table(spark, root).newest().count()
+    second = first | {"2024-03-01": (3, 3), "2023-01-05": (1, 1)}
+    assert run("b", "2024-03-01", "2023-01-05") == second
+    assert responses.daily_table(spark, root).newest().count() == march + 1
+    # The batch is run again, as after a failure past its commit: nothing counts twice.
+    for name in ("1", ".1.crc"):
+        (state / "commits" / name).unlink(missing_ok=True)
+    responses.keep_daily_volume(responses.read_stream(spark, str(source), schema), root, str(state))
+    assert {str(r.submission_date): r.daily_response_count for r in responses.kept_daily_volume(spark, root).collect()} == {
+        day: counts[0] for day, counts in second.items()
+    }
+
+
 def test_stream_drops_rows_past_the_watermark(spark, tmp_path):
     source, target, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
     source.mkdir()
