@@ -155,6 +155,7 @@ def trends_from_daily(daily: DataFrame, processed_at: Column | None = None) -> D
         order=["submission_date", "region"],
         value="daily_response_count",
         output="cumulative_response_count",
+        block=F.trunc("submission_date", "month"),
     )
     return gold_marks(table, processed_at)
 

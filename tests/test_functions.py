@@ -8,8 +8,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pollstone.functions import expr, running
-from pollstone.functions.durable import durable, shared_folder
+from pollstone.functions import expr
+from pollstone.functions.durable import shared_folder
 from pollstone.functions.names import plain_name, rename_columns, snake_case
 from pollstone.functions.running import running_total
 
@@ -111,7 +111,8 @@ def test_running_total_equals_brute_force_with_a_hot_group(spark):
     }
     data = [(g, d, r, rng.randrange(10)) for g, d, r in keys]
     df = spark.createDataFrame(data, "g string, d int, r string, n bigint")
-    got = rows(running_total(df, ["g"], ["d", "r"], "n", "total"))
+    got = rows(running_total(df, ["g"], ["d", "r"], "n", "total", F.expr("d DIV 2")))
+    assert got == rows(running_total(df, ["g"], ["d", "r"], "n", "total", F.col("d")))
     expected = []
     ordered = sorted(data, key=lambda x: (x[0] or "", x[0] is not None, x[1], x[2]))
     for _, members in groupby(ordered, key=lambda x: x[0]):
@@ -122,33 +123,36 @@ def test_running_total_equals_brute_force_with_a_hot_group(spark):
     assert got == sorted(expected, key=str)
 
 
-def test_running_total_spreads_a_hot_group(spark, monkeypatch):
-    seen = {}
-
-    def watched(df):
-        seen["slices"] = durable(df)
-        return seen["slices"]
-
-    monkeypatch.setattr(running, "durable", watched)
+def test_running_total_spreads_a_hot_group(spark):
+    """A group's rows are dealt to tasks by block, and nothing is written on the way."""
     df = spark.range(20000).selectExpr("'one' AS g", "id AS o", "1L AS n")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        out = running_total(df, ["g"], ["o"], "n", "total")
+        out = running_total(df, ["g"], ["o"], "n", "total", F.expr("o DIV 100"))
         assert out.agg(F.max("total"), F.count_distinct("total")).first()[:] == (20000, 20000)
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        assert "ExistingRDD" not in plan(out)
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    sizes = [r["count"] for r in seen["slices"].groupBy("_slice").count().collect()]
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert len(sizes) == 8 and max(sizes) < 2 * 20000 / 8
 
 
+def test_running_total_keeps_rows_without_a_place_in_the_order(spark):
+    df = spark.createDataFrame([("a", None, 1), ("a", 3, 2), ("a", 4, 4), (None, None, 8), (None, 1, 16)], "g string, o int, n bigint")
+    out = running_total(df, ["g"], ["o"], "n", "total", F.expr("o DIV 2"))
+    assert sorted(r.total for r in out.collect()) == [1, 3, 7, 8, 24]
+
+
 def test_running_total_shuffles_the_wide_side_once(spark):
     df = spark.range(5000).selectExpr("if(id % 3 = 0, NULL, 'g') AS g", "id AS o", "1L AS n")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        text = plan(running_total(df, ["g"], ["o"], "n", "total"))
+        text = plan(running_total(df, ["g"], ["o"], "n", "total", F.expr("o DIV 100")))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    # One for the window over the rows; three small ones for the offsets of the slices.
+    # One for the window over the rows; three small ones for the offsets of the blocks.
     assert text.count("Exchange hashpartitioning") == 4 and "rangepartitioning" not in text
 
 
