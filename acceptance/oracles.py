@@ -589,6 +589,9 @@ SELECT lower(nullif(trim(country), '')) AS country, strftime(submission_timestam
     "normalise_world_bank": """
 SELECT n AS country, upper(country_code) AS country_code, CAST(year AS INT) AS year, CAST(population AS BIGINT) AS population, indicator, 'world_bank' AS source_system
 FROM (SELECT ' ' || lower(country) AS n, lower(country_code) || ' ' AS cc, * FROM wb)""",
+    "answer_drift": """
+SELECT upper(country_code) AS country_code, CASE CAST(substr(country_code, 2) AS INT) % 4 WHEN 1 THEN 'lacks year' WHEN 2 THEN 'lacks country_code'
+  WHEN 3 THEN 'lacks country, population' END AS reject_reason, count(*) AS records FROM wb GROUP BY 1, 2""",
     "normalise_countries": "SELECT country_name AS country, CAST(NULL AS VARCHAR) AS country_code, lower(region) AS region, ' ' || subregion AS subregion, population, area, 'restcountries' AS source_system FROM cref",
     "event_payloads": "SELECT event_id, user_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events",
     "run_ledger_latest": f"""

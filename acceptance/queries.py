@@ -950,6 +950,25 @@ def normalise_world_bank(spark, folder):
     return payloads.normalize_world_bank(parsed).drop("ingestion_timestamp")
 
 
+@query
+def answer_drift(spark, folder):
+    """Service answers, one per nation; those of three nations in four lost or renamed a field."""
+    drift = F.pmod(F.expr("CAST(substr(code, 2) AS INT)"), F.lit(4))
+    named = F.struct(F.col("country.id").alias("id"), F.when(drift != 3, F.col("country.value")).alias("value"))
+    rows = fixtures.population_payload(spark, folder).withColumn("code", F.upper(F.trim("countryiso3code")))
+    record = F.struct(
+        "indicator",
+        named.alias("country"),
+        F.when(drift != 2, F.col("countryiso3code")).alias("countryiso3code"),
+        F.when(drift != 1, F.col("date")).alias("date"),
+        F.when(drift != 3, F.col("value")).alias("value"),
+        F.when(drift == 3, F.col("value")).alias("amount"),
+    )
+    text = F.concat(F.lit('[{"page": 1}, '), F.to_json(F.collect_list(record)), F.lit("]"))
+    shaped = payloads.shaped(rows.groupBy("code").agg(text.alias("value")), "world_bank")
+    return shaped.select(F.col("code").alias("country_code"), "reject_reason", F.size("records").cast("bigint").alias("records"))
+
+
 @query
 def normalise_countries(spark, folder):
     raw = fixtures.countries_payload(spark, folder)

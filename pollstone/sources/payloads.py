@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +20,17 @@ COUNTRY_RECORD = (
     "population:bigint,area:double>"
 )
 
+#: Where answers have the columns that the contracts require of them. The code of a country may be absent.
+ANSWER_FIELDS = {
+    "world_bank": {
+        "country": ("country", "value"),
+        "country_code": ("countryiso3code",),
+        "year": ("date",),
+        "population": ("value",),
+    },
+    "restcountries": {"country": ("name", "common")},
+}
+
 
 def _records_text(text: Column) -> Column:
     """The record array of ``[page info, [records]]`` or of a bare record array, else NULL."""
@@ -41,17 +54,43 @@ def rejected_payloads(payloads: DataFrame, text: str = "value") -> DataFrame:
     return refused.withColumn("reject_reason", F.coalesce(message, F.lit("unexpected answer format")))
 
 
+def _has(path: Sequence[str]) -> Callable[[Column], Column]:
+    """Whether a record's text has a field, be its value null or not."""
+
+    def there(record: Column) -> Column:
+        found = F.lit(True)
+        for depth, name in enumerate(path):
+            part = record if depth == 0 else F.get_json_object(record, "$." + ".".join(path[:depth]))
+            found = found & F.coalesce(F.array_contains(F.json_object_keys(part), name), F.lit(False))
+        return found
+
+    return there
+
+
+def lacking_fields(body: Column, source: str) -> Column:
+    """Names of the required columns that no record of an array has a field for, as text."""
+    records = F.from_json(body, "array<string>")
+    lacking = [F.when(~F.exists(records, _has(path)), F.lit(name)) for name, path in ANSWER_FIELDS[source].items()]
+    return F.concat_ws(", ", *lacking)
+
+
 def shaped(payloads: DataFrame, source: str, text: str = "value") -> DataFrame:
-    """Each answer with its ``records`` array, or the reason why it has none."""
+    """Each answer with its ``records`` array, or the reason why it isn't taken.
+
+    The fields are looked for in the raw records, so an answer whose fields
+    were renamed or dropped is refused instead of landing as NULLs.
+    """
     if source == "world_bank":
         body, record = _records_text(F.col(text)), WORLD_BANK_RECORD
     else:
         body, record = F.when(F.startswith(F.ltrim(F.col(text)), F.lit("[")), F.col(text)), COUNTRY_RECORD
     records = F.from_json(body, f"array<{record}>")
     message = F.get_json_object(text, "$[0].message[0].value")
+    lacking = lacking_fields(body, source)
     reason = (
         F.when(body.isNull(), F.coalesce(message, F.lit("unexpected answer format")))
         .when(F.size(records) == 0, F.lit("empty answer"))
+        .when(lacking != "", F.concat(F.lit("lacks "), lacking))
     )
     return payloads.withColumns({"records": records, "reject_reason": reason})
 

@@ -10,12 +10,12 @@ from pyspark.sql import types as T
 
 from acceptance.queries import countries_silver, population_silver, silver
 from pollstone import __main__, fixtures
-from pollstone.contracts.catalog import BRONZE_SURVEY, GOLD
+from pollstone.contracts.catalog import BRONZE, BRONZE_SURVEY, GOLD
 from pollstone.operators import rollups
 from pollstone.operators.validation import ValidationError
 from pollstone.plans import bookkeeping, end_to_end, gold, ingest
 from pollstone.plans import silver as silver_plan
-from pollstone.sources import readers
+from pollstone.sources import payloads, readers
 from pollstone.sources.registry import Lake
 from pollstone.sources.writers import write_silver
 from pollstone.streaming import responses
@@ -113,6 +113,20 @@ def test_answers_are_known_by_content(spark, tmp_path):
         ingest.ingest_payloads(spark, str(folder), lake, "other")
 
 
+def test_answers_without_a_required_field_fail_alone(spark, tmp_path):
+    lake = Lake.under(str(tmp_path / "lake"))
+    good = {"indicator": {"id": "P", "value": "Pop"}, "country": {"id": "ML", "value": "Mali"}, "countryiso3code": "mli", "date": "2024", "value": None}
+    renamed = {("period" if key == "date" else key): value for key, value in good.items()}
+    shallow = good | {"country": "Mali"}
+    for name, records in {"good": [good], "renamed": [renamed], "shallow": [shallow], "some": [renamed, good]}.items():
+        write_answers(tmp_path / "api", name, [{"page": 1}, records])
+    found = outcome(ingest.ingest_payloads(spark, str(tmp_path / "api"), lake, "world_bank"))
+    assert found["renamed.json"][:2] == ("failed", "lacks year") and found["shallow.json"][:2] == ("failed", "lacks country")
+    assert found["good.json"][0] == found["some.json"][0] == "success"
+    for source, fields in payloads.ANSWER_FIELDS.items():
+        assert set(fields) <= set(BRONZE[source].required)
+
+
 def test_table_snapshots_are_known_by_content(spark, folder, tmp_path):
     lake = Lake.under(str(tmp_path / "lake"))
     rows_in = fixtures.survey_raw(spark, folder)
