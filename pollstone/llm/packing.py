@@ -24,12 +24,16 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from pollstone.llm.bpe import byte_letters
-from pollstone.llm.common import text_or_empty
+from pollstone.llm.common import parts, stored, text_or_empty
 
 WINDOW = 2048
 END = 1
 #: Characters of text in a bucket, on average. A bucket is what one task holds at a time.
 BUCKET_CHARS = 8_000_000
+#: What a row counts for on top of its characters, so that short rows don't pile up in a bucket.
+ROW_CHARS = 16
+#: Rows that are equal are dealt to buckets by blocks of this share of a bucket.
+BLOCKS = 4
 #: Triples tried for each shortest length.
 TRIPLES = 12
 
@@ -232,6 +236,31 @@ def _power(n: int) -> int:
     return 1 << max(0, n.bit_length() - 1)
 
 
+def _dealt(docs: DataFrame) -> DataFrame:
+    """``(doc_id, text, bucket)`` for each row: by a hash of the row, and by block where many rows are equal.
+
+    Which rows are so many is counted by hash, which shuffles no text. Those
+    rows are counted whole, a row for each task, and their copies are numbered
+    by blocks that are small next to a bucket. All other rows go straight to
+    their buckets.
+    """
+    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), text_or_empty().alias("text"))
+    marked = rows.withColumn("h", F.expr("xxhash64(doc_id, text)"))
+    size = (F.length("text") + ROW_CHARS).cast("long")
+    counted = marked.groupBy("h").agg(F.sum(size).alias("size"), F.max(size).alias("longest"))
+    total = stored(counted, "sizes")
+    buckets = max(1, -(-int(total.agg(F.sum("size")).first()[0] or 0) // BUCKET_CHARS))
+    block = max(1, BUCKET_CHARS // BLOCKS)
+    hot = stored(total.where(f"size > {block} AND size > longest").select("h"), "hot")
+    many = marked.join(hot, "h", "left_semi").groupBy("doc_id", "text").agg(F.count("*").alias("copies"))
+    many = many.withColumn("some", F.greatest(F.lit(1), F.floor(F.lit(block) / size)).cast("long"))
+    blocks = many.withColumn("block", F.expr("explode(sequence(0L, (copies - 1) DIV some))"))
+    spread = blocks.repartition(parts(docs.sparkSession), "doc_id", "block")
+    numbered = spread.withColumn("copy", F.expr("explode(sequence(1L, least(some, copies - block * some)))"))
+    few = marked.join(hot, "h", "left_anti").select("doc_id", "text", F.expr(f"pmod(h, {buckets}L)").alias("bucket"))
+    return few.unionByName(numbered.select("doc_id", "text", F.expr(f"pmod(xxhash64(doc_id, text, block), {buckets}L)").alias("bucket")))
+
+
 def pack_documents(docs: DataFrame, tokenizer: str, window: int = WINDOW) -> DataFrame:
     """One row for each piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids``.
 
@@ -240,10 +269,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, window: int = WINDOW) -> Dat
     one; a null doc_id stays null. ``sequence_id`` is unique: its upper 32 bits
     are the bucket. Nothing comes from an empty table; other columns play no part.
     """
-    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), text_or_empty().alias("text"))
-    chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
-    buckets = max(1, -(-int(chars) // BUCKET_CHARS))
-    keyed = rows.withColumn("bucket", F.expr(f"pmod(xxhash64(doc_id, text), {buckets}L)"))
+    keyed = _dealt(docs)
 
     def fill(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["doc_id", "text"], ignore_index=True)

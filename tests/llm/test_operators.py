@@ -217,6 +217,25 @@ def test_packing(request, which):
         assert ends <= 2048
 
 
+def test_equal_rows_are_dealt_to_many_buckets(spark, monkeypatch):
+    """A third of all rows are equal, once with a doc_id and once without; no bucket holds more than its share."""
+    monkeypatch.setattr(packing, "BUCKET_CHARS", 4_000)
+    texts = [(7, "hot words of a row", 400), (None, "hot words without an id", 400), (8, None, 300)]
+    rows = [(k, f"own words {k}") for k in range(100, 500)] + [(k, text) for k, text, n in texts for _ in range(n)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    dealt = packing._dealt(frame)
+    assert sorted(map(str, ((r.doc_id, r.text) for r in dealt.collect()))) == sorted(str((k if k is None else str(k), t or "")) for k, t in rows)
+    sizes = dealt.groupBy("bucket").agg(F.sum(F.length("text") + packing.ROW_CHARS).alias("size"), F.count("*").alias("n")).collect()
+    assert len(sizes) > 8 and max(r["size"] for r in sizes) < 4 * 4_000
+    own = Tokenizer.from_file(WORDS)
+    want = {}
+    for k, text in rows:
+        want[k] = want.get(k, 0) + len(own.encode(text or "", add_special_tokens=False).ids) + 1
+    packed = packing.pack_documents(frame, WORDS)
+    assert {r.doc_id: r.n for r in packed.groupBy("doc_id").agg(F.sum("length").alias("n")).collect()} == want
+    assert packed.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.expr("offset + length")).alias("e")).where("n <> e").isEmpty()
+
+
 def test_merged_strings_have_one_way_to_arise():
     """Merging by strings and by pairs agree: with lower ranks only, each token's bytes end as two tokens at most."""
     words = packing.Words(WORDS)
