@@ -589,6 +589,27 @@ SELECT lower(nullif(trim(country), '')) AS country, strftime(submission_timestam
     "normalise_world_bank": """
 SELECT n AS country, upper(country_code) AS country_code, CAST(year AS INT) AS year, CAST(population AS BIGINT) AS population, indicator, 'world_bank' AS source_system
 FROM (SELECT ' ' || lower(country) AS n, lower(country_code) || ' ' AS cc, * FROM wb)""",
+    "file_outcomes": """
+SELECT nation, CASE k WHEN 0 THEN 'ready' ELSE 'failed' END AS status,
+  CASE k WHEN 1 THEN 'missing columns: survey_id,gender' WHEN 2 THEN 'extension not allowed: .txt' END AS reason,
+  CASE WHEN k < 2 THEN count(*) END AS rows_loaded
+FROM (SELECT nation, (length(nation) + ascii(reverse(nation))) % 3 AS k FROM (SELECT coalesce(lower(trim(country)), 'none') AS nation FROM survey_raw))
+GROUP BY nation, k""",
+    "table_outcomes": """
+SELECT attempt, status, CASE WHEN status = 'success' THEN n ELSE 0 END AS rows_processed, error_message
+FROM (SELECT count(*) AS n FROM survey_raw), (VALUES ('first', 'success', NULL), ('again', 'skipped', NULL),
+  ('lacking', 'failed', 'missing columns: survey_id,gender'), ('empty', 'failed', 'empty table'), ('changed', 'success', NULL)
+) t(attempt, status, error_message)""",
+    "snapshot_round_trip": "SELECT * FROM survey_raw",
+    "kept_answers": """
+SELECT upper(country_code) AS country_code, CAST(year AS INT) AS year,
+  CAST(CASE WHEN country_code = 'N7' THEN -population ELSE population END AS BIGINT) AS population, TRUE AS same FROM wb""",
+    "marked_trust": """
+SELECT *, 'silver' AS source_layer, 'gold' AS target_layer, TIMESTAMP '2002-01-01 00:00:00' AS gold_processed_at FROM trust""",
+    "silver_views": """
+SELECT s.country, s.responses, c.population AS listed, p.years FROM (SELECT country, count(*) AS responses FROM silver GROUP BY country) s
+LEFT JOIN cref_silver c ON lower(s.country) = lower(c.country_name)
+LEFT JOIN (SELECT country, count(*) AS years FROM wb_silver GROUP BY country) p ON s.country = p.country""",
     "answer_drift": """
 SELECT upper(country_code) AS country_code, CASE CAST(substr(country_code, 2) AS INT) % 4 WHEN 1 THEN 'lacks year' WHEN 2 THEN 'lacks country_code'
   WHEN 3 THEN 'lacks country, population' END AS reject_reason, count(*) AS records FROM wb GROUP BY 1, 2""",

@@ -920,6 +920,86 @@ def file_hashes(spark, folder):
     )
 
 
+@query
+def file_outcomes(spark, folder):
+    """Raw files, one per nation: every third nation's lack a column, every third's are of another kind."""
+    place = f"{shared_folder(spark)}/round_trips/{uuid.uuid4()}"
+    raw = fixtures.survey_raw(spark, folder).withColumn("nation", F.coalesce(F.lower(F.trim("country")), F.lit("none")))
+    third = F.pmod(F.length("nation") + F.ascii(F.reverse("nation")), F.lit(3))
+    whole, lacking, other = (raw.filter(third == k).repartition("nation") for k in range(3))
+    whole.write.partitionBy("nation").csv(f"{place}/raw/whole", header=True)
+    lacking.drop("gender", "survey_id").write.partitionBy("nation").csv(f"{place}/raw/lacking", header=True)
+    other.select("nation", F.to_json(F.struct("response_id")).alias("value")).write.partitionBy("nation").text(f"{place}/raw/other")
+    files = ingest.check_files(spark, f"{place}/raw", Lake.under(f"{place}/lake"), countries=_place_names(spark, folder))
+    return files.select(F.regexp_extract("uri", "/nation=([^/]*)/", 1).alias("nation"), "status", "reason", "rows_loaded")
+
+
+@query
+def table_outcomes(spark, folder):
+    """The responses as a database table: taken once, known again in another layout, refused without columns or rows."""
+    lake = Lake.under(f"{shared_folder(spark)}/round_trips/{uuid.uuid4()}")
+    raw = fixtures.survey_raw(spark, folder)
+    attempts = {
+        "first": raw,
+        "again": raw.repartition(5, "gender"),
+        "lacking": raw.drop("gender", "survey_id"),
+        "empty": raw.filter("false"),
+        "changed": raw.withColumn("q2_economy", F.upper("q2_economy")),
+    }
+    for name, rows in attempts.items():
+        ingest.ingest_table(spark, rows, lake, "survey_responses", run_id=name)
+    runs = bookkeeping.pipeline_runs(spark, lake)
+    return runs.select(F.col("run_id").alias("attempt"), "status", "rows_processed", "error_message")
+
+
+@query
+def snapshot_round_trip(spark, folder):
+    """An extracted table under a time-stamped name."""
+    raw = fixtures.survey_raw(spark, folder)
+    path = writers.write_snapshot(raw, f"{shared_folder(spark)}/round_trips/{uuid.uuid4()}", "survey_responses", "20240501")
+    return plain(spark.read.parquet(path))
+
+
+@query
+def kept_answers(spark, folder):
+    """Population rows out of the answers kept for audit, and whether each answer still has its hash."""
+    place = f"{shared_folder(spark)}/round_trips/{uuid.uuid4()}"
+    lake = Lake.under(f"{place}/lake")
+    records = F.to_json(F.collect_list(F.struct("indicator", "country", "countryiso3code", "date", "value")))
+    per_nation = fixtures.population_payload(spark, folder).groupBy(F.trim("countryiso3code").alias("nation"))
+    answers = per_nation.agg(F.concat(F.lit('[{"page": 1}, '), records, F.lit("]")).alias("value"))
+    answers.write.partitionBy("nation").text(f"{place}/answers")
+    ingest.ingest_payloads(spark, f"{place}/answers", lake, "world_bank", pattern="*.txt")
+    kept = spark.read.text(f"{lake.meta}/answers/world_bank/*").select(F.from_json("value", "file_hash string, value string").alias("a"))
+    shaped = payloads.shaped(kept.select("a.*"), "world_bank").withColumn("same", F.sha2("value", 256) == F.col("file_hash"))
+    rows = shaped.select("same", F.explode("records").alias("r"))
+    return rows.select(
+        F.upper(F.trim("r.countryiso3code")).alias("country_code"), F.col("r.date").cast("int").alias("year"), F.col("r.value").alias("population"), "same"
+    )
+
+
+@query
+def marked_trust(spark, folder):
+    """A business table with its layer names and load time."""
+    table = rollups.governance_trust(silver(spark, folder), processed_at=now())
+    return table.withColumn("gold_processed_at", F.col("gold_processed_at").cast("timestamp_ntz"))
+
+
+@query
+def silver_views(spark, folder):
+    """The published clean tables as views, joined in SQL."""
+    place = f"{shared_folder(spark)}/round_trips/{uuid.uuid4()}"
+    tables = {"survey_responses": silver, "country_reference": countries_silver, "world_bank_population": population_silver}
+    for name, build in tables.items():
+        writers.write_silver(build(spark, folder), f"{place}/{name}")
+    readers.read_silver(spark, place, views=True)
+    return spark.sql(
+        "SELECT s.country, s.responses, c.population AS listed, p.years FROM (SELECT country, count(*) AS responses FROM survey_responses GROUP BY country) s "
+        "LEFT JOIN country_reference c ON lower(s.country) = lower(c.country_name) "
+        "LEFT JOIN (SELECT country, count(*) AS years FROM world_bank_population GROUP BY country) p ON s.country = p.country"
+    )
+
+
 @query
 def bronze_layout(spark, folder):
     """Rows per raw folder: country, year, month, day and source."""
