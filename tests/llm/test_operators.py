@@ -8,6 +8,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -288,6 +289,45 @@ def test_quality_counts_and_rules(spark, odd, none, folder):
     assert decision_list.keep_good(odd, empty).columns == odd.columns
 
 
+def counts_by_hand(text):
+    """Words, their characters, symbols, repeated lines, words in repeated windows, and the base rule, as the contract says."""
+    text = text or ""
+    words = WORD.findall(text)
+    windows = {}
+    for k in range(len(words) - 7):
+        windows.setdefault(tuple(words[k : k + 8]), []).append(k)
+    repeated = {k + j for places in windows.values() if len(places) > 1 for k in places for j in range(8)}
+    lines = [line for line in text.split("\n") if WORD.search(line)]
+    symbols = sum(c in "#*$%&|<>" for c in text)
+    failed = len(words) < 20 or 100 * len(repeated) > 30 * len(words)
+    return len(words), sum(map(len, words)), symbols, len(lines) - len(set(lines)), len(repeated), failed
+
+
+def test_quality_counts_by_hand(spark, odd, docs, folder):
+    """All counts of each document of a table, and of odd ones."""
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    for frame in (odd, docs):
+        want = sorted(str((r.doc_id, *counts_by_hand(r.text))) for r in frame.collect())
+        found = decision_list.quality_rows(frame, labels).collect()
+        names = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+        assert sorted(str(tuple(r[name] for name in names)) for r in found) == want
+        assert not any(r.kept for r in found if r.base_failed)
+
+
+def test_fingerprints_by_hand(odd, docs):
+    """Every bit counted one by one, over the shingles of whole texts."""
+    for frame in (odd, docs):
+        want = {}
+        for r in frame.where("doc_id IS NOT NULL").collect():
+            words = WORD.findall(re.sub("[A-Z]", lambda m: m.group().lower(), r.text or ""))
+            shingles = [" ".join(words[k : k + 3]) for k in range(max(1, len(words) - 2))] if words else []
+            hashes = [xxhash.xxh64_intdigest(x.encode(), seed=42) for x in shingles]
+            bits = [sum(h >> k & 1 for h in hashes) for k in range(64)]
+            want[r.doc_id] = f"{sum(1 << k for k in range(64) if 2 * bits[k] > len(hashes)):016x}"
+        found = {r.doc_id: f"{r.fp & (1 << 64) - 1:016x}" for r in pivot_neardup.near_duplicates(frame).where("doc_id IS NOT NULL").collect()}
+        assert found == want
+
+
 def test_url_lists(spark):
     pages = spark.createDataFrame([(1, "http://a.b.c/x/y", "2022-05-01"), (2, "http://a.b.c/x/y", "2022-01-01"), (3, None, "2022-05-01"), (4, "http://a.b.c/z", None)], "page_id long, url string, on string")
     captures = pages.selectExpr("page_id", "url", "cast(on as date) AS fetched_on", "'mine' AS verdict")
