@@ -3,10 +3,13 @@
 import itertools
 import re
 
+import numpy as np
+import pandas as pd
 import pytest
 from acceptance import compare as comparing
 
 import corpus_pipeline
+from pollstone.llm import close_texts
 from pollstone.llm.queries import ORACLES, QUERIES
 
 
@@ -66,3 +69,63 @@ def test_near_copies_against_brute_force(spark, folder):
     found = [r.doc_id for r in kept.collect()]
     assert found.count(None) == 1
     assert sorted(d for d in found if d is not None) == sorted(set(group.values()))
+
+
+def _varied(count, changes, words=400):
+    """Texts that differ from one text in other places each; any two are a little less alike than 0.8."""
+    draw = np.random.default_rng(3)
+    plain = [f"w{k}" for k in range(words)]
+    for k in range(count):
+        some = list(plain)
+        for j in draw.choice(words, changes, replace=False):
+            some[j] = f"new{k}x{j}"
+        yield " ".join(some)
+
+
+def test_pivots_choose_the_pairs_of_a_band(spark, monkeypatch):
+    """Of a band's sets that are apart, those that pivots and outlines can't keep apart come out, each pair once, however the band is cut."""
+    monkeypatch.setattr(close_texts, "CELL", 16)
+    texts = [*_varied(60, 9), *_varied(40, 12, 300), *(" ".join(f"v{k}" for k in range(30 + j)) for j in range(20))]
+    sets = [close_texts.shingles(text) for text in texts]
+    count = len(sets)
+    nodes = spark.createDataFrame([(k, len(s), bytearray(close_texts.histogram(s))) for k, s in enumerate(sets)], "node long, size long, bins binary")
+    label = [k % 7 for k in range(count)]
+    keys = {1: range(count), 2: range(0, count, 2), 3: range(60)}
+    members = spark.createDataFrame([(key, k, label[k], len(some)) for key, some in keys.items() for k in some], "key long, node long, label long, n long")
+    found = [tuple(r) for r in close_texts._apart(members, nodes).collect()]
+    bins = [np.frombuffer(close_texts.histogram(s), "<u2").astype(int) for s in sets]
+
+    def near(a, b):
+        m, n = len(sets[a]), len(sets[b])
+        return label[a] != label[b] and 5 * min(m, n) >= 4 * max(m, n) and np.abs(bins[a] - bins[b]).sum() <= (m + n) // 9
+
+    want = [(a, b) for a, b in itertools.combinations(range(count), 2) if near(a, b)]
+    assert want and sorted(found) == want
+    assert {(a, b) for a, b in itertools.combinations(range(count), 2) if label[a] != label[b] and close_texts.alike(sets[a], sets[b])} <= set(want)
+
+
+def test_pivot_tables_discard_pairs():
+    """Sets along a line: tables of distances discard all pairs that outlines would, and no other."""
+    shares = np.arange(400) % 50
+    sets = [np.arange(300, dtype=np.uint64) * np.uint64(64 * 400) + np.uint64(64 * k) + (np.arange(300) >= 6 * s) for k, s in enumerate(shares.tolist())]
+    cells = pd.DataFrame({"key": 1, "p": 0, "q": 0, "side": 0, "label": range(400), "size": [len(s) for s in sets]})
+    cells["bins"] = [close_texts.histogram(s.astype(np.uint64)) for s in sets]
+    cells["keys"] = [[1]] * 400
+    steps = {}
+    i, j = close_texts.close_pairs(cells, steps)
+    want = [(a, b) for a, b in itertools.combinations(range(400), 2) if 12 * abs(shares[a] - shares[b]) <= 600 // 9]
+    assert sorted(zip(i.tolist(), j.tolist(), strict=True)) == want
+    assert steps["outline"] == 0 and sum(n for name, n in steps.items() if name.startswith("pivot")) == 400 * 399 // 2 - len(want)
+
+
+def test_large_group_of_texts_apart(spark):
+    """Texts of one group, few of which are alike, against brute force."""
+    rows = list(enumerate(_varied(120, 5)))
+    sets = [close_texts.shingles(text) for _, text in rows]
+    every = [(a, b) for a, b in itertools.combinations(range(120), 2) if close_texts.alike(sets[a], sets[b])]
+    group = list(range(120))
+    while any(group[a] != group[b] for a, b in every):
+        for a, b in every:
+            group[a] = group[b] = min(group[a], group[b])
+    kept = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    assert every and {r.doc_id for r in kept.collect()} == set(group)
