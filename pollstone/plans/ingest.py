@@ -139,7 +139,8 @@ def ingest_files(
             rows = parsed_rows(spark, ready, contract, keep=["country"])
             landed = with_bronze_parts(rows, day=day, country=F.col("_country"), source=F.lit("csv"))
             # Parquet, so that line ends and quotes in a value need no second parse.
-            land_bronze(landed.drop("_country", "_uri"), lake.bronze, "parquet")
+            # A file has one country, so a task's rows go to few folders.
+            land_bronze(landed.drop("_country", "_uri"), lake.bronze, "parquet", spread=False)
         landed_now = F.col("status") == "ready"
         outcomes = files.withColumns(
             {
@@ -273,7 +274,7 @@ def ingest_table(
             record_run(spark, lake, run, pipeline, "skipped")
             return "skipped"
         parts = with_bronze_parts(rows, day=day, country=F.lit("global"), source=F.lit(source_system))
-        land_bronze(parts, lake.bronze, "parquet")
+        land_bronze(parts, lake.bronze, "parquet", spread=False)
         append(books.ledger_entries(entry, batch_id=run), f"{lake.meta}/processed_files")
         record_run(spark, lake, run, pipeline, "success", mark.rows)
         return "success"

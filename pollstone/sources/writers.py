@@ -41,11 +41,15 @@ def _rows_written(counter: Observation, df: DataFrame, path: str) -> int:
         return df.sparkSession.read.schema(df.schema).parquet(path).count()
 
 
-def write_silver(df: DataFrame, path: str, partition_columns: Sequence[str] | None = None) -> int:
-    """Replace a clean table and return the number of rows, counted during the write."""
+def write_silver(df: DataFrame, path: str, partition_columns: Sequence[str] | None = None, spread: bool = True) -> int:
+    """Replace a clean table and return the number of rows, counted during the write.
+
+    Rows that come folder by folder need no ``spread``: each task writes its own.
+    """
     counted, counter = observed(df, "silver rows")
     columns = list(partition_columns or [])
-    writer = spread_by(counted, columns).write.mode("overwrite").option("partitionOverwriteMode", "static")
+    rows = spread_by(counted, columns) if spread else counted
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
     (writer.partitionBy(*columns) if columns else writer).parquet(path)
     return _rows_written(counter, df, path)
 
@@ -86,12 +90,13 @@ def bronze_path(country: str, source_system: str, filename: str, day: str) -> st
     return f"country={country.lower()}/year={day[:4]}/month={day[5:7]}/day={day[8:10]}/{source_system}/{name}"
 
 
-def land_bronze(df: DataFrame, root: str, file_format: str = "csv") -> None:
+def land_bronze(df: DataFrame, root: str, file_format: str = "csv", spread: bool = True) -> None:
     """Append rows below ``country=/year=/month=/day=/source_system=`` folders.
 
     Records go out as JSON lines with their own field names. In the other
     formats the data's country and source columns are kept under other names,
-    because the folders carry these.
+    because the folders carry these. Rows that come folder by folder, or all go
+    to one, need no ``spread``: each task writes its own, without a shuffle.
     """
     data = [name for name in df.columns if name not in BRONZE_PARTS]
     folders = [F.col(name).alias(_FOLDERS.get(name, name)) for name in BRONZE_PARTS]
@@ -100,7 +105,8 @@ def land_bronze(df: DataFrame, root: str, file_format: str = "csv") -> None:
         kept = [F.to_json(F.struct(*data)).alias("value")]
     else:
         kept = [F.col(name).alias(_IN_FILE.get(name, name)) for name in data]
-    writer = spread_by(df.select(*kept, *folders), parts).write.mode("append").partitionBy(*parts)
+    rows = df.select(*kept, *folders)
+    writer = (spread_by(rows, parts) if spread else rows).write.mode("append").partitionBy(*parts)
     if file_format == "csv":
         writer = writer.option("header", True)
     writer.format("text" if file_format == "json" else file_format).save(root)
