@@ -30,7 +30,7 @@ from pollstone.plans.parted import PART, PartedTable, part_of
 from pollstone.plans.silver import SurveyChoices, staged
 from pollstone.sources.readers import list_files, read_bronze, read_silver
 from pollstone.sources.registry import Lake
-from pollstone.sources.writers import default_partitions, spread_by, write_silver
+from pollstone.sources.writers import default_partitions, write_silver
 
 SURVEY = "survey_responses"
 #: Grouped rows of the business tables, each with its country.
@@ -68,8 +68,10 @@ def merge_delivery(table: PartedTable, cleaned: DataFrame, run_id: str, inputs:
     earlier = standing.join(fresh.select("response_id"), same, "left_semi").select(PART)
     touched = [row.part for row in fresh.select(PART).union(earlier).distinct().toLocalIterator()]
     columns = table.schema.names
-    both = table.read(touched).select(*columns).unionByName(fresh.select(*columns))
-    written = table.write(merge_merged_responses(both).select(*columns), run_id)
+    merged = fresh.select(*columns)
+    if not table.newest().where((F.col("rows") > 0) & F.col("part").isin(touched)).isEmpty():
+        merged = merge_merged_responses(table.read(touched).select(*columns).unionByName(merged)).select(*columns)
+    written = table.write(merged, run_id)
     if check:
         require_valid(written.drop(PART, COPIES), SURVEY)
     counts = {row.part: row.n for row in written.groupBy(PART).agg(F.count(F.lit(1)).alias("n")).toLocalIterator()}
@@ -131,7 +133,8 @@ def update_silver(
 def publish(spark: SparkSession, lake: Lake, table: PartedTable, choices: SurveyChoices = SurveyChoices()) -> int:
     """Write the countries of commits that aren't published yet to the clean table; returns how many rows.
 
-    A broken run is made up for by the next. If a country has lost its last
+    A part's files hold one country, so nothing is shuffled for the write. A
+    broken run is made up for by the next. If a country has lost its last
     row, its folder must go, so the table is written whole.
     """
     book = f"{lake.meta}/increment/{SURVEY}_published"
@@ -147,10 +150,10 @@ def publish(spark: SparkSession, lake: Lake, table: PartedTable, choices: Survey
     path = f"{lake.silver}/{SURVEY}"
     columns = default_partitions(published)
     if whole:
-        written = write_silver(published, path, columns)
+        written = write_silver(published, path, columns, spread=False)
     else:
         written = sum(row.rows for row in newest)
-        writer = spread_by(published, columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer = published.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(*columns).parquet(path)
     append(spark.createDataFrame([(max(row.seq for row in newest),)], PUBLISHED_SCHEMA).coalesce(1), book)
     return written

@@ -13,6 +13,7 @@ from pollstone.operators.validation import ValidationError
 from pollstone.plans import gold, increment, ingest, parted
 from pollstone.plans import silver as silver_plan
 from pollstone.plans.silver import SurveyChoices
+from pollstone.sources import writers
 from pollstone.sources.registry import Lake
 
 DAYS = ("2024-05-01", "2024-05-02", "2024-05-03")
@@ -161,3 +162,23 @@ def test_refused_rows_are_not_merged(spark, tmp_path):
     with pytest.raises(ValidationError):
         increment.merge_delivery(table, bad, "a")
     assert table.read().count() == 0 and table.inputs().count() == 0
+
+
+def test_rows_that_come_by_folder_are_not_shuffled_again(spark, tmp_path, monkeypatch):
+    """Landed files, landed tables and published countries are written as they come; a first delivery is merged once."""
+    lake = Lake.under(str(tmp_path / "lake"))
+    references(spark, tmp_path, lake)
+    spread, merged = [], []
+    monkeypatch.setattr(writers, "spread_by", lambda df, columns: spread.extend(columns) or df)
+    twice = increment.merge_merged_responses
+    monkeypatch.setattr(increment, "merge_merged_responses", lambda df: merged.append(1) or twice(df))
+    deliver(spark, tmp_path, lake, 0)
+    names = HEADER.split(",")
+    table = spark.createDataFrame([line(30 + k).split(",") for k in range(8)], ", ".join(f"`{n}` string" for n in names))
+    assert ingest.ingest_table(spark, table.repartition(4), lake, "survey_responses", day=F.lit(DAYS[0])) == "success"
+    increment.update_silver(spark, lake, stamp(), with_database=True)
+    assert merged == []
+    deliver(spark, tmp_path, lake, 2)
+    increment.update_silver(spark, lake, stamp(), with_database=True)
+    assert merged == [1] and spread == []
+    assert published(spark, lake).select("response_id").distinct().count() == published(spark, lake).count() == 23
