@@ -1,15 +1,18 @@
 """A class-based bigram model: exchange clustering, smoothed, scored over all documents.
 
 A word's probability is that of its class after the class before, times that of
-the word within its class. The most frequent words are clustered by exchange:
-each moves to the class that raises the likelihood of the training bigrams
-most, a half of the words in each sweep. All other words, known or not, belong
-to open classes by their shape (last character, ASCII or not), and the end of a
-text has a class of its own. Counts are taken from all training documents.
+the word within its class. All training words are clustered, by likelihood of
+the training bigrams. The most frequent ones go through sweeps in which each
+moves to its best class, some blocks of them in each sweep; meanwhile the others have
+classes by their shape (last character, ASCII or not). Then all the others are
+weighed, whatever their number: their neighbours' classes are counted in one
+pass and gathered by word, and a word moves from its shape's class to its best
+one if the log-likelihood gained is over log(CLASSES), what naming a class takes.
+The end of a text has a class of its own.
 
 Words travel as little as they have to. A dictionary of the most frequent ones,
-of bounded size, is sent to all tasks, and only rarer words are joined with
-their counts.
+of bounded size, is sent to all tasks and texts are written once as its numbers;
+only rarer words go as text, and are joined with their classes.
 """
 
 from __future__ import annotations
@@ -22,21 +25,28 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pollstone.llm.common import WORD, frames, stored, text_or_empty
 
-#: Words that are clustered, words whose counts are sent to all tasks, and the longest such word.
+#: Words that are clustered in sweeps, words whose counts are sent to all tasks, and the longest such word.
 CLUSTERED = 4096
 SENT = 131_072
 LONGEST = 64
 CLASSES = 64
-SWEEPS = 6
-#: Blocks of bigrams that are worked on apart in a sweep.
-BLOCKS = 24
+SWEEPS = 24
+#: Blocks of bigrams, and every how many of them one is worked on in a sweep.
+BLOCKS, TURNS = 24, 8
+#: Log-likelihood that a move gains at least.
+LEAST = 1e-6
 #: Weight of a class's overall frequency in the frequency after another class, and of unseen words.
 PRIOR, UNSEEN = 4.0, 0.1
+#: What each known word leaves of its count to unseen words of its shape.
+DISCOUNT = 0.5
+#: Tokens whose contexts a task counts at a time, and contexts that it weighs at a time.
+CHUNK, WEIGHED = 1 << 20, 20_000
 #: Bytes of text that a task has as words at a time.
 FRAME_BYTES = 2 << 20
 END = "\n"  # no word has a line end
@@ -46,6 +56,12 @@ _ODD = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f
 OPEN = 8
 END_CLASS = CLASSES + OPEN
 ALL_CLASSES = END_CLASS + 1
+#: The state after each kind of token: its class or, for words that training lacks, the class of their shape.
+_STATES = np.concatenate((np.arange(ALL_CLASSES), CLASSES + np.arange(OPEN)))
+#: A class before a word or, shifted by all classes, after it, and how often.
+_CONTEXT = np.dtype([("code", "u1"), ("n", "<u4")])
+#: Numbers of tokens: a sent word's place, END_ID, or from FIRST_ID on the shape of a word that isn't sent.
+END_ID, FIRST_ID = -1, -1 - OPEN
 
 
 def open_class(word: str) -> int:
@@ -68,17 +84,23 @@ def tokens(text: str) -> list[str]:
 
 @dataclass
 class Model:
-    """What tasks need: the sent words in order of their frequency, their classes, and log10 tables."""
+    """Counts of the sent words, classes by tokens' numbers, tokens of each class, its words by shape, tokens and words at all."""
 
-    index: dict[str, int]
+    counts: np.ndarray
     classes: np.ndarray
-    emit: np.ndarray
-    base: np.ndarray
-    step: np.ndarray
-    open_sums: np.ndarray
+    inside: np.ndarray
+    shapes: np.ndarray
     total: int
     distinct: int
 
+    @property
+    def floor(self) -> float:
+        return self.total + UNSEEN * (self.distinct + 1)
+
+    def emission(self, n: np.ndarray, classes: np.ndarray) -> np.ndarray:
+        """log10 of the share of a word with ``n`` > 0 occurrences in its class."""
+        return np.log10((n - DISCOUNT) / (self.inside[classes] + UNSEEN))
+
 
 def _rows(docs: DataFrame) -> DataFrame:
     """Rows with a key that repeated rows share, and whether they are held out; a null id counts as an empty one."""
@@ -109,32 +131,81 @@ def word_counts(rows: DataFrame) -> DataFrame:
     return stored(some.groupBy("word", "class").agg(F.sum("n").alias("n")), "words")
 
 
-def bigrams(rows: DataFrame, index: dict[str, int]) -> DataFrame:
-    """Packed bigram counts ``(block, n, body)`` over nodes: clustered words, then open classes and the end.
+def encoded(rows: DataFrame, sent: list[str]) -> DataFrame:
+    """Each row's tokens as numbers, ``(key, doc_id, held_out, ids, rare)``; ``rare`` has the words that aren't sent, in order."""
+    index = rows.sparkSession.sparkContext.broadcast({END: END_ID} | {w: k for k, w in enumerate(sent)})
+
+    def encode(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = index.value.get
+        for frame in frames(stream, FRAME_BYTES):
+            bodies, rare = [], []
+            for text in frame["text"]:
+                words = tokens(text)
+                ids = [known(w) for w in words]
+                others = [w for w, k in zip(words, ids, strict=True) if k is None]
+                if others:
+                    shapes = iter(others)
+                    ids = [k if k is not None else CLASSES - 2 - open_class(next(shapes)) for k in ids]
+                bodies.append(np.array(ids, "<i4").tobytes())
+                rare.append(others)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(frame["key"], pa.int64()),
+                    pa.array(frame["doc_id"], pa.string(), from_pandas=True),
+                    pa.array(frame["held_out"], pa.bool_()),
+                    pa.array(bodies, pa.binary()),
+                    pa.array(rare, pa.list_(pa.string())),
+                ],
+                names=["key", "doc_id", "held_out", "ids", "rare"],
+            )
+
+    some = rows.select("key", F.col("doc_id").cast("string").alias("doc_id"), "held_out", "text")
+    return stored(some.mapInArrow(encode, "key long, doc_id string, held_out boolean, ids binary, rare array<string>"), "tokens")
+
+
+def _chunks(stream: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, pa.RecordBatch]]:
+    """Numbers of all tokens of some rows, one after another, with the rows."""
+    for batch in stream:
+        sizes = np.cumsum(pc.binary_length(batch["ids"]).to_numpy()) // 4
+        start = 0
+        while start < batch.num_rows:
+            done = sizes[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(sizes, done + CHUNK, "right")))
+            part = batch.slice(start, stop - start)
+            yield np.frombuffer(b"".join(part["ids"].to_pylist()), "<i4"), part
+            start = stop
+
+
+def _open_numbers(top: pd.DataFrame, clustered: np.ndarray) -> np.ndarray:
+    """By a token's number less FIRST_ID: what ``clustered`` has for the first words, for others and the end the open class."""
+    shapes = CLASSES + np.arange(OPEN + 1)
+    others = top["class"].to_numpy(np.int64)[len(clustered) :]
+    return np.concatenate((shapes[:-1][::-1], shapes[-1:], clustered, others))
+
+
+def bigrams(numbered: DataFrame, top: pd.DataFrame) -> DataFrame:
+    """Packed bigram counts ``(block, n, body)`` over nodes: the first words, then open classes and the end.
 
     A block has all pairs that some nodes are part of, in both directions. There
     are at most (CLUSTERED + 9) squared pairs, however large the corpus is.
     """
     nodes = CLUSTERED + OPEN + 1
-    sent = rows.sparkSession.sparkContext.broadcast({w: k for w, k in index.items() if k < CLUSTERED})
+    first = np.arange(min(CLUSTERED, len(top))) - CLUSTERED + CLASSES
+    sent = numbered.sparkSession.sparkContext.broadcast(_open_numbers(top, first) + CLUSTERED - CLASSES)
 
     def count(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, memory = sent.value, {}
         held = []
-        for frame in frames(stream, FRAME_BYTES):
-            flat = [END]
-            for text in frame["text"]:
-                flat += tokens(text)
-            ids = _nodes(flat, known, memory)
-            codes, n = np.unique(ids[:-1] * nodes + ids[1:], return_counts=True)
-            held.append((codes, n))
+        for ids, _ in _chunks(stream):
+            at = sent.value[ids - FIRST_ID]
+            before = np.concatenate(([nodes - 1], at[:-1]))
+            held.append(np.unique(before * nodes + at, return_counts=True))
             if len(held) == 4:
                 held = [_added(held)]
         if held:
             codes, n = _added(held)
             yield pa.RecordBatch.from_arrays([pa.array(codes // nodes, pa.int32()), pa.array(codes % nodes, pa.int32()), pa.array(n)], names=["u", "v", "n"])
 
-    pairs = rows.where("NOT held_out").select("text").mapInArrow(count, "u int, v int, n long").groupBy("u", "v").agg(F.sum("n").alias("n"))
+    pairs = numbered.where("NOT held_out").select("ids").mapInArrow(count, "u int, v int, n long").groupBy("u", "v").agg(F.sum("n").alias("n"))
 
     def pack(group: pd.DataFrame) -> pd.DataFrame:
         body = group[["u", "v", "n"]].to_numpy(np.int64).tobytes()
@@ -145,21 +216,6 @@ def bigrams(rows: DataFrame, index: dict[str, int]) -> DataFrame:
     return stored(blocks.groupBy("block").applyInPandas(pack, "block int, n long, body binary"), "bigrams")
 
 
-def _nodes(flat: list[str], known: dict[str, int], memory: dict[str, int]) -> np.ndarray:
-    """Node of each token; the memory of others' shapes is bounded."""
-    if len(memory) > 300_000:
-        memory.clear()
-    out = []
-    for word in flat:
-        k = known.get(word)
-        if k is None:
-            k = memory.get(word)
-            if k is None:
-                k = memory[word] = CLUSTERED + open_class(word) - CLASSES
-        out.append(k)
-    return np.array(out, np.int64)
-
-
 def _added(some: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     codes, back = np.unique(np.concatenate([c for c, _ in some]), return_inverse=True)
     return codes, np.bincount(back, np.concatenate([n for _, n in some]), len(codes)).astype(np.int64)
@@ -170,11 +226,12 @@ def _xlogx(x: np.ndarray) -> np.ndarray:
 
 
 def moves(nodes: np.ndarray, pairs: np.ndarray, assigned: np.ndarray, matrix: np.ndarray) -> list[tuple[int, int, float]]:
-    """For each node its best class and the gain in log-likelihood, the other nodes staying where they are.
+    """For each node its best class and the gain in log-likelihood; the nodes move one after another.
 
     ``pairs`` has rows ``(u, v, n)``, all that the nodes are part of.
     """
     out = []
+    assigned = assigned.copy()
     by_left, by_right = pairs[np.argsort(pairs[:, 0], kind="stable")], pairs[np.argsort(pairs[:, 1], kind="stable")]
     count = len(matrix)
     for w in nodes.tolist():
@@ -197,6 +254,12 @@ def moves(nodes: np.ndarray, pairs: np.ndarray, assigned: np.ndarray, matrix: np
         gain -= _xlogx(rows + right.sum() + alone) - _xlogx(rows) + _xlogx(columns + left.sum() + alone) - _xlogx(columns)
         best = int(np.argmax(gain[:CLASSES]))
         out.append((w, best, float(gain[best] - gain[own])))
+        if gain[best] - gain[own] > LEAST:
+            assigned[w] = best
+            without[best] += right
+            without[:, best] += left
+            without[best, best] += alone
+            matrix = without
     return out
 
 
@@ -221,55 +284,335 @@ def cluster(packed: DataFrame, clustered: int) -> tuple[np.ndarray, np.ndarray]:
         return out.reshape(ALL_CLASSES, ALL_CLASSES)
 
     matrix = matrix_of(assigned)
+    idle = 0
     for sweep in range(SWEEPS if clustered else 0):
+        # Words that move at once all see the same classes and would crowd into one, so few blocks take part.
+        turn = packed.where(F.col("block") % TURNS == sweep % TURNS)
 
-        def best(batches: Iterator[pd.DataFrame], now=assigned, known=matrix, half=sweep % 2) -> Iterator[pd.DataFrame]:
+        def best(batches: Iterator[pd.DataFrame], now=assigned, known=matrix) -> Iterator[pd.DataFrame]:
             for frame in batches:
                 for block, body in zip(frame["block"], frame["body"], strict=True):
                     pairs = np.frombuffer(body, np.int64).reshape(-1, 3)
                     mine = np.arange(int(block), clustered, BLOCKS)
-                    mine = mine[mine // BLOCKS % 2 == half]
                     yield pd.DataFrame(moves(mine, pairs, now, known), columns=["w", "c", "gain"])
 
         assigned = assigned.copy()
-        moved = 0
-        for row in packed.repartition(BLOCKS, "block").mapInPandas(best, "w long, c long, gain double").where("gain > 1e-6").collect():
+        found = turn.repartition(BLOCKS, "block").mapInPandas(best, "w long, c long, gain double").where(F.col("gain") > LEAST).collect()
+        for row in found:
             assigned[row["w"]] = row["c"]
-            moved += 1
-        matrix = matrix_of(assigned)
-        if not moved and sweep % 2:
+        idle = 0 if found else idle + 1
+        if idle == TURNS:
             break
+        matrix = matrix_of(assigned)
     return assigned, matrix
 
 
-def fit(rows: DataFrame) -> tuple[Model, DataFrame]:
-    """The model from the training rows, and their word counts."""
+def _whole(stream: Iterator[pa.RecordBatch], name: str) -> Iterator[pa.RecordBatch]:
+    """Sorted rows, in batches that part no group of equal ``name``."""
+    held: list[pa.RecordBatch] = []
+    for batch in stream:
+        if not batch.num_rows:
+            continue
+        differ = pc.not_equal(batch[name], batch[name][-1]).to_numpy(zero_copy_only=False)
+        cut = int(np.flatnonzero(differ)[-1]) + 1 if differ.any() else 0
+        if held and (cut or batch[name][0] != held[-1][name][0]):
+            whole = pa.concat_batches([*held, batch.slice(0, cut)])
+            held = []
+            yield whole
+        elif cut:
+            yield batch.slice(0, cut)
+        held.append(batch.slice(cut))
+    if held:
+        yield pa.concat_batches(held)
+
+
+def _group_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Number of each row's group of equal neighbours, and the first row of each."""
+    new = np.ones(len(column), bool)
+    new[1:] = pc.not_equal(column.slice(1), column.slice(0, len(column) - 1)).to_numpy(zero_copy_only=False)
+    return np.cumsum(new) - 1, np.flatnonzero(new)
+
+
+def contexts(numbered: DataFrame, top: pd.DataFrame, numbers: np.ndarray, clustered: int) -> DataFrame:
+    """``(word, rank, open, body)`` of the training words but the first ones: classes around them and how often, task by task.
+
+    ``rank`` is the place of a sent word, -1 for others.
+    """
+    send = numbered.sparkSession.sparkContext.broadcast((numbers, pa.array(top["word"], pa.string())))
+
+    def count(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers, sent = send.value
+        for ids, rows in _chunks(stream):
+            classes = numbers[ids - FIRST_ID]
+            at = np.flatnonzero((ids >= clustered) | (ids < END_ID))
+            if not len(at):
+                continue
+            rare = rows["rare"].flatten().dictionary_encode()
+            word = ids[at].astype(np.int64)
+            word[word < 0] = len(sent) + rare.indices.to_numpy().astype(np.int64)
+            before = np.where(at > 0, classes[at - 1], END_CLASS)
+            codes = np.concatenate((word * 2 * ALL_CLASSES + before, word * 2 * ALL_CLASSES + ALL_CLASSES + classes[at + 1]))
+            found, n = np.unique(codes, return_counts=True)
+            word_of = found // (2 * ALL_CLASSES)
+            starts = np.flatnonzero(np.diff(word_of, prepend=-1))
+            body = np.empty(len(found), _CONTEXT)
+            body["code"], body["n"] = found % (2 * ALL_CLASSES), n
+            offsets = (np.append(starts, len(found)) * _CONTEXT.itemsize).astype(np.int32)
+            some = word_of[starts]
+            shape = np.zeros(len(sent) + len(rare.dictionary), np.int32)
+            shape[word] = numbers[ids[at] - FIRST_ID]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.concat_arrays([sent, rare.dictionary]).take(pa.array(some)),
+                    pa.array(np.where(some < len(sent), some, -1), pa.int32()),
+                    pa.array(shape[some], pa.int32()),
+                    pa.BinaryArray.from_buffers(pa.binary(), len(some), [None, pa.py_buffer(offsets), pa.py_buffer(body.tobytes())]),
+                ],
+                names=["word", "rank", "open", "body"],
+            )
+
+    return numbered.where("NOT held_out").select("ids", "rare").mapInArrow(count, "word string, rank int, open int, body binary")
+
+
+def _grown(n: np.ndarray, at: np.ndarray, of: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """``_xlogx(of[at] + n) - _xlogx(of[at])``; ``table`` has it for all places and small n."""
+    out = table[np.minimum(n, len(table) - 1), at]
+    large = np.flatnonzero(n >= len(table))
+    old = of[at[large]]
+    out[large] = _xlogx(old + n[large].reshape(-1, *[1] * (old.ndim - 1))) - _xlogx(old)
+    return out
+
+
+def best_classes(word_of: np.ndarray, contexts: np.ndarray, own: np.ndarray, matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For words 0, 1, .. with their contexts: the class each goes to or its own, and how often the word is there."""
+    codes, back = np.unique(word_of * 2 * ALL_CLASSES + contexts["code"], return_inverse=True)
+    n = np.bincount(back, contexts["n"], len(codes)).astype(np.int64)
+    word, code = codes // (2 * ALL_CLASSES), codes % (2 * ALL_CLASSES)
+    count = int(word[-1]) + 1
+    # Bigrams of each class with the class of a context, and those of each class at all.
+    cells = np.concatenate((matrix[:, :CLASSES], matrix[:CLASSES].T))
+    sums = np.stack((matrix.sum(axis=0)[:CLASSES], matrix.sum(axis=1)[:CLASSES]))
+    small = np.arange(16)[:, None, None]
+    of_cells, of_sums = (_xlogx(x + small) - _xlogx(x) for x in (cells, sums))
+    left = np.bincount(word, n * (code < ALL_CLASSES), count).astype(np.int64)
+    right = np.bincount(word, n * (code >= ALL_CLASSES), count).astype(np.int64)
+    starts = np.searchsorted(word, np.arange(count))
+    # What the words give where they are; the matrix has them there.
+    there = np.concatenate((matrix, matrix.T))[code, own[word]]
+    stay = np.bincount(word, _xlogx(there) - _xlogx(np.maximum(there - n, 0)), count)
+    for side, total in enumerate((left, right)):
+        there = matrix.sum(axis=side)[own]
+        stay -= _xlogx(there) - _xlogx(there - total)
+    best = np.empty(count, np.int32)
+    for first, last in _cuts(starts, len(word)):
+        part = slice(starts[first], starts[last] if last < count else len(word))
+        gain = np.add.reduceat(_grown(n[part], code[part], cells, of_cells), starts[first:last] - starts[first])
+        for side, total in enumerate((left, right)):
+            gain -= _grown(total[first:last], np.full(last - first, side), sums, of_sums)
+        # All words are weighed at once and would meet in a class without words, whatever they are.
+        gain[:, sums.sum(axis=0) == 0] = -np.inf
+        leaves = gain.max(axis=1) - stay[first:last] > np.log(CLASSES)
+        best[first:last] = np.where(leaves, np.argmax(gain, axis=1), own[first:last])
+    return best, left
+
+
+def _cuts(starts: np.ndarray, length: int) -> Iterator[tuple[int, int]]:
+    """Ranges of words with about WEIGHED contexts each."""
+    first = 0
+    while first < len(starts):
+        last = max(first + 1, int(np.searchsorted(starts, starts[first] + WEIGHED)))
+        yield first, last
+        first = last
+
+
+def lexicon(numbered: DataFrame, top: pd.DataFrame, assigned: np.ndarray, clustered: int, matrix: np.ndarray) -> DataFrame:
+    """``(word, rank, open, class, n)`` of all training words but the first ones, each in its best class."""
+    numbers = _open_numbers(top, assigned[:clustered])
+
+    def assign(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _whole(stream, "word"):
+            word_of, firsts = _group_of(batch["word"])
+            body = np.frombuffer(b"".join(batch["body"].to_pylist()), _CONTEXT)
+            sizes = pc.binary_length(batch["body"]).to_numpy() // _CONTEXT.itemsize
+            one = batch.take(pa.array(firsts))
+            best, n = best_classes(np.repeat(word_of, sizes), body, one["open"].to_numpy(), matrix)
+            yield pa.RecordBatch.from_arrays(
+                [one["word"], one["rank"], one["open"], pa.array(best, pa.int32()), pa.array(n, pa.int64())],
+                names=["word", "rank", "open", "class", "n"],
+            )
+
+    gathered = contexts(numbered, top, numbers, clustered).repartition("word").sortWithinPartitions("word")
+    return stored(gathered.mapInArrow(assign, "word string, rank int, open int, class int, n long"), "lexicon")
+
+
+def fit(rows: DataFrame) -> tuple[Model, DataFrame, DataFrame]:
+    """The model from the training rows, all rows' tokens as numbers, and the words that aren't sent with their classes."""
     counts = word_counts(rows)
-    total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    ends = F.sum(F.when(F.col("word") == END, F.col("n")))
+    total, distinct, ends = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.coalesce(ends, F.lit(0))).first()
     top = counts.where(F.length("word") <= LONGEST).where(F.col("word") != END).orderBy(F.desc("n"), "word").limit(SENT).toPandas()
-    index = {w: k for k, w in enumerate(top["word"])}
-    clustered = min(CLUSTERED, len(index))
-    assigned, matrix = cluster(bigrams(rows, index), clustered)
-    n = top["n"].to_numpy(np.float64)
-    classes = np.array([assigned[k] if k < CLUSTERED else c for k, c in enumerate(top["class"].tolist())], np.int64)
-    # Open classes: all counted words but the clustered ones.
-    sums = np.zeros((ALL_CLASSES, 2))
-    for row in counts.groupBy("class").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect():
-        sums[row["class"]] = row["n"], row["v"]
-    for c, k in zip(top["class"][:clustered].tolist(), n[:clustered].tolist(), strict=True):
-        sums[c] -= k, 1
-    inside = np.bincount(classes[:clustered], n[:clustered], ALL_CLASSES)
-    opened = (n + UNSEEN) / (sums[classes, 0] + UNSEEN * (sums[classes, 1] + 1))
-    with np.errstate(divide="ignore", invalid="ignore"):
-        emit = np.log10(np.where(np.arange(len(n)) < clustered, n / inside[classes], opened))
-        base = np.log10((n + UNSEEN) / (total + UNSEEN * (distinct + 1)))
-        # Every class gets a share, so that what training hasn't seen has a probability.
-        overall = (matrix.sum(axis=0) + UNSEEN) / (matrix.sum() + UNSEEN * ALL_CLASSES)
-        step = np.log10((matrix + PRIOR * overall) / (matrix.sum(axis=1, keepdims=True) + PRIOR))
-    return Model(index, classes, emit, base, step, sums, int(total), int(distinct)), counts
-
-
-_PARTIAL = "key long, word string, class int, m long, doc_id string, held_out boolean, n_tokens long, n_known long, base double, score double"
+    numbered = encoded(rows, top["word"].tolist())
+    clustered = min(CLUSTERED, len(top))
+    assigned, matrix = cluster(bigrams(numbered, top), clustered)
+    others = lexicon(numbered, top, assigned, clustered, matrix)
+    classes = _open_numbers(top, assigned[:clustered])
+    for row in others.where("rank >= 0").select("rank", "class").collect():
+        classes[row["rank"] - FIRST_ID] = row["class"]
+    # Tokens of a class, and its words by shape.
+    inside, shapes = np.zeros(ALL_CLASSES), np.zeros((END_CLASS, OPEN))
+    inside[END_CLASS] = ends
+    for row in others.groupBy("class", "open").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect():
+        inside[row["class"]] += row["n"]
+        shapes[row["class"], row["open"] - CLASSES] += row["v"]
+    for c, shape, n in zip(assigned[:clustered], top["class"][:clustered], top["n"][:clustered], strict=True):
+        inside[c] += n
+        shapes[c, shape - CLASSES] += 1
+    model = Model(top["n"].to_numpy(np.int64), classes, inside, shapes, int(total), int(distinct))
+    return model, numbered, others.where("rank < 0").select("word", "class", "n")
+
+
+_PARTIAL = "key long, pos int, word string, copies long, doc_id string, held_out boolean, seq binary, n_known long, base double, score double"
+_CLASSED = "key long, copies long, doc_id string, held_out boolean, seq binary, n_known long, base double, score double"
+
+
+def _names(schema: str) -> list[str]:
+    return [part.split()[0] for part in schema.split(",")]
+
+
+def classed(numbered: DataFrame, others: DataFrame, model: Model) -> DataFrame:
+    """Per different row the classes of its tokens and what doesn't hang on the order of classes.
+
+    ``(key, copies, doc_id, held_out, seq, n_known, base, score)``: ``score`` is
+    the words' share in their classes so far. Words that aren't sent are joined
+    with their classes and go back to their places. A task sends equal rows once.
+    """
+    sent = numbered.sparkSession.sparkContext.broadcast(model)
+
+    def spread(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m, seen = sent.value, set()
+        emit, base = np.zeros(len(m.classes)), np.zeros(len(m.classes))
+        words = slice(-FIRST_ID, None)
+        emit[words] = m.emission(m.counts, m.classes[words])
+        base[words] = np.log10((m.counts + UNSEEN) / m.floor)
+        base[END_ID - FIRST_ID] = np.log10((m.inside[END_CLASS] + UNSEEN) / m.floor)
+        there = np.arange(len(m.classes)) >= -FIRST_ID
+        there[END_ID - FIRST_ID] = m.inside[END_CLASS] > 0
+        seqs = np.where(np.arange(len(m.classes)) < END_ID - FIRST_ID, np.arange(len(m.classes)) + FIRST_ID, m.classes).astype(np.int8)
+        for ids, rows in _chunks(stream):
+            sizes = pc.binary_length(rows["ids"]).to_numpy() // 4
+            starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+            at = ids - FIRST_ID
+            keys = rows["key"].to_numpy()
+            new = np.array([not (k in seen or seen.add(k)) for k in keys.tolist()])
+            flat = seqs[at].tobytes()
+            bodies = [flat[a : a + n] if w else None for a, n, w in zip(starts.tolist(), sizes.tolist(), new.tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    rows["key"],
+                    pa.array(np.full(len(keys), -1), pa.int32()),
+                    # Its word is none, but spreads such rows over the join.
+                    pa.array([f"\n{k}" for k in keys.tolist()], pa.string()),
+                    pa.array(np.ones(len(keys), np.int64)),
+                    rows["doc_id"],
+                    rows["held_out"],
+                    pa.array(bodies, pa.binary()),
+                    pa.array(np.add.reduceat(there[at].astype(np.int64), starts), pa.int64()),
+                    pa.array(np.add.reduceat(base[at], starts)),
+                    pa.array(np.add.reduceat(emit[at], starts)),
+                ],
+                names=_names(_PARTIAL),
+            )
+            row_of = np.repeat(np.arange(len(sizes)), sizes)
+            rare = np.flatnonzero(ids < END_ID)
+            kept = new[row_of[rare]]
+            place = rare[kept]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(keys[row_of[place]], pa.int64()),
+                    pa.array(place - starts[row_of[place]], pa.int32()),
+                    rows["rare"].flatten().filter(pa.array(kept)),
+                    *[pa.nulls(len(place), kind) for kind in (pa.int64(), pa.string(), pa.bool_(), pa.binary(), pa.int64(), pa.float64(), pa.float64())],
+                ],
+                names=_names(_PARTIAL),
+            )
+
+    def gather(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = sent.value
+        for batch in _whole(stream, "key"):
+            group, firsts = _group_of(batch["key"])
+            pos = batch["pos"].to_numpy()
+            copies = np.bincount(group, pc.fill_null(batch["copies"], 0).to_numpy(), len(firsts)).astype(np.int64)
+            full = np.flatnonzero(pc.is_valid(batch["seq"]).to_numpy(zero_copy_only=False))
+            full = full[np.diff(group[full], prepend=-1) > 0]
+            docs = batch.take(pa.array(full))
+            bodies = docs["seq"].to_pylist()
+            seq = np.frombuffer(bytearray(b"".join(bodies)), np.int8)
+            sizes = np.array([len(b) for b in bodies])
+            # The same word of equal rows comes once from each task.
+            once = (pos >= 0) & ((np.diff(group, prepend=-1) > 0) | (np.diff(pos, prepend=-1) > 0))
+            found = batch.filter(pa.array(once))
+            n = pc.fill_null(found["n"], 0).to_numpy()
+            slots = np.flatnonzero(seq < END_ID)
+            unseen = ALL_CLASSES + END_ID - 1 - seq[slots].astype(np.int64)
+            c = np.where(n > 0, pc.fill_null(found["class"], 0).to_numpy(), unseen)
+            seq[slots] = c
+            of = group[once]
+            emit = np.where(n > 0, m.emission(np.maximum(n, 1), _STATES[c]), 0)
+            base = np.log10((n + UNSEEN) / m.floor)
+            sums = [np.bincount(of, x, len(firsts)) for x in (n > 0, base, emit)]
+            body, ends = seq.tobytes(), np.cumsum(sizes)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    docs["key"],
+                    pa.array(copies, pa.int64()),
+                    docs["doc_id"],
+                    docs["held_out"],
+                    pa.array([body[e - k : e] for e, k in zip(ends.tolist(), sizes.tolist(), strict=True)], pa.binary()),
+                    pa.array(docs["n_known"].to_numpy() + sums[0].astype(np.int64), pa.int64()),
+                    pa.array(docs["base"].to_numpy() + sums[1], pa.float64()),
+                    pa.array(docs["score"].to_numpy() + sums[2], pa.float64()),
+                ],
+                names=_names(_CLASSED),
+            )
+
+    joined = numbered.mapInArrow(spread, _PARTIAL).join(others, "word", "left").drop("word")
+    dealt = joined.repartition("key").sortWithinPartitions("key", "pos")
+    return stored(dealt.mapInArrow(gather, _CLASSED), "classed")
+
+
+def _steps(seqs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Each token's step, from a state to a kind of token, as a cell of the matrix, and where the rows begin."""
+    flat = np.frombuffer(b"".join(seqs), np.int8).astype(np.int64)
+    starts = np.concatenate(([0], np.cumsum([len(s) for s in seqs])[:-1])).astype(np.int64)
+    before = np.concatenate(([END_CLASS], _STATES[flat[:-1]]))
+    before[starts] = END_CLASS
+    return before * len(_STATES) + flat, starts
+
+
+def transitions(docs: DataFrame, model: Model) -> np.ndarray:
+    """log10 of the frequency of each class after each state, from the training rows, and of an unseen word of each shape."""
+    width = len(_STATES)
+
+    def add(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(ALL_CLASSES * width)
+        for frame in frames(stream, FRAME_BYTES):
+            cells, _ = _steps(frame["seq"].tolist())
+            total += np.bincount(cells, np.repeat(frame["copies"].to_numpy(), [len(s) for s in frame["seq"]]), len(total))
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some].astype(np.int64))], names=["cell", "n"])
+
+    matrix = np.zeros(ALL_CLASSES * width)
+    counted = docs.where("NOT held_out").select("seq", "copies").mapInArrow(add, "cell long, n long")
+    for row in counted.groupBy("cell").agg(F.sum("n").alias("n")).collect():
+        matrix[row["cell"]] = row["n"]
+    matrix = matrix.reshape(ALL_CLASSES, width)[:, :ALL_CLASSES]
+    # Every class gets a share, so that what training hasn't seen has a probability.
+    overall = (matrix.sum(axis=0) + UNSEEN) / (matrix.sum() + UNSEEN * ALL_CLASSES)
+    share = (matrix + PRIOR * overall) / (matrix.sum(axis=1, keepdims=True) + PRIOR)
+    # What known words leave to those unseen, of whom there may be as many.
+    left = (DISCOUNT * model.shapes + UNSEEN / OPEN) / (model.inside[:END_CLASS, None] + UNSEEN)
+    unseen = share[:, :END_CLASS] @ left / (model.shapes.sum(axis=0) + 1)
+    return np.log10(np.hstack((share, unseen)))
 
 
 def score_documents(docs: DataFrame) -> DataFrame:
@@ -281,95 +624,35 @@ def score_documents(docs: DataFrame) -> DataFrame:
     as they come in. With no training rows every token is unknown; an empty
     table gives no rows; other columns play no part.
     """
-    rows = _rows(docs)
-    model, counts = fit(rows)
-    sent = rows.sparkSession.sparkContext.broadcast(model)
-    floor = model.total + UNSEEN * (model.distinct + 1)
+    model, numbered, others = fit(_rows(docs))
+    rows = classed(numbered, others, model)
+    sent = rows.sparkSession.sparkContext.broadcast(transitions(rows, model).ravel())
+
+    shape = "copies long, doc_id string, held_out boolean, n_known long, base double, n_tokens long, score double"
+    names = _names(shape)
 
     def score(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = sent.value
-        known, memory = m.index.get, {}
-        for frame in frames(stream, FRAME_BYTES):
-            words, sizes = [], []
-            for text in frame["text"]:
-                some = tokens(text)
-                words += some
-                sizes.append(len(some))
-            ids = np.fromiter((known(w, -1) for w in words), np.int64, len(words))
-            there = ids >= 0
-            classes = np.where(there, m.classes[ids], 0) if len(m.index) else np.zeros(len(ids), np.int64)
-            rare = np.flatnonzero(~there).tolist()
-            if len(memory) > 300_000:
-                memory.clear()
-            for k in rare:
-                word = words[k]
-                if word not in memory:
-                    memory[word] = open_class(word)
-                classes[k] = memory[word]
-            starts = np.concatenate(([0], np.cumsum(sizes)[:-1])).astype(np.int64)
-            before = np.concatenate(([END_CLASS], classes[:-1]))
-            before[starts] = END_CLASS
-            steps = np.add.reduceat(m.step[before, classes], starts)
-            base = np.add.reduceat(np.where(there, m.base[ids], 0) if len(m.index) else np.zeros(len(ids)), starts)
-            emit = np.add.reduceat(np.where(there, m.emit[ids], 0) if len(m.index) else np.zeros(len(ids)), starts)
-            n_known = np.add.reduceat(there.astype(np.int64), starts)
-            keys = frame["key"].to_numpy()
-            doc_of = np.repeat(np.arange(len(sizes)), sizes)
-            out = Counter(zip(doc_of[rare].tolist(), [words[k] for k in rare], strict=True))
-            docs_, rest = [d for d, _ in out], [w for _, w in out]
+        for batch in stream:
+            if not batch.num_rows:
+                continue
+            cells, starts = _steps(batch["seq"].to_pylist())
+            steps = np.add.reduceat(sent.value[cells], starts)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(keys[docs_] if docs_ else [], pa.int64()),
-                    pa.array(rest, pa.string()),
-                    pa.array([memory[w] for w in rest], pa.int32()),
-                    pa.array(list(out.values()), pa.int64()),
-                    *[pa.nulls(len(rest), kind) for kind in (pa.string(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64())],
+                    *[batch[name] for name in names[:-2]],
+                    pc.binary_length(batch["seq"]).cast(pa.int64()),
+                    pa.array(batch["score"].to_numpy() + steps),
                 ],
-                names=_NAMES,
-            )
-            # A row of its own for the document. Its word is none, but spreads such rows over the join.
-            none = [f"\n{k}" for k in keys]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(keys, pa.int64()),
-                    pa.array(none, pa.string()),
-                    pa.nulls(len(keys), pa.int32()),
-                    pa.nulls(len(keys), pa.int64()),
-                    pa.array(frame["doc_id"], pa.string(), from_pandas=True),
-                    pa.array(frame["held_out"], pa.bool_()),
-                    pa.array(sizes, pa.int64()),
-                    pa.array(n_known, pa.int64()),
-                    pa.array(base, pa.float64()),
-                    pa.array(steps + emit, pa.float64()),
-                ],
-                names=_NAMES,
+                names=names,
             )
 
-    scored = rows.select("key", F.col("doc_id").cast("string").alias("doc_id"), "held_out", "text").mapInArrow(score, _PARTIAL)
-    joined = scored.join(counts.select("word", F.col("n").alias("c")), "word", "left")
-    c = F.coalesce("c", F.lit(0))
-    width = F.array(*[F.lit(float(n + UNSEEN * (v + 1))) for n, v in model.open_sums])
-    rare = F.col("m").isNotNull()
-    emission = F.col("m") * F.log10((c + UNSEEN) / F.get(width, F.col("class")))
-    summed = joined.groupBy("key").agg(
-        F.count_if(~rare).alias("copies"),
-        F.max("doc_id").alias("doc_id"),
-        F.max("held_out").alias("held_out"),
-        F.max("n_tokens").alias("n_tokens"),
-        F.sum(F.when(rare, F.when(c > 0, F.col("m")).otherwise(0)).otherwise(F.col("n_known"))).alias("n_known"),
-        F.sum(F.when(rare, F.col("m") * F.log10((c + UNSEEN) / floor)).otherwise(F.col("base"))).alias("base"),
-        F.sum(F.when(rare, emission).otherwise(F.col("score"))).alias("score"),
-    )
-    each = summed.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    each = rows.mapInArrow(score, shape).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     return each.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         "held_out",
         "n_tokens",
-        F.expr("n_known DIV copies").alias("n_known"),
+        "n_known",
         F.lit(model.total).cast("long").alias("train_tokens"),
-        (F.col("base") / F.col("copies")).alias("base_score"),
-        (F.col("score") / F.col("copies")).alias("score"),
+        F.col("base").alias("base_score"),
+        "score",
     )
-
-
-_NAMES = [part.strip().split(" ")[0] for part in _PARTIAL.split(",")]

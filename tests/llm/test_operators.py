@@ -156,6 +156,25 @@ def test_brown_scores(odd, none, docs):
     assert brown_lm.score_documents(none).count() == 0
 
 
+def test_brown_clusters_all_words(spark):
+    # Words too long to be sent, and so never among the first ones, alike in shape.
+    after_the, after_of = ([f"{c * 70}{i}x" for i in range(30)] for c in "ab")
+    texts = [f"the {v} runs home now of {w} sleeps there" for v, w in zip(after_the, after_of, strict=True) for _ in range(8)]
+    texts += ["the cat runs home now of dog sleeps there"] * 300
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    _, _, others = brown_lm.fit(brown_lm._rows(frame))
+    classes = {r["word"]: r["class"] for r in others.collect()}
+    assert set(classes) == {*after_the, *after_of}
+    found = [{classes[w] for w in some} for some in (after_the, after_of)]
+    assert not found[0] & found[1] and max(found[0] | found[1]) < brown_lm.CLASSES
+    # A word whose neighbours are those of class 5 goes there, one at home among its shape stays.
+    matrix = np.zeros((brown_lm.ALL_CLASSES, brown_lm.ALL_CLASSES))
+    matrix[3, 5], matrix[5, 4], matrix[3, 64], matrix[64, 4], matrix[1, 64], matrix[64, 2] = 900, 900, 11, 11, 500, 500
+    contexts = np.array([(3, 10), (73 + 4, 10), (1, 1), (73 + 2, 1)], brown_lm._CONTEXT)
+    best, n = brown_lm.best_classes(np.array([0, 0, 1, 1]), contexts, np.array([64, 64]), matrix)
+    assert best.tolist() == [5, 64] and n.tolist() == [10, 1]
+
+
 def test_maxscore(spark):
     draw = np.random.default_rng(2)
     vectors = [(k, [float(x) for x in draw.normal(0, 0.1, 8)]) for k in range(60)] + [(k, [0.5] * 8) for k in range(60, 130)]
