@@ -160,7 +160,7 @@ def encoded(rows: DataFrame, sent: list[str]) -> DataFrame:
             )
 
     some = rows.select("key", F.col("doc_id").cast("string").alias("doc_id"), "held_out", "text")
-    return stored(some.mapInArrow(encode, "key long, doc_id string, held_out boolean, ids binary, rare array<string>"), "tokens")
+    return stored(some.mapInArrow(encode, "key long, doc_id string, held_out boolean, ids binary, rare array<string>"), "tokens", "zstd")
 
 
 def _chunks(stream: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, pa.RecordBatch]]:
@@ -442,7 +442,7 @@ def lexicon(numbered: DataFrame, top: pd.DataFrame, assigned: np.ndarray, cluste
             )
 
     gathered = contexts(numbered, top, numbers, clustered).repartition("word").sortWithinPartitions("word")
-    return stored(gathered.mapInArrow(assign, "word string, rank int, open int, class int, n long"), "lexicon")
+    return stored(gathered.mapInArrow(assign, "word string, rank int, open int, class int, n long"), "lexicon", "zstd")
 
 
 def fit(rows: DataFrame) -> tuple[Model, DataFrame, DataFrame]:
@@ -471,7 +471,6 @@ def fit(rows: DataFrame) -> tuple[Model, DataFrame, DataFrame]:
     return model, numbered, others.where("rank < 0").select("word", "class", "n")
 
 
-_PARTIAL = "key long, pos int, word string, copies long, doc_id string, held_out boolean, seq binary, n_known long, base double, score double"
 _CLASSED = "key long, copies long, doc_id string, held_out boolean, seq binary, n_known long, base double, score double"
 
 
@@ -479,6 +478,11 @@ def _names(schema: str) -> list[str]:
     return [part.split()[0] for part in schema.split(",")]
 
 
+def _first_ones(keys: pa.Array, seen: set[int]) -> np.ndarray:
+    """Which keys the task hasn't seen before."""
+    return np.array([not (k in seen or seen.add(k)) for k in keys.to_pylist()])
+
+
 def classed(numbered: DataFrame, others: DataFrame, model: Model) -> DataFrame:
     """Per different row the classes of its tokens and what doesn't hang on the order of classes.
 
@@ -502,17 +506,13 @@ def classed(numbered: DataFrame, others: DataFrame, model: Model) -> DataFrame:
             sizes = pc.binary_length(rows["ids"]).to_numpy() // 4
             starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
             at = ids - FIRST_ID
-            keys = rows["key"].to_numpy()
-            new = np.array([not (k in seen or seen.add(k)) for k in keys.tolist()])
+            new = _first_ones(rows["key"], seen)
             flat = seqs[at].tobytes()
             bodies = [flat[a : a + n] if w else None for a, n, w in zip(starts.tolist(), sizes.tolist(), new.tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [
                     rows["key"],
-                    pa.array(np.full(len(keys), -1), pa.int32()),
-                    # Its word is none, but spreads such rows over the join.
-                    pa.array([f"\n{k}" for k in keys.tolist()], pa.string()),
-                    pa.array(np.ones(len(keys), np.int64)),
+                    pa.array(np.ones(rows.num_rows, np.int64)),
                     rows["doc_id"],
                     rows["held_out"],
                     pa.array(bodies, pa.binary()),
@@ -520,20 +520,22 @@ def classed(numbered: DataFrame, others: DataFrame, model: Model) -> DataFrame:
                     pa.array(np.add.reduceat(base[at], starts)),
                     pa.array(np.add.reduceat(emit[at], starts)),
                 ],
-                names=_names(_PARTIAL),
+                names=_names(_CLASSED),
             )
+
+    def places(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for ids, rows in _chunks(stream):
+            sizes = pc.binary_length(rows["ids"]).to_numpy() // 4
+            starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
             row_of = np.repeat(np.arange(len(sizes)), sizes)
             rare = np.flatnonzero(ids < END_ID)
-            kept = new[row_of[rare]]
+            kept = _first_ones(rows["key"], seen)[row_of[rare]]
             place = rare[kept]
+            of = row_of[place]
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(keys[row_of[place]], pa.int64()),
-                    pa.array(place - starts[row_of[place]], pa.int32()),
-                    rows["rare"].flatten().filter(pa.array(kept)),
-                    *[pa.nulls(len(place), kind) for kind in (pa.int64(), pa.string(), pa.bool_(), pa.binary(), pa.int64(), pa.float64(), pa.float64())],
-                ],
-                names=_names(_PARTIAL),
+                [rows["key"].take(pa.array(of)), pa.array(place - starts[of], pa.int32()), rows["rare"].flatten().filter(pa.array(kept))],
+                names=["key", "pos", "word"],
             )
 
     def gather(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -541,10 +543,11 @@ def classed(numbered: DataFrame, others: DataFrame, model: Model) -> DataFrame:
         for batch in _whole(stream, "key"):
             group, firsts = _group_of(batch["key"])
             pos = batch["pos"].to_numpy()
-            copies = np.bincount(group, pc.fill_null(batch["copies"], 0).to_numpy(), len(firsts)).astype(np.int64)
-            full = np.flatnonzero(pc.is_valid(batch["seq"]).to_numpy(zero_copy_only=False))
+            row = dict(zip(_names(_CLASSED)[1:], batch["doc"].flatten(), strict=True))
+            copies = np.bincount(group, pc.fill_null(row["copies"], 0).to_numpy(), len(firsts)).astype(np.int64)
+            full = np.flatnonzero(pc.is_valid(row["seq"]).to_numpy(zero_copy_only=False))
             full = full[np.diff(group[full], prepend=-1) > 0]
-            docs = batch.take(pa.array(full))
+            docs = {name: column.take(pa.array(full)) for name, column in row.items()}
             bodies = docs["seq"].to_pylist()
             seq = np.frombuffer(bytearray(b"".join(bodies)), np.int8)
             sizes = np.array([len(b) for b in bodies])
@@ -563,7 +566,7 @@ def classed(numbered: DataFrame, others: DataFrame, model: Model) -> DataFrame:
             body, ends = seq.tobytes(), np.cumsum(sizes)
             yield pa.RecordBatch.from_arrays(
                 [
-                    docs["key"],
+                    batch["key"].take(pa.array(full)),
                     pa.array(copies, pa.int64()),
                     docs["doc_id"],
                     docs["held_out"],
@@ -575,9 +578,13 @@ def classed(numbered: DataFrame, others: DataFrame, model: Model) -> DataFrame:
                 names=_names(_CLASSED),
             )
 
-    joined = numbered.mapInArrow(spread, _PARTIAL).join(others, "word", "left").drop("word")
-    dealt = joined.repartition("key").sortWithinPartitions("key", "pos")
-    return stored(dealt.mapInArrow(gather, _CLASSED), "classed")
+    words = numbered.select("key", "ids", "rare").mapInArrow(places, "key long, pos int, word string").join(others, "word", "left")
+    docs = numbered.select("key", "doc_id", "held_out", "ids").mapInArrow(spread, _CLASSED)
+    # A row of its own for the document, before its words.
+    doc = F.struct(*_names(_CLASSED)[1:]).alias("doc")
+    whole = docs.select("key", F.lit(-1).alias("pos"), doc).unionByName(words.select("key", "pos", "class", "n"), allowMissingColumns=True)
+    dealt = whole.repartition("key").sortWithinPartitions("key", "pos")
+    return stored(dealt.mapInArrow(gather, _CLASSED), "classed", "zstd")
 
 
 def _steps(seqs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
