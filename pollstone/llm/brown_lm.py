@@ -17,7 +17,6 @@ only rarer words go as text, and are joined with their classes.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -29,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pollstone.llm.common import WORD, frames, stored, text_or_empty
+from pollstone.llm.common import frames, stored, text_or_empty
 
 #: Words that are clustered in sweeps, words whose counts are sent to all tasks, and the longest such word.
 CLUSTERED = 4096
@@ -50,10 +49,10 @@ CHUNK, WEIGHED = 1 << 20, 20_000
 #: Bytes of text that a task has as words at a time.
 FRAME_BYTES = 2 << 20
 END = "\n"  # no word has a line end
-_WORD = re.compile(WORD)
-#: Characters that str.split takes for white space and words may have.
-_ODD = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_END = END.encode()
 OPEN = 8
+#: By an ASCII character that a word ends with.
+_KINDS = bytes(0 if c == "." else 1 if c == "," else 2 if c.isalnum() else 3 for c in map(chr, range(128)))
 END_CLASS = CLASSES + OPEN
 ALL_CLASSES = END_CLASS + 1
 #: The state after each kind of token: its class or, for words that training lacks, the class of their shape.
@@ -64,24 +63,33 @@ _CONTEXT = np.dtype([("code", "u1"), ("n", "<u4")])
 END_ID, FIRST_ID = -1, -1 - OPEN
 
 
-def open_class(word: str) -> int:
+def open_class(word: bytes) -> int:
     """The class of a word that isn't clustered, by its shape."""
-    if word == END:
+    if word == _END:
         return END_CLASS
     last = word[-1]
-    kind = 0 if last == "." else 1 if last == "," else 2 if last.isalnum() else 3
+    kind = _KINDS[last] if last < 128 else 3 - word.decode()[-1].isalnum()
     return CLASSES + 2 * kind + (not word.isascii())
 
 
-def tokens(text: str) -> list[str]:
+def tokens(text: bytes) -> list[bytes]:
     """Words with A-Z lower-cased, and the end."""
-    # The bytes' own lower() changes A-Z only.
-    lower = text.lower() if text.isascii() else text.encode().lower().decode()
-    words = _WORD.findall(lower) if _ODD.search(lower) else lower.split()
-    words.append(END)
+    # Of bytes, lower() changes A-Z only and split() goes by the six white space characters of WORD.
+    words = text.lower().split()
+    words.append(_END)
     return words
 
 
+class _Numbers(dict[bytes, int]):
+    """Numbers of words; a word that has none is noted in ``rare`` and gets the number of its shape."""
+
+    rare: list[bytes]
+
+    def __missing__(self, word: bytes) -> int:
+        self.rare.append(word)
+        return CLASSES - 2 - open_class(word)
+
+
 @dataclass
 class Model:
     """Counts of the sent words, classes by tokens' numbers, tokens of each class, its words by shape, tokens and words at all."""
@@ -113,7 +121,7 @@ def word_counts(rows: DataFrame) -> DataFrame:
     """``(word, class, n)`` of all training tokens, ``class`` being the open one."""
 
     def count(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: Counter[str] = Counter()
+        found: Counter[bytes] = Counter()
         for frame in frames(stream, FRAME_BYTES):
             for text in frame["text"]:
                 found.update(tokens(text))
@@ -122,32 +130,28 @@ def word_counts(rows: DataFrame) -> DataFrame:
                 found = Counter()
         yield batch(found)
 
-    def batch(found: Counter[str]) -> pa.RecordBatch:
+    def batch(found: Counter[bytes]) -> pa.RecordBatch:
         words = list(found)
         kinds = pa.array([open_class(w) for w in words], pa.int32())
         return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), kinds, pa.array(found.values(), pa.int64())], names=["word", "class", "n"])
 
-    some = rows.where("NOT held_out").select("text").mapInArrow(count, "word string, class int, n long")
+    some = rows.where("NOT held_out").select(F.col("text").cast("binary").alias("text")).mapInArrow(count, "word string, class int, n long")
     return stored(some.groupBy("word", "class").agg(F.sum("n").alias("n")), "words")
 
 
 def encoded(rows: DataFrame, sent: list[str]) -> DataFrame:
     """Each row's tokens as numbers, ``(key, doc_id, held_out, ids, rare)``; ``rare`` has the words that aren't sent, in order."""
-    index = rows.sparkSession.sparkContext.broadcast({END: END_ID} | {w: k for k, w in enumerate(sent)})
+    index = rows.sparkSession.sparkContext.broadcast({_END: END_ID} | {w.encode(): k for k, w in enumerate(sent)})
 
     def encode(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = index.value.get
+        known = _Numbers(index.value)
         for frame in frames(stream, FRAME_BYTES):
             bodies, rare = [], []
             for text in frame["text"]:
                 words = tokens(text)
-                ids = [known(w) for w in words]
-                others = [w for w, k in zip(words, ids, strict=True) if k is None]
-                if others:
-                    shapes = iter(others)
-                    ids = [k if k is not None else CLASSES - 2 - open_class(next(shapes)) for k in ids]
-                bodies.append(np.array(ids, "<i4").tobytes())
-                rare.append(others)
+                known.rare = []
+                bodies.append(np.fromiter(map(known.__getitem__, words), "<i4", len(words)).tobytes())
+                rare.append(known.rare)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(frame["key"], pa.int64()),
@@ -159,7 +163,7 @@ def encoded(rows: DataFrame, sent: list[str]) -> DataFrame:
                 names=["key", "doc_id", "held_out", "ids", "rare"],
             )
 
-    some = rows.select("key", F.col("doc_id").cast("string").alias("doc_id"), "held_out", "text")
+    some = rows.select("key", F.col("doc_id").cast("string").alias("doc_id"), "held_out", F.col("text").cast("binary").alias("text"))
     return stored(some.mapInArrow(encode, "key long, doc_id string, held_out boolean, ids binary, rare array<string>"), "tokens", "zstd")
 
 

@@ -156,6 +156,17 @@ def test_brown_scores(odd, none, docs):
     assert brown_lm.score_documents(none).count() == 0
 
 
+def test_brown_tokens():
+    # Characters that are white space to str.split alone, Turkish and Greek capitals, ends of all shapes.
+    text = "A\x1cB\x85 \xa0c\u2028D\x0bİx, Σ. \u3000 naïve\r\n! ² a٣ \x00\tÉ-"
+    words = WORD.findall(text.encode().lower().decode())
+    assert [w.decode() for w in brown_lm.tokens(text.encode())] == [*words, "\n"]
+    assert brown_lm.tokens(b"") == [b"\n"]
+    for w in words:
+        kind = 0 if w[-1] == "." else 1 if w[-1] == "," else 2 if w[-1].isalnum() else 3
+        assert brown_lm.open_class(w.encode()) == brown_lm.CLASSES + 2 * kind + (not w.isascii())
+
+
 def test_brown_clusters_all_words(spark):
     # Words too long to be sent, and so never among the first ones, alike in shape.
     after_the, after_of = ([f"{c * 70}{i}x" for i in range(30)] for c in "ab")
