@@ -888,7 +888,7 @@ def csv_records(spark, folder):
     """Texts with line ends, quotes and commas, written as CSV files and read back."""
     place = f"{shared_folder(spark)}/round_trips/{uuid.uuid4()}"
     fixtures.table(spark, folder, "documents").select("doc_id", "text").write.csv(place, header=True, escape='"')
-    paths = [row.path for row in list_files(spark, place).select("path").toLocalIterator()]
+    paths = readers.file_paths(list_files(spark, place))
     return csv_files.read_csv_files(spark, paths, Contract.of("texts", {"doc_id": "long", "text": "string"}))
 
 
@@ -896,21 +896,20 @@ def csv_records(spark, folder):
 def file_hashes(spark, folder):
     """Texts of a source, a thousand ids a file, written twice and in another order: which files hash alike."""
     place = f"{shared_folder(spark)}/round_trips/{uuid.uuid4()}"
-    docs = fixtures.table(spark, folder, "documents").select(
-        "doc_id",
-        F.coalesce("source", F.lit("none")).alias("source"),
-        F.expr("doc_id DIV 1000").alias("block"),
-        F.to_json(F.struct("text")).alias("line"),
-    )
-    for name, order in (("one", F.asc("doc_id")), ("same", F.asc("doc_id")), ("turned", F.desc("doc_id"))):
-        dealt = docs.repartition("source", "block").sortWithinPartitions("source", "block", order)
-        dealt.drop("doc_id").write.partitionBy("source", "block").text(f"{place}/copy={name}")
-    paths = [row.path for row in list_files(spark, place, "*.txt").select("path").toLocalIterator()]
+    # One folder per file and all below one: folders in folders are listed by a job for each inner one.
+    where = F.concat_ws("_", "copy", F.coalesce(F.expr("string(doc_id DIV 1000)"), F.lit("")), F.coalesce("source", F.lit("none")))
+    docs = fixtures.table(spark, folder, "documents").select("doc_id", "source", F.to_json(F.struct("text")).alias("line"))
+    copies = docs.withColumn("copy", F.explode(F.array(*map(F.lit, ("one", "same", "turned")))))
+    order = F.when(F.col("copy") == "turned", -F.col("doc_id")).otherwise(F.col("doc_id"))
+    dealt = copies.select(F.coalesce(where, F.lit("")).alias("place"), order.alias("order"), "line")
+    # What a task does is counted in files, not bytes, so their number is given.
+    dealt = dealt.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "place")
+    sorted_ = dealt.sortWithinPartitions("place", "order", "line").drop("order")
+    sorted_.write.partitionBy("place").text(place)
+    paths = readers.file_paths(list_files(spark, place, "*.txt"))
+    part = lambda k: F.regexp_extract("uri", "/place=([a-z]*)_(-?[0-9]*)_([^/]*)/", k)
     found = readers.file_hashes(spark, paths).select(
-        F.regexp_extract("uri", "/copy=([^/]*)/", 1).alias("copy"),
-        F.regexp_extract("uri", "/source=([^/]*)/", 1).alias("source"),
-        F.regexp_extract("uri", "/block=([^/]*)/", 1).cast("bigint").alias("block"),
-        "file_hash",
+        part(1).alias("copy"), part(3).alias("source"), part(2).try_cast("bigint").alias("block"), "file_hash"
     )
     hash_of = lambda name: F.max(F.when(F.col("copy") == name, F.col("file_hash")))
     return found.groupBy("source", "block").agg(

@@ -23,7 +23,7 @@ from pollstone.operators.validation import with_extension_check
 from pollstone.plans.bookkeeping import append, processed_files, record_run
 from pollstone.sources import payloads as answers
 from pollstone.sources.csv_files import file_headers, parsed_rows, row_counts
-from pollstone.sources.readers import file_hashes, list_files
+from pollstone.sources.readers import file_hashes, file_paths, list_files
 from pollstone.sources.registry import API_SOURCES, DB_SOURCES, Lake
 from pollstone.sources.tables import extract_table
 from pollstone.sources.writers import keep_payloads, land_bronze, with_bronze_parts
@@ -68,7 +68,7 @@ def check_files(
     listed = with_extension_check(list_files(spark, folder, pattern))
     is_csv = F.endswith(F.lower("path"), F.lit(".csv"))
     to_open = listed.filter(is_csv)
-    paths = [row.path for row in to_open.select("path").toLocalIterator()]
+    paths = file_paths(to_open)
     if paths:
         headers = durable(file_headers(spark, paths))
         files = listed.join(file_hashes(spark, paths), "uri", "left").join(headers, "uri", "left")

@@ -86,6 +86,11 @@ def list_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> Data
     return files.select("path", F.col("_metadata.file_path").alias("uri"), "modificationTime", "length")
 
 
+def file_paths(files: DataFrame) -> list[str]:
+    """The paths of listed files, for a reader that takes them; one job, however many files there are."""
+    return [row.path for row in files.select("path").collect()]
+
+
 def file_hashes(spark: SparkSession, paths: Sequence[str], algorithm: str = "sha256") -> DataFrame:
     """Content hash per file that is not empty: uri, file_hash.
 

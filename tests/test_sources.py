@@ -36,6 +36,20 @@ def test_listing(spark, tmp_path):
     assert readers.list_files(spark, str(tmp_path / "none")).isEmpty()
 
 
+def test_file_paths_take_one_job(spark, tmp_path):
+    for k in range(40):
+        (tmp_path / f"{k}.csv").write_text("a\n1\n")
+    files = readers.list_files(spark, str(tmp_path))
+    assert files.rdd.getNumPartitions() > 1
+    spark.sparkContext.setJobGroup("file paths", "")
+    try:
+        paths = readers.file_paths(files)
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("file paths")) == 1
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert sorted(p.rsplit("/", 1)[1] for p in paths) == sorted(f"{k}.csv" for k in range(40))
+
+
 def test_file_hashes(spark, tmp_path):
     lines = [f"line {i}\n" for i in range(3000)]
     body = "".join(lines)
