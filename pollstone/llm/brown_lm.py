@@ -57,6 +57,8 @@ END_CLASS = CLASSES + OPEN
 ALL_CLASSES = END_CLASS + 1
 #: The state after each kind of token: its class or, for words that training lacks, the class of their shape.
 _STATES = np.concatenate((np.arange(ALL_CLASSES), CLASSES + np.arange(OPEN)))
+#: Numbers of words by the last of their characters, if all are ASCII (see FIRST_ID).
+_ASCII_IDS = [-2 - 2 * kind for kind in _KINDS]
 #: A class before a word or, shifted by all classes, after it, and how often.
 _CONTEXT = np.dtype([("code", "u1"), ("n", "<u4")])
 #: Numbers of tokens: a sent word's place, END_ID, or from FIRST_ID on the shape of a word that isn't sent.
@@ -87,7 +89,7 @@ class _Numbers(dict[bytes, int]):
 
     def __missing__(self, word: bytes) -> int:
         self.rare.append(word)
-        return CLASSES - 2 - open_class(word)
+        return _ASCII_IDS[word[-1]] if word.isascii() else CLASSES - 2 - open_class(word)
 
 
 @dataclass
@@ -118,7 +120,7 @@ def _rows(docs: DataFrame) -> DataFrame:
 
 
 def word_counts(rows: DataFrame) -> DataFrame:
-    """``(word, class, n)`` of all training tokens, ``class`` being the open one."""
+    """``(word, n)`` of all training tokens."""
 
     def count(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: Counter[bytes] = Counter()
@@ -131,12 +133,10 @@ def word_counts(rows: DataFrame) -> DataFrame:
         yield batch(found)
 
     def batch(found: Counter[bytes]) -> pa.RecordBatch:
-        words = list(found)
-        kinds = pa.array([open_class(w) for w in words], pa.int32())
-        return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), kinds, pa.array(found.values(), pa.int64())], names=["word", "class", "n"])
+        return pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(found.values(), pa.int64())], names=["word", "n"])
 
-    some = rows.where("NOT held_out").select(F.col("text").cast("binary").alias("text")).mapInArrow(count, "word string, class int, n long")
-    return stored(some.groupBy("word", "class").agg(F.sum("n").alias("n")), "words")
+    some = rows.where("NOT held_out").select(F.col("text").cast("binary").alias("text")).mapInArrow(count, "word string, n long")
+    return stored(some.groupBy("word").agg(F.sum("n").alias("n")), "words")
 
 
 def encoded(rows: DataFrame, sent: list[str]) -> DataFrame:
@@ -337,6 +337,15 @@ def _group_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(new) - 1, np.flatnonzero(new)
 
 
+def _by_word(batch: pa.RecordBatch) -> tuple[pa.RecordBatch, np.ndarray, np.ndarray]:
+    """Rows sorted by the hash of their words, so that equal words are neighbours; with their groups, as in :func:`_group_of`."""
+    word_of, firsts = _group_of(batch["word"])
+    if len(firsts) > len(_group_of(batch["hash"])[1]):  # unlike words of one hash may lie mixed
+        batch = batch.take(pc.sort_indices(batch["word"]))
+        word_of, firsts = _group_of(batch["word"])
+    return batch, word_of, firsts
+
+
 def contexts(numbered: DataFrame, top: pd.DataFrame, numbers: np.ndarray, clustered: int) -> DataFrame:
     """``(word, rank, open, body)`` of the training words but the first ones: classes around them and how often, task by task.
 
@@ -434,8 +443,8 @@ def lexicon(numbered: DataFrame, top: pd.DataFrame, assigned: np.ndarray, cluste
     numbers = _open_numbers(top, assigned[:clustered])
 
     def assign(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _whole(stream, "word"):
-            word_of, firsts = _group_of(batch["word"])
+        for batch in _whole(stream, "hash"):
+            batch, word_of, firsts = _by_word(batch)
             body = np.frombuffer(b"".join(batch["body"].to_pylist()), _CONTEXT)
             sizes = pc.binary_length(batch["body"]).to_numpy() // _CONTEXT.itemsize
             one = batch.take(pa.array(firsts))
@@ -445,7 +454,8 @@ def lexicon(numbered: DataFrame, top: pd.DataFrame, assigned: np.ndarray, cluste
                 names=["word", "rank", "open", "class", "n"],
             )
 
-    gathered = contexts(numbered, top, numbers, clustered).repartition("word").sortWithinPartitions("word")
+    # One column of numbers is sorted by its digits, text by comparing rows.
+    gathered = contexts(numbered, top, numbers, clustered).repartition("word").withColumn("hash", F.xxhash64("word")).sortWithinPartitions("hash")
     return stored(gathered.mapInArrow(assign, "word string, rank int, open int, class int, n long"), "lexicon", "zstd")
 
 
@@ -455,6 +465,7 @@ def fit(rows: DataFrame) -> tuple[Model, DataFrame, DataFrame]:
     ends = F.sum(F.when(F.col("word") == END, F.col("n")))
     total, distinct, ends = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.coalesce(ends, F.lit(0))).first()
     top = counts.where(F.length("word") <= LONGEST).where(F.col("word") != END).orderBy(F.desc("n"), "word").limit(SENT).toPandas()
+    top["class"] = np.fromiter((open_class(word.encode()) for word in top["word"]), np.int64, len(top))
     numbered = encoded(rows, top["word"].tolist())
     clustered = min(CLUSTERED, len(top))
     assigned, matrix = cluster(bigrams(numbered, top), clustered)
@@ -546,7 +557,8 @@ def classed(numbered: DataFrame, others: DataFrame, model: Model) -> DataFrame:
         m = sent.value
         for batch in _whole(stream, "key"):
             group, firsts = _group_of(batch["key"])
-            pos = batch["pos"].to_numpy()
+            order = np.lexsort((batch["pos"].to_numpy(), group))
+            pos = batch["pos"].to_numpy()[order]
             row = dict(zip(_names(_CLASSED)[1:], batch["doc"].flatten(), strict=True))
             copies = np.bincount(group, pc.fill_null(row["copies"], 0).to_numpy(), len(firsts)).astype(np.int64)
             full = np.flatnonzero(pc.is_valid(row["seq"]).to_numpy(zero_copy_only=False))
@@ -557,11 +569,11 @@ def classed(numbered: DataFrame, others: DataFrame, model: Model) -> DataFrame:
             sizes = np.array([len(b) for b in bodies])
             # The same word of equal rows comes once from each task.
             once = (pos >= 0) & ((np.diff(group, prepend=-1) > 0) | (np.diff(pos, prepend=-1) > 0))
-            found = batch.filter(pa.array(once))
-            n = pc.fill_null(found["n"], 0).to_numpy()
+            found = order[once]
+            n = pc.fill_null(batch["n"], 0).to_numpy()[found]
             slots = np.flatnonzero(seq < END_ID)
             unseen = ALL_CLASSES + END_ID - 1 - seq[slots].astype(np.int64)
-            c = np.where(n > 0, pc.fill_null(found["class"], 0).to_numpy(), unseen)
+            c = np.where(n > 0, pc.fill_null(batch["class"], 0).to_numpy()[found], unseen)
             seq[slots] = c
             of = group[once]
             emit = np.where(n > 0, m.emission(np.maximum(n, 1), _STATES[c]), 0)
@@ -584,10 +596,10 @@ def classed(numbered: DataFrame, others: DataFrame, model: Model) -> DataFrame:
 
     words = numbered.select("key", "ids", "rare").mapInArrow(places, "key long, pos int, word string").join(others, "word", "left")
     docs = numbered.select("key", "doc_id", "held_out", "ids").mapInArrow(spread, _CLASSED)
-    # A row of its own for the document, before its words.
+    # A row of its own for the document, besides its words.
     doc = F.struct(*_names(_CLASSED)[1:]).alias("doc")
     whole = docs.select("key", F.lit(-1).alias("pos"), doc).unionByName(words.select("key", "pos", "class", "n"), allowMissingColumns=True)
-    dealt = whole.repartition("key").sortWithinPartitions("key", "pos")
+    dealt = whole.repartition("key").sortWithinPartitions("key")  # places are put in order in gather, which costs less
     return stored(dealt.mapInArrow(gather, _CLASSED), "classed", "zstd")
 
 

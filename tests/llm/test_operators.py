@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -186,6 +187,20 @@ def test_brown_clusters_all_words(spark):
     assert best.tolist() == [5, 64] and n.tolist() == [10, 1]
 
 
+def test_brown_words_are_brought_together_by_hash(spark):
+    """Rows are sorted by one number each; words that share a hash still make groups of their own."""
+    hashes = pa.array([1, 1, 1, 1, 2, 2, 3], pa.int64())
+    mixed = pa.RecordBatch.from_arrays([pa.array(["b", "a", "b", "a", "c", "c", "a1"]), hashes], names=["word", "hash"])
+    batch, word_of, firsts = brown_lm._by_word(mixed)
+    words = batch["word"].to_pylist()
+    assert sorted(words) == sorted(mixed["word"].to_pylist()) and len(firsts) == 4
+    assert len({(w, g) for w, g in zip(words, word_of.tolist(), strict=True)}) == 4
+    alone = mixed.slice(4)
+    assert brown_lm._by_word(alone)[0].equals(alone)
+    rows = brown_lm._rows(spark.createDataFrame([(k, f"word{k % 7} once{k}") for k in range(200)], "doc_id long, text string"))
+    assert brown_lm.word_counts(rows).columns == ["word", "n"]
+
+
 def test_maxscore(spark):
     draw = np.random.default_rng(2)
     vectors = [(k, [float(x) for x in draw.normal(0, 0.1, 8)]) for k in range(60)] + [(k, [0.5] * 8) for k in range(60, 130)]
