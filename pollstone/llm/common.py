@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -18,12 +19,40 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACES = r"[\x20\x09-\x0D]+"
 
 
+_noting: list[list[str]] = []
+
+
+@contextmanager
+def noted(paths: list[str]) -> Iterator[None]:
+    """Adds to ``paths`` where :func:`stored` writes meanwhile."""
+    _noting.append(paths)
+    try:
+        yield
+    finally:
+        _noting.pop()
+
+
+def release(spark: SparkSession, paths: list[str], docs: DataFrame) -> list[str]:
+    """Delete stored tables that ``docs`` doesn't read, and return the others; whatever else reads them is to be written by now."""
+    if not paths:
+        return []
+    read = docs.inputFiles()
+    wanted = [path for path in paths if any(f"/{path.rsplit('/', 1)[-1]}/" in file for file in read)]
+    context = spark.sparkContext
+    for path in set(paths).difference(wanted):
+        place = context._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+    return wanted
+
+
 def stored(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """The rows, written once to the cluster's shared folder and read from there.
 
     A lost executor then costs no more than the tasks it was running.
     """
     path = f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    for paths in _noting:
+        paths.append(path)
     df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

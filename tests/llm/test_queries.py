@@ -2,6 +2,7 @@
 
 import itertools
 import re
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -129,3 +130,28 @@ def test_large_group_of_texts_apart(spark):
             group[a] = group[b] = min(group[a], group[b])
     kept = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
     assert every and {r.doc_id for r in kept.collect()} == set(group)
+
+
+def test_a_stage_deletes_what_the_one_before_stored(spark, folder, tmp_path):
+    """Once a stage's rows are written its tables go; rows that are read from them keep them."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    place = Path(spark.conf.get("spark.checkpoint.dir"))
+    (_, rules), (_, near), (_, passages), _ = corpus_pipeline.STAGES
+    known = set(place.iterdir())
+
+    def here():
+        return {path.name.split("-")[0] for path in set(place.iterdir()) - known if any(path.glob("*.parquet"))}
+
+    kept = rules(spark, docs, folder)
+    assert here() == {"statistics", "labelled"}
+    expected = sorted(r.doc_id for r in near(spark, kept, folder).collect())
+    assert "statistics" in here() and "labelled" not in here()  # the rows of the first stage weren't written
+
+    known = set(place.iterdir())
+    rules(spark, docs, folder).write.parquet(f"{tmp_path}/0")
+    again = near(spark, spark.read.parquet(f"{tmp_path}/0"), folder)
+    assert "nodes" in here() and not here() & {"statistics", "labelled"}
+    again.write.parquet(f"{tmp_path}/1")
+    assert sorted(r.doc_id for r in spark.read.parquet(f"{tmp_path}/1").collect()) == expected
+    passages(spark, spark.read.parquet(f"{tmp_path}/1"), folder)
+    assert here() == {"segments"}
