@@ -155,3 +155,57 @@ def test_a_stage_deletes_what_the_one_before_stored(spark, folder, tmp_path):
     assert sorted(r.doc_id for r in spark.read.parquet(f"{tmp_path}/1").collect()) == expected
     passages(spark, spark.read.parquet(f"{tmp_path}/1"), folder)
     assert here() == {"segments"}
+
+
+def test_alike_texts_without_a_common_band(spark):
+    """Texts with eight of ten shingles in common meet, also where no band of MinHash values is the same."""
+    ends = ((3, 704, 979), (4, 698, 861), (6, 1217, 1429), (7, 78, 953))
+    texts = [" ".join([*(f"w{group}x{j}" for j in range(12)), f"e{end}"]) for group, *pair in ends for end in pair]
+    sets = [close_texts.shingles(text) for text in texts]
+    for a, b in zip(sets[::2], sets[1::2], strict=True):
+        assert close_texts.alike(a, b) and not np.intersect1d(close_texts.band_keys(a), close_texts.band_keys(b)).size
+    kept = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "")
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 2, 4, 6]
+
+
+def test_rows_without_a_doc_id_link(spark):
+    """They join groups like any row, and one of a group's stays beside the one with the smallest doc_id."""
+    words = [f"w{k}" for k in range(300)]
+    one, other, middle = (" ".join("new" if k in changed else w for k, w in enumerate(words)) for changed in ((10, 40, 70, 100), (160, 190, 220, 250), ()))
+    a, b, m = map(close_texts.shingles, (one, other, middle))
+    assert close_texts.alike(a, m) and close_texts.alike(m, b) and not close_texts.alike(a, b)
+    big = 2**60
+    rows = [(big + 3, one), (big + 5, other), (None, middle), (None, middle), (big + 7, "text of its own"), (None, "another"), (None, "another"), (0, "another"), (None, None), (None, " ")]
+    kept = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()
+    assert sorted(r.doc_id for r in kept if r.doc_id is not None) == [0, big + 3, big + 7]
+    assert sorted((r.text or "").strip() for r in kept if r.doc_id is None) == ["", "another", middle]
+
+
+def test_alike_sets_share_first_and_rarest_shingles(spark, monkeypatch):
+    """Brute force over sets of many sizes about the limit: no pair is lost before sets are compared, whatever the buckets."""
+    draw = np.random.default_rng(5)
+    texts = [*_varied(40, 8), *_varied(30, 10), *_varied(10, 30)]
+    for size in (8, 9, 10, 12, 13, 17, 28, 60):
+        for k in range(12):
+            plain = [f"s{size}x{j}" for j in range(size + int(draw.integers(0, 3)))]
+            plain[-1 - int(draw.integers(0, 2))] = f"end{k}"
+            texts.append(" ".join(plain))
+    texts += [" ".join(f"own{k}x{j}" for j in range(30)) for k in range(50)]
+    texts = list(dict.fromkeys(texts))
+    by = {}
+    for text in texts:
+        found = close_texts.shingles(text)
+        by[int(np.uint64(close_texts._node(found)).astype(np.int64))] = found
+    every = {(a, b) for a, b in itertools.combinations(by, 2) if close_texts.alike(by[a], by[b])}
+    assert len(by) == len(texts) and len({a for a, _ in every}) > 30
+    some = spark.createDataFrame([(text,) for text in [*texts, *texts]], "text string").repartition(5)
+    nodes = spark.createDataFrame([(node, len(found)) for node, found in by.items()], "node long, size long")
+    for filed in (1 << 20, 200):
+        monkeypatch.setattr(close_texts, "FILED", filed)
+        paired = {r.node for r in close_texts._with_partners(some, nodes).collect()}
+        assert {node for pair in every for node in pair} <= paired < set(by)
+        keys = {}
+        for r in close_texts.rarest(some, nodes).collect():
+            keys.setdefault(r.node, set()).add(r.key)
+        assert all(keys.get(a, set()) & keys.get(b, set()) for a, b in every)
+        assert sum(map(len, keys.values())) < sum(map(len, by.values())) / 3
